@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, media
+from . import line_dedup, media, packing, warc
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op5_media_columns": media.op5_media_columns,
+    "op8_warc": warc.op8_warc,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLE_SQL = {
