@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import line_dedup, media, packing, warc
+from . import langid, line_dedup, media, packing, toxicity, warc
 
 QUERIES = {
+    "op1_langid": langid.op1_langid,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_media_columns": media.op5_media_columns,
     "op8_warc": warc.op8_warc,
     "op10_packing": packing.op10_packing,
