@@ -302,6 +302,7 @@ def rank_ranges(planned: list[tuple[dict[int, int], int]]) -> list[tuple[int, in
 def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
     """``parts`` (rows with ``length``, doc_id, start) with ``sequence_id`` and ``offset``."""
     spark = parts.sparkSession
+    parts = materialize(parts, "pieces")  # range partitioning reads its input twice
     order = ["length", "doc_id", "start", "ids_crc32"]
 
     def rank(batches):
