@@ -56,7 +56,8 @@ class WordTokenizer:
         self.whole = Tokenizer.from_file(path)
         self.model, self.keep = self.whole.model, keep
         self.letters = _byte_letters()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, list[int]] = {}  # pieces
+        self.words: dict[str, list[int]] = {}
 
     def _piece(self, piece: str) -> list[int]:
         if (ids := self.known.get(piece)) is None:
@@ -65,6 +66,11 @@ class WordTokenizer:
         return ids
 
     def word(self, word: str) -> list[int]:
+        if (ids := self.words.get(word)) is None:
+            ids = self.words[word] = self._word(word)
+        return ids
+
+    def _word(self, word: str) -> list[int]:
         if not _PLAIN.fullmatch(word):
             return self.whole.encode(word, add_special_tokens=False).ids
         out: list[int] = []
@@ -78,8 +84,9 @@ class WordTokenizer:
         of = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
         each = [self.word(w) for w in coded.dictionary.to_pylist()]
-        if len(self.known) > self.keep:
-            self.known.clear()
+        for cache in (self.known, self.words):
+            if len(cache) > self.keep:
+                cache.clear()
         n = np.fromiter(map(len, each), np.int64, len(each))
         flat = np.fromiter((i for x in each for i in x), np.uint32, int(n.sum()))
         at = np.cumsum(n) - n
