@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import langid, line_dedup, media, packing, substring_dedup, suffix_dedup, toxicity, warc
+from . import decontaminate, langid, line_dedup, media, near_join, packing, substring_dedup, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_media_columns": media.op5_media_columns,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_warc": warc.op8_warc,
+    "op9_near_join": near_join.op9_near_join,
     "op10_packing": packing.op10_packing,
 }
 
