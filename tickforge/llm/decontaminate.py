@@ -117,18 +117,21 @@ class Matcher:
         return out
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, item_id, distance, end: each item found in a document, once, with its least distance."""
-    spark = docs.sparkSession
+def _item_blocks(benchmark: DataFrame) -> list:
+    """Broadcasts of the items, each of about BLOCK_BYTES of text."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES)
+    n = -(-size // BLOCK_BYTES)
+    return [spark.sparkContext.broadcast([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]) for k in range(n)]
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """doc_id, item_id, distance, end: each item found in a document, once, with its least distance."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, distance int, end long"
-    out = spark.createDataFrame([], schema)
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)  # about BLOCK_BYTES of text
-        shared = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
+    out = docs.sparkSession.createDataFrame([], schema)
+    for shared in _item_blocks(benchmark):
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, rate, min_chars)
@@ -141,5 +144,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no item is found."""
+    for shared in _item_blocks(benchmark):
+
+        def run(batches, shared=shared):
+            matcher = Matcher(shared.value, rate, min_chars)
+            for b in batches:
+                yield b.filter(pa.array([not matcher.match(normalise(t)) for t in b.column("text").to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

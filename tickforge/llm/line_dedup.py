@@ -218,6 +218,23 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return attach(with_text_key(docs), bitmaps, ["keep_bitmap"]).mapInArrow(run, "doc_id long, text string, n_lines long, n_dropped long")
 
 
+def cut_documents(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``docs`` with all its columns; ``text`` is what stays (null only where it was), ``n_chars``, if there is one, its length."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, bitmap in enumerate(batch.column("_keep_bitmap").to_pylist()):
+                if bitmap is not None and texts[i] is not None:
+                    texts[i] = b"\n".join(kept_lines(texts[i].encode(), bitmap)[0]).decode()
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], names=columns)
+
+    columns = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    cut = attach(docs.withColumn(TEXT_KEY, F.xxhash64("text")), bitmaps.withColumnRenamed("keep_bitmap", "_keep_bitmap"), ["_keep_bitmap"]).mapInArrow(run, schema)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else cut
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     cut = apply_bitmaps(docs, keep_bitmaps(docs))
