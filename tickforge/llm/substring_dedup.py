@@ -65,21 +65,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> D
 
     rest = anchored.contents(groups.where("kinds > 1"), ", ".join(["back int", *(f"h{n} array<long>" for n in steps)]), hashes)
     rest = materialize(rest, "candidates")
-    # Candidates: the windows of those blocks, by their place from the block's begin.
-    live = rest.select("anchor", "n", "doc_id", TEXT_KEY, "lo", "back", *(f"h{n}" for n in steps), F.explode(F.sequence(F.lit(0), F.col("span") - 1)).alias("p"))
-    for i, n in enumerate(steps):
-        if i + 1 < len(steps):
-            every = rest.select("anchor", "back", F.posexplode(f"h{n}").alias("q", "h")).select("anchor", (F.col("q") - F.col("back")).alias("place"), "h")
-            again = _again(every, ["anchor", "place", "h"], f"level-{n}")
-            # Both ends of a longer window must repeat at this length.
-            for end in (0, window - n):
-                keyed = live.withColumns({"place": F.col("p") + end - F.col("back"), "h": F.get(f"h{n}", F.col("p") + end)})
-                live = lookup(keyed, again, ["anchor", "place", "h"], ["again"], "n", "inner").drop("place", "h", "again")
-        else:
-            live = live.withColumns({"place": F.col("p") - F.col("back"), "h": F.get(f"h{n}", F.col("p"))})
-            live = materialize(live.select("anchor", "place", "h", "n", "doc_id", TEXT_KEY, "lo", "p"), "windows")
-            again = _again(live, ["anchor", "place", "h"], f"level-{n}")
-            live = lookup(live.withColumnRenamed("n", "times"), again, ["anchor", "place", "h"], ["again"], "n", "inner")
+    # Candidates: the windows of those blocks, by their place from the block's begin, each with the hashes of its ends at every level.
+    ends = {f"h{n}_{i}": f"h{n}[p + {i * (window - n)}]" for n in steps[:-1] for i in (0, 1)} | {"h": f"h{window}[p]"}
+    struct = ", ".join(f"'{k}', {v}" for k, v in ends.items())
+    live = rest.selectExpr("anchor", "n as times", "doc_id", TEXT_KEY, "lo", "back", f"inline(transform(sequence(0, span - 1), p -> named_struct('p', p, {struct})))")
+    for n in steps[:-1]:
+        every = rest.select("anchor", "back", F.posexplode(f"h{n}").alias("q", "h")).select("anchor", (F.col("q") - F.col("back")).alias("place"), "h")
+        again = _again(every, ["anchor", "place", "h"], f"level-{n}")
+        # Both ends of a longer window must repeat at this length.
+        for i in (0, 1):
+            keyed = live.withColumns({"_anchor": F.col("anchor"), "_place": F.col("p") + i * (window - n) - F.col("back"), "_h": F.col(f"h{n}_{i}")})
+            live = lookup(keyed, again.select(F.col("anchor").alias("_anchor"), F.col("place").alias("_place"), F.col("h").alias("_h"), "n", "again"), ["_anchor", "_place", "_h"], ["again"], "n", "inner").drop("_anchor", "_place", "_h", "again", f"h{n}_{i}")
+    live = materialize(live.select("anchor", (F.col("p") - F.col("back")).alias("place"), "h", "times", "doc_id", TEXT_KEY, "lo", "p"), "windows")
+    again = _again(live, ["anchor", "place", "h"], f"level-{window}")
+    live = lookup(live, again, ["anchor", "place", "h"], ["again"], "n", "inner")
     # Blocks that occur again are settled above, in all their places.
     found = live.where("times = 1").select("doc_id", TEXT_KEY, (F.col("lo") + F.col("p")).alias("begin"), F.lit(window).alias("length"))
     return settled.unionAll(found)
