@@ -30,7 +30,7 @@ def retention(df: DataFrame) -> DataFrame:
 
 def retention_gate(initial: int, kept: int, config: AssembleConfig = AssembleConfig()) -> float:
     """The least retention, or an error.  It is relaxed if very many labels are missing."""
-    least = config.relaxed_retention if initial and 1 - kept / initial > config.relax_above else config.min_retention
+    least = config.relaxed_retention if initial and (initial - kept) / initial > config.relax_above else config.min_retention
     if not initial or kept / initial < least:
         raise ValueError(f"{kept} of {initial} rows stay; at least {least:.0%} are needed")
     return least
