@@ -16,9 +16,7 @@ from tickforge.llm.common import TEXT_KEY, materialize, read_table, with_text_ke
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold stay."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.withColumnRenamed("score", "_score_") if "score" in docs.columns else docs, model)
-    kept = scored.where(F.col("score") < toxicity.THRESHOLD).drop("score", "offending")
-    return kept.withColumnRenamed("_score_", "score") if "score" in docs.columns else kept
+    return toxicity.keep_clean(docs, model)
 
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

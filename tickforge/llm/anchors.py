@@ -151,11 +151,26 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return each[index[keep]], np.diff(before[at])
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """Repeated rows of a document only once.  Texts are shuffled for that only if there are any."""
+    again = docs.groupBy("doc_id", TEXT_KEY).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    return docs.dropDuplicates(["doc_id", TEXT_KEY]) if again else docs
+
+
+#: A number for a block at a place, in SQL and in numpy: it only has to differ between most places.
+SPOT = "block ^ shiftleft(coalesce(doc_id, 0L), 37) ^ shiftleft(cast(lo as bigint), 45)"
+
+
+def spots(block: np.ndarray, doc_id: pa.Array, lo: np.ndarray) -> np.ndarray:
+    return block ^ doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) << 37 ^ lo.astype(np.int64) << 45
+
+
 class Anchored:
     """The blocks of a table of documents (doc_id, text, its key)."""
 
     def __init__(self, docs: DataFrame, codes, size: int, gram: int, stretch: int):
-        self.docs, self.codes, self.size, self.gram, self.stretch = docs, codes, size, gram, stretch
+        self.docs = once(docs)
+        self.codes, self.size, self.gram, self.stretch = codes, size, gram, stretch
         self.spark: SparkSession = docs.sparkSession
 
     def _each(self, emit):
@@ -194,7 +209,7 @@ class Anchored:
 
         rows = self.docs.mapInArrow(self._each(emit), f"anchor long, block long, doc_id long, {TEXT_KEY} long, lo int, span int")
         rows = lookup(rows, anchors.withColumn("again", F.lit(True)), ["anchor"], ["again"], "n", "inner").drop("again")
-        return materialize(rows.dropDuplicates(), "blocks")
+        return materialize(rows, "blocks")
 
     def groups(self, blocks: DataFrame) -> DataFrame:
         """anchor, block, n, doc_id, key, lo, span: equal blocks, how often, and the first place of each; and ``kinds``, the anchor's number of different blocks."""
@@ -206,16 +221,17 @@ class Anchored:
 
     def contents(self, groups: DataFrame, extra_schema: str, extra) -> DataFrame:
         """The groups' first blocks, with what ``extra(batch, codes, blocks, chosen)`` reads from the texts there."""
-        table = self.spark.sparkContext.broadcast(Sieve.build(groups, "block"))
+        table = self.spark.sparkContext.broadcast(Sieve.build(groups.select(F.expr(SPOT).alias("spot")), "spot"))
 
         def emit(part, x, blocks):
-            ok = np.flatnonzero(Sieve.holds(table.value, blocks.block_hash))
+            place = spots(blocks.block_hash, part.column("doc_id").take(pa.array(blocks.doc)), blocks.lo)
+            ok = np.flatnonzero(Sieve.holds(table.value, place))
             if len(ok):
                 doc = pa.array(blocks.doc[ok])
                 own = extra(part, x, blocks, ok)
                 yield pa.RecordBatch.from_arrays([pa.array(blocks.block_hash[ok]), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
 
-        found = self.docs.mapInArrow(self._each(emit), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}").dropDuplicates(["r_block", "r_id", "r_key", "r_lo"])
+        found = self.docs.mapInArrow(self._each(emit), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}")
         same = (groups["block"] == found["r_block"]) & groups["doc_id"].eqNullSafe(found["r_id"]) & (groups[TEXT_KEY] == found["r_key"]) & (groups["lo"] == found["r_lo"])
         return groups.join(found, same).drop("r_block", "r_id", "r_key", "r_lo")
 

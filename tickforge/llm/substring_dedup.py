@@ -8,7 +8,8 @@ relative to their anchor, are joined in pairs to sub-windows of twice the length
 repeat are counted, until the window's full length is reached or no candidate survives.  Every word covered by a
 repeated window goes, in all places.
 
-Counts are partial aggregates before the shuffle, so a passage that very many documents share costs each task one row.
+Anchors with up to ``WIDE`` different surroundings go through the levels inside one task.  For the others each level is a
+partial aggregate before a shuffle, so a passage that very many documents share costs each task one row.
 
 Defined results: null or empty texts have no words; texts of fewer than 35 words lose nothing; repeated rows of a
 document count once and are cut alike; other columns are ignored.
@@ -22,10 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import Anchored, cut_spans, mix, word_codes
-from .common import TEXT_KEY, lookup, materialize, read_table, with_text_key
+from .common import TEXT_KEY, lookup, materialize, partitions, read_table, with_text_key
 
 WINDOW = 35
 BASE = 9
+#: Different surroundings of an anchor up to which one task takes them all.
+WIDE = 1000
 
 
 def levels(window: int, base: int) -> list[int]:
@@ -42,9 +45,70 @@ def _again(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
     return materialize(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").withColumn("again", F.lit(True)), tag)
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> DataFrame:
+def _repeats(*keys: np.ndarray) -> np.ndarray:
+    """True for rows whose key occurs again."""
+    _, index, n = np.unique(np.stack(keys, 1).view([("", k.dtype) for k in keys]).ravel(), return_inverse=True, return_counts=True)
+    return n[index] > 1
+
+
+def _doubling(window: int, steps: list[int], held_rows: int):
+    """The levels for whole anchors that fit into a task: rows sorted by anchor -> windows that repeat."""
+
+    def solve(t: pa.Table):
+        span = t["span"].to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(span)), span)
+        p = np.arange(len(row)) - np.repeat(np.cumsum(span) - span, span)
+        anchor, back = t["anchor"].to_numpy(), t["back"].to_numpy().astype(np.int64)
+
+        def hashes(n, at):
+            column = t[f"h{n}"].combine_chunks()
+            return column.values.to_numpy()[column.offsets.to_numpy()[row] + at]
+
+        for n in steps:
+            for end in (0, window - n) if n < window else (0,):
+                ok = _repeats(anchor[row], p - back[row], hashes(n, p + end))
+                row, p = row[ok], p[ok]
+                if not len(row):
+                    return None
+        new = t["times"].to_numpy()[row] == 1
+        row, p = row[new], p[new]
+        at = pa.array(row)
+        return pa.RecordBatch.from_arrays([t["doc_id"].combine_chunks().take(at), t[TEXT_KEY].combine_chunks().take(at), pa.array((t["lo"].to_numpy()[row] + p).astype(np.int32)), pa.array(np.full(len(p), window, np.int32))], names=["doc_id", TEXT_KEY, "begin", "length"])
+
+    def run(batches):
+        held = []
+        for b in batches:
+            held.append(pa.Table.from_batches([b]))
+            if sum(x.num_rows for x in held) < held_rows:
+                continue
+            t = pa.concat_tables(held)
+            anchor = t["anchor"].to_numpy()
+            cut = len(anchor) - int((anchor[::-1] == anchor[-1]).argmin()) if anchor[0] != anchor[-1] else 0
+            held = [t.slice(cut)]
+            if cut and (out := solve(t.slice(0, cut))) is not None:
+                yield out
+        if held and sum(x.num_rows for x in held) and (out := solve(pa.concat_tables(held))) is not None:
+            yield out
+
+    return run
+
+
+def _doubling_wide(rest: DataFrame, window: int, steps: list[int]) -> DataFrame:
+    """The levels for anchors with very many surroundings: each count is a partial aggregate before a shuffle."""
+    ends = {f"h{n}_{i}": f"h{n}[p + {i * (window - n)}]" for n in steps[:-1] for i in (0, 1)} | {"h": f"h{window}[p]"}
+    struct = ", ".join(f"'{k}', {v}" for k, v in ends.items())
+    live = rest.selectExpr("anchor", "times", "doc_id", TEXT_KEY, "lo", "back", f"inline(transform(sequence(0, span - 1), p -> named_struct('p', p, {struct})))")
+    live = live.withColumn("place", F.col("p") - F.col("back"))
+    for column in ends:
+        live = materialize(live, f"live-{column}")
+        again = _again(live, ["anchor", "place", column], f"again-{column}")
+        live = lookup(live, again, ["anchor", "place", column], ["again"], "n", "inner").drop("again")
+    return live.where("times = 1").select("doc_id", TEXT_KEY, (F.col("lo") + F.col("p")).alias("begin"), F.lit(window).alias("length"))
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, base: int = BASE, wide: int = WIDE) -> DataFrame:
     """doc_id, key, begin, length (in words): stretches made of windows that occur anywhere else."""
-    anchored = Anchored(docs, word_codes, window, base, 4 << 20)
+    anchored = Anchored(docs, word_codes, window, base, 1 << 20)
     blocks = anchored.blocks_of(anchored.repeated_anchors())
     groups = anchored.groups(blocks)
     # Blocks that occur again: all of their windows do.
@@ -64,23 +128,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> D
         return out
 
     rest = anchored.contents(groups.where("kinds > 1"), ", ".join(["back int", *(f"h{n} array<long>" for n in steps)]), hashes)
-    rest = materialize(rest, "candidates")
-    # Candidates: the windows of those blocks, by their place from the block's begin, each with the hashes of its ends at every level.
-    ends = {f"h{n}_{i}": f"h{n}[p + {i * (window - n)}]" for n in steps[:-1] for i in (0, 1)} | {"h": f"h{window}[p]"}
-    struct = ", ".join(f"'{k}', {v}" for k, v in ends.items())
-    live = rest.selectExpr("anchor", "n as times", "doc_id", TEXT_KEY, "lo", "back", f"inline(transform(sequence(0, span - 1), p -> named_struct('p', p, {struct})))")
-    for n in steps[:-1]:
-        every = rest.select("anchor", "back", F.posexplode(f"h{n}").alias("q", "h")).select("anchor", (F.col("q") - F.col("back")).alias("place"), "h")
-        again = _again(every, ["anchor", "place", "h"], f"level-{n}")
-        # Both ends of a longer window must repeat at this length.
-        for i in (0, 1):
-            keyed = live.withColumns({"_anchor": F.col("anchor"), "_place": F.col("p") + i * (window - n) - F.col("back"), "_h": F.col(f"h{n}_{i}")})
-            live = lookup(keyed, again.select(F.col("anchor").alias("_anchor"), F.col("place").alias("_place"), F.col("h").alias("_h"), "n", "again"), ["_anchor", "_place", "_h"], ["again"], "n", "inner").drop("_anchor", "_place", "_h", "again", f"h{n}_{i}")
-    live = materialize(live.select("anchor", (F.col("p") - F.col("back")).alias("place"), "h", "times", "doc_id", TEXT_KEY, "lo", "p"), "windows")
-    again = _again(live, ["anchor", "place", "h"], f"level-{window}")
-    live = lookup(live, again, ["anchor", "place", "h"], ["again"], "n", "inner")
-    # Blocks that occur again are settled above, in all their places.
-    found = live.where("times = 1").select("doc_id", TEXT_KEY, (F.col("lo") + F.col("p")).alias("begin"), F.lit(window).alias("length"))
+    rest = materialize(rest.withColumnRenamed("n", "times"), "candidates")
+    near = rest.where(F.col("kinds") <= wide).repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor")
+    found = near.mapInArrow(_doubling(window, steps, 10_000), f"doc_id long, {TEXT_KEY} long, begin int, length int")
+    if (far := rest.where(F.col("kinds") > wide)).limit(1).count():
+        found = found.unionAll(_doubling_wide(far, window, steps))
     return settled.unionAll(found)
 
 

@@ -212,7 +212,7 @@ def _collections(length: int, size: int):
 def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collection: int = COLLECTION, part: int = PART) -> DataFrame:
     """doc_id, key, begin, length (bytes): stretches made of strings that also start earlier."""
     spark = docs.sparkSession
-    anchored = Anchored(docs, byte_codes, length, gram, 2 << 20)
+    anchored = Anchored(docs, byte_codes, length, gram, 1 << 18)
     blocks = anchored.blocks_of(anchored.repeated_anchors())
     groups = anchored.groups(blocks)
     again = groups.where("n > 1").select("anchor", "block", "n", F.col("doc_id").alias("f_id"), F.col(TEXT_KEY).alias("f_key"), F.col("lo").alias("f_lo"))

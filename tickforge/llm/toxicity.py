@@ -183,8 +183,21 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, ma
     return NoisyOr.fit([[dict(zip(s[::2], s[1::2], strict=True)) for s in (list(map(int, x)) for x in bag)] for bag in rows["bag"]], y, weight, names)
 
 
+def keep_clean(docs: DataFrame, model: NoisyOr | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.leak) if model else None)
+
+    def run(batches):
+        model = NoisyOr(*shared.value) if shared.value else None
+        for b in batches:
+            yield b.filter(pa.array([model is None or model.score(t or "") < threshold for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
-    """The columns of ``docs`` with ``score`` and ``offending`` (spans of sentences, in characters, and their probability)."""
+    """The columns of ``docs`` with ``score`` and ``offending`` (spans of sentences, in characters, and their probability); columns of these names are replaced."""
+    docs = docs.drop("score", "offending")
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.leak) if model else None)
 
     def run(batches):
