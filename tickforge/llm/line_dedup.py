@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .anchors import once
 from .common import TEXT_KEY, attach, materialize, partitions, read_table, with_text_key
 
 MIN_DOCS = 10
@@ -181,7 +182,9 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, rule: str = "frequen
         raise ValueError("min_docs must be at least 1")
     spark = docs.sparkSession
     order = ["h1", "h2", "doc_id", TEXT_KEY]
-    lines = with_text_key(docs).mapInArrow(_explode_lines, _LINE)
+    keyed = with_text_key(docs)
+    # A copy of a row must not make its own lines look like later ones; for the other rule documents are counted, and copies do no harm.
+    lines = (once(keyed) if rule == "first" else keyed).mapInArrow(_explode_lines, _LINE)
     lines = lines.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order, "pos")
     marks = materialize(lines.mapInArrow(_decide(min_docs, rule == "first"), _MARK), "line-marks")
     # At most two rows for each partition: this side of the join is bounded by the number of partitions.
