@@ -37,6 +37,8 @@ GRAM = 32
 #: Segments of a collection, about; and of one anchor in one part, about.
 COLLECTION = 1000
 PART = 500
+#: Places of the anchor in a string, in so many classes: what all strings of a class have in common must repeat.
+CELLS = 6
 
 
 class ColumnFiles:
@@ -146,14 +148,46 @@ def equal_strings(segments: list[bytes], length: int) -> tuple[np.ndarray, np.nd
     return group, seg, start
 
 
-def _collections(length: int, size: int):
+def promising(content: list[bytes], anchor: np.ndarray, back: np.ndarray, whole: np.ndarray, length: int, gram: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments that may share a string with another of their anchor, and the stretch [begin, end) of each that may.
+
+    A string with its anchor x bytes from its begin, lo <= x <= hi, holds the lo bytes before the anchor, the anchor, and
+    length - gram - hi bytes after it; of equal strings these are equal too.  Segments in ``whole`` stay as they are.
+    """
+    sizes = np.array([len(c) for c in content], np.int64)
+    at = np.cumsum(sizes) - sizes
+    rolling = Rolling(_BYTE_CODES[np.frombuffer(b"".join(content), np.uint8)])
+    most = back  # the anchor's places in a segment's strings: from ``least`` to ``most``
+    least = back - (sizes - length)
+    room = length - gram
+    low, high = np.full(len(sizes), room + 1), np.full(len(sizes), -1)
+    edges = np.arange(cells + 1) * (room + 1) // cells
+    for lo, hi in zip(edges[:-1].tolist(), (edges[1:] - 1).tolist(), strict=True):
+        own = np.flatnonzero(np.maximum(least, lo) <= np.minimum(most, hi))
+        h = rolling.at(at[own] + back[own] - lo, lo + gram + room - hi)
+        _, index, n = np.unique(np.stack([anchor[own], h.view(np.int64)], 1).view("i8,i8").ravel(), return_inverse=True, return_counts=True)
+        again = own[n[index] > 1]
+        low[again] = np.minimum(low[again], lo)
+        high[again] = hi
+    chosen = np.flatnonzero((high >= 0) | whole)
+    begin = np.where(whole, 0, back - np.minimum(high, most))[chosen]
+    end = np.where(whole, sizes, back - np.maximum(low, least) + length)[chosen]
+    return chosen, begin, end
+
+
+def _collections(length: int, gram: int, size: int):
     """For each partition, sorted by anchor and part: strings that start earlier too, and first places of anchors in several parts."""
 
     def solve(rows: pa.Table):
-        segments = rows["content"].to_pylist()
+        content = rows["content"].to_pylist()
+        chosen, begin, end = promising(content, rows["anchor"].to_numpy(), rows["back"].to_numpy().astype(np.int64), rows["parts"].to_numpy() > 1, length, gram)
+        if not len(chosen):
+            return None
+        segments = [content[i][a:b] for i, a, b in zip(chosen.tolist(), begin.tolist(), end.tolist(), strict=True)]
+        rows = rows.drop_columns("content").take(pa.array(chosen))
         group, seg, start = equal_strings(segments, length)
         null = rows["doc_id"].is_null().to_numpy()
-        ids, keys, lo = rows["doc_id"].fill_null(0).to_numpy(), rows[TEXT_KEY].to_numpy(), rows["lo"].to_numpy().astype(np.int64)
+        ids, keys, lo = rows["doc_id"].fill_null(0).to_numpy(), rows[TEXT_KEY].to_numpy(), rows["lo"].to_numpy() + begin
         begin = lo[seg] + start
         order = np.lexsort((begin, keys[seg], ids[seg], ~null[seg], group))
         group, seg, start, begin = group[order], seg[order], start[order], begin[order]
@@ -222,13 +256,13 @@ def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collect
 
     def content(batch, x, b, ok):
         data = np.frombuffer(b"".join(t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()), np.uint8)
-        return {"content": pa.array([data[i : i + n].tobytes() for i, n in zip(b.begin[ok].tolist(), (b.span[ok] + length - 1).tolist(), strict=True)], pa.binary())}
+        return {"back": pa.array(b.back[ok].astype(np.int32)), "content": pa.array([data[i : i + n].tobytes() for i, n in zip(b.begin[ok].tolist(), (b.span[ok] + length - 1).tolist(), strict=True)], pa.binary())}
 
-    rest = anchored.contents(groups.where("kinds > 1"), "content binary", content)
+    rest = anchored.contents(groups.where("kinds > 1"), "back int, content binary", content)
     parts = F.ceil(F.col("kinds") / part)
-    rest = rest.select("anchor", "doc_id", TEXT_KEY, "lo", "content", parts.cast("int").alias("parts"), F.pmod(F.col("block"), parts).cast("int").alias("part"))
+    rest = rest.select("anchor", "doc_id", TEXT_KEY, "lo", "back", "content", parts.cast("int").alias("parts"), F.pmod(F.col("block"), parts).cast("int").alias("part"))
     rest = rest.repartition(partitions(spark), "anchor", "part").sortWithinPartitions("anchor", "part")
-    found = rest.mapInArrow(_collections(length, collection), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, open boolean, string long")
+    found = rest.mapInArrow(_collections(length, gram, collection), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, open boolean, string long")
     found = materialize(found, "strings")
     place = F.struct("doc_id", TEXT_KEY, "begin")
     open_ = found.where("open")
