@@ -163,15 +163,17 @@ def near_brute(rows):
     return sorted(((doc, doc if not sets[i] else ids[find(i)]) for i, (doc, _) in enumerate(rows)), key=repr)
 
 
-@pytest.mark.parametrize("small", [12, 2])
-def test_near(docs, monkeypatch, small):
-    monkeypatch.setattr(near_join.links, "__defaults__", (0.8, small, 2))
+@pytest.mark.parametrize(("small", "wide"), [(12, 1000), (2, 1000), (2, 3)])
+def test_near(docs, monkeypatch, small, wide):
+    monkeypatch.setattr(near_join.links, "__defaults__", (0.8, small, 2, wide))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert result(near_join.near_classes(with_text_key(docs)), "class_id") == near_brute(rows)
 
 
-def test_large_near_group(spark, monkeypatch):
+@pytest.mark.parametrize("wide", [1000, 8])
+def test_large_near_group(spark, monkeypatch, wide):
     """Many near copies of one text, few of which are near each other."""
+    monkeypatch.setattr(near_join.links, "__defaults__", (0.8, 12, 3, wide))
     rng = random.Random(3)
     base = words(rng, 120).split()
     rows = []
