@@ -36,19 +36,29 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_known: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of base; those of a usual batch are kept by each process."""
+    have = _known.get(base)
+    if have is None or len(have) < n:
+        have = np.full(n, base, np.uint64)
+        have[:1] = 1
+        np.multiply.accumulate(have, out=have)
+        if n <= 1 << 21:
+            _known[base] = have
+    return have[:n]
+
+
 class Rolling:
     """Polynomial hashes, modulo 2**64, of any stretch of a sequence of 64-bit codes."""
 
     def __init__(self, codes: np.ndarray):
         n = len(codes)
-        powers = np.full(n + 1, _MULTIPLIER, np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.down = np.full(n + 1, _INVERSE, np.uint64)
-        self.down[0] = 1
-        np.multiply.accumulate(self.down, out=self.down)
+        self.down = _powers(_INVERSE, n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes * powers[:n], out=self.sums[1:])
+        np.cumsum(codes * _powers(_MULTIPLIER, n), out=self.sums[1:])
 
     def all(self, length: int) -> np.ndarray:
         """Hash of the stretch of ``length`` at each place."""

@@ -38,27 +38,28 @@ GRAM = 32
 COLLECTION = 1000
 PART = 500
 #: Places of the anchor in a string, in so many classes: what all strings of a class have in common must repeat.
-CELLS = 6
+CELLS = 12
 
 
 class ColumnFiles:
     """Columns of the transform in sequential files: a round reads those of the last and writes those of the next."""
 
-    TYPES = {"symbol": np.uint16, "common": np.uint8, "segment": np.int32, "suffix": np.uint16}
+    TYPES = {"symbol": np.uint8, "common": np.uint8, "origin": np.int32}
 
-    def __init__(self):
-        self.now = {k: tempfile.TemporaryFile() for k in self.TYPES}
-        self.next = {k: tempfile.TemporaryFile() for k in self.TYPES}
+    def __init__(self, symbol: type):
+        self.types = self.TYPES | {"symbol": symbol}
+        self.now = {k: tempfile.TemporaryFile() for k in self.types}
+        self.next = {k: tempfile.TemporaryFile() for k in self.types}
 
     def read(self, column: str) -> np.ndarray:
         f = self.now[column]
         f.seek(0)
-        return np.frombuffer(f.read(), self.TYPES[column])
+        return np.frombuffer(f.read(), self.types[column])
 
     def write(self, column: str, values: np.ndarray) -> None:
         f = self.next[column]
         f.seek(0)
-        f.write(np.ascontiguousarray(values, self.TYPES[column]).data)
+        f.write(np.ascontiguousarray(values, self.types[column]).data)
         f.truncate()
 
     def turn(self) -> None:
@@ -75,63 +76,72 @@ def collection_bwt(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nd
     k = len(segments)
     sizes = np.array([len(s) for s in segments], np.int64)
     ends = np.cumsum(sizes)
-    data = np.frombuffer(b"".join(segments), np.uint8).astype(np.uint16) + 1
-    files = ColumnFiles()
+    raw = np.frombuffer(b"".join(segments), np.uint8)
+    # Symbols are numbered as they occur: those of a collection of text fit into a byte.
+    used = np.flatnonzero(np.bincount(raw, minlength=256))
+    code = np.zeros(256, np.uint16)
+    code[used] = np.arange(1, len(used) + 1)
+    files = ColumnFiles(np.uint8 if len(used) < 256 else np.uint16)
+    # Before each segment stands a 0, so that a suffix that begins at ``origin`` is preceded by data[origin - 1].
+    data = np.zeros(len(raw) + k, files.types["symbol"])
+    begins = ends - sizes + np.arange(k)
+    inside = np.ones(len(data), bool)
+    inside[begins] = False
+    data[inside] = code[raw]
     try:
-        first = np.zeros(k, np.uint16)
-        first[sizes > 0] = data[ends[sizes > 0] - 1]
-        for column, values in (("symbol", first), ("common", np.zeros(k)), ("segment", np.arange(k)), ("suffix", np.zeros(k))):
+        origin = begins + sizes + 1  # of the empty suffixes
+        for column, values in (("symbol", data[origin - 1]), ("common", np.zeros(k)), ("origin", origin)):
             files.write(column, values)
         files.turn()
-        active = np.flatnonzero(first)  # places of the suffixes inserted last whose segments go on, in order
-        for column in range(1, int(sizes.max(initial=0)) + 1):
-            symbol = files.read("symbol")
-            common = np.append(files.read("common"), np.uint8(0))  # one more, so that a stretch may end at the end
+        active = np.flatnonzero(data[origin - 1])  # places of the suffixes inserted last whose segments go on, in order
+        while len(active):
+            symbol, common = files.read("symbol"), files.read("common")
             n = len(symbol)
             order = np.argsort(symbol, kind="stable")
-            begins = n - int(np.count_nonzero(symbol))
-            rank = np.empty(n, np.int64)
-            rank[order] = np.arange(n)
+            empty = n - int(np.count_nonzero(symbol))
+            rank = np.empty(n, np.int32)
+            rank[order] = np.arange(n, dtype=np.int32)
             # A symbol's suffix stands where its rank among all symbols says, after the empty suffixes.
-            active = active[np.argsort(rank[active])]
-            place = k + rank[active] - begins
+            by_rank = rank[active]
+            turn = np.argsort(by_rank)
+            active, by_rank = active[turn], by_rank[turn].astype(np.int64)
+            place = k + by_rank - empty
+            total = k + n - empty
+            own_symbol = symbol[active]
 
             def since(left, right):
                 """1 + the least common prefix after ``left`` up to ``right``, for pairs of places with equal symbols."""
                 stretch = np.stack([left + 1, right + 1], 1).ravel()
-                return np.minimum(np.minimum.reduceat(common, stretch)[::2], 254) + 1
+                return np.minimum(np.minimum.reduceat(closed, stretch)[::2], 254) + 1
 
-            before = order[np.maximum(rank[active] - 1, 0)]
-            has_before = (rank[active] > begins) & (symbol[before] == symbol[active])
-            own = np.zeros(len(active), np.int64)
+            closed = np.append(common, np.uint8(0))  # one more, so that a stretch may end at the end
+            before = order[np.maximum(by_rank - 1, 0)]
+            has_before = (by_rank > empty) & (symbol[before] == own_symbol)
+            own = np.zeros(len(active), np.uint8)
             if has_before.any():
                 own[has_before] = since(before[has_before], active[has_before])
-            after = order[np.minimum(rank[active] + 1, n - 1)]
-            has_after = (rank[active] + 1 < n) & (symbol[after] == symbol[active])
-            total = k + n - begins
+            after = order[np.minimum(by_rank + 1, n - 1)]
+            has_after = (by_rank + 1 < n) & (symbol[after] == own_symbol)
+            # Where each row of the next columns comes from: the old rows, and the new ones after them.
             new = np.zeros(total, bool)
             new[place] = True
-            segment = files.read("segment")
-            owner = segment[active]
-            left = sizes[owner] - column  # symbols still to come
-            following = np.where(left > 0, data[np.maximum(ends[owner] - column - 1, 0)], 0)
-
-            def insert(name, old, values):
-                out = np.empty(total, ColumnFiles.TYPES[name])
-                out[new] = values
-                out[~new] = old
-                return out
-
-            files.write("symbol", insert("symbol", symbol, following))
-            merged = insert("common", common[:-1], own)
+            source = np.cumsum(~new, dtype=np.int32)
+            source -= 1
+            source[place] = n + np.arange(len(place), dtype=np.int32)
+            origin = files.read("origin")
+            ahead = origin[active] - 1
+            following = data[ahead - 1]
+            files.write("symbol", np.concatenate([symbol, following]).take(source))
+            merged = np.concatenate([common, own]).take(source)
             if has_after.any():
                 merged[place[has_after] + 1] = since(active[has_after], after[has_after])
             files.write("common", merged)
-            files.write("segment", insert("segment", segment, owner))
-            files.write("suffix", insert("suffix", files.read("suffix"), column))
+            files.write("origin", np.concatenate([origin, ahead]).take(source))
             files.turn()
-            active = place[left > 0]
-        return tuple(files.read(c).copy() for c in ColumnFiles.TYPES)
+            active = place[following > 0]
+        symbol, common, origin = (files.read(c) for c in files.types)
+        segment = np.searchsorted(begins, origin, "left") - 1
+        return np.append(0, used + 1)[symbol], common.copy(), segment, begins[segment] + sizes[segment] + 1 - origin
     finally:
         files.close()
 
