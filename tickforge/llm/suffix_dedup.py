@@ -203,21 +203,28 @@ def _collections(length: int, gram: int, size: int):
         group, seg, start, begin = group[order], seg[order], start[order], begin[order]
         first = np.ones(len(group), bool)
         first[1:] = group[1:] != group[:-1]
-        split = rows["parts"].to_numpy()[seg] > 1
-        out = ~first | split
-        if not out.any():
+        # Strings that start earlier too, as stretches of consecutive ones; and the first ones of anchors in several parts.
+        later = np.flatnonzero(~first)
+        later = later[np.lexsort((begin[later], seg[later]))]
+        s, p = seg[later], begin[later]
+        new = np.ones(len(later), bool)
+        new[1:] = (s[1:] != s[:-1]) | (p[1:] != p[:-1] + 1)
+        counts = np.diff(np.append(np.flatnonzero(new), len(later)))
+        open_ = np.flatnonzero(first & (rows["parts"].to_numpy()[seg] > 1))
+        chosen = np.append(later[new], open_)
+        if not len(chosen):
             return None
-        data = np.frombuffer(b"".join(segments), np.uint8)
-        at = np.cumsum([0, *map(len, segments)])
-        chosen = np.flatnonzero(out)
         h = np.zeros(len(chosen), np.int64)
-        if (open_ := split[chosen] & first[chosen]).any():
-            i = chosen[open_]
-            h[open_] = mix(Rolling(_BYTE_CODES[data]).at(at[seg[i]] + start[i], length)).view(np.int64)
-        seg = pa.array(seg[chosen])
+        if len(open_):
+            data = np.frombuffer(b"".join(segments), np.uint8)
+            at = np.cumsum([0, *map(len, segments)])
+            h[len(chosen) - len(open_) :] = mix(Rolling(_BYTE_CODES[data]).at(at[seg[open_]] + start[open_], length)).view(np.int64)
+        lengths = np.append(length + counts - 1, np.full(len(open_), length)).astype(np.int64)
+        is_open = np.arange(len(chosen)) >= len(chosen) - len(open_)
+        own = pa.array(seg[chosen])
         return pa.RecordBatch.from_arrays(
-            [rows["anchor"].combine_chunks().take(seg), rows["doc_id"].combine_chunks().take(seg), rows[TEXT_KEY].combine_chunks().take(seg), pa.array(begin[chosen]), pa.array(open_), pa.array(h)],
-            names=["anchor", "doc_id", TEXT_KEY, "begin", "open", "string"],
+            [rows["anchor"].combine_chunks().take(own), rows["doc_id"].combine_chunks().take(own), rows[TEXT_KEY].combine_chunks().take(own), pa.array(begin[chosen]), pa.array(lengths), pa.array(is_open), pa.array(h)],
+            names=["anchor", "doc_id", TEXT_KEY, "begin", "length", "open", "string"],
         )
 
     def run(batches):
@@ -272,7 +279,7 @@ def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collect
     parts = F.ceil(F.col("kinds") / part)
     rest = rest.select("anchor", "doc_id", TEXT_KEY, "lo", "back", "content", parts.cast("int").alias("parts"), F.pmod(F.col("block"), parts).cast("int").alias("part"))
     rest = rest.repartition(partitions(spark), "anchor", "part").sortWithinPartitions("anchor", "part")
-    found = rest.mapInArrow(_collections(length, gram, collection), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, open boolean, string long")
+    found = rest.mapInArrow(_collections(length, gram, collection), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, length long, open boolean, string long")
     found = materialize(found, "strings")
     place = F.struct("doc_id", TEXT_KEY, "begin")
     open_ = found.where("open")
@@ -280,7 +287,7 @@ def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collect
     firsts = materialize(firsts.select("anchor", "string", "n", F.col("first.doc_id").alias("f_id"), F.col(f"first.{TEXT_KEY}").alias("f_key"), F.col("first.begin").alias("f_begin")), "firsts")
     later = lookup(open_, firsts, ["anchor", "string"], ["f_id", "f_key", "f_begin"], "n", "inner")
     later = later.where(~(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col(TEXT_KEY) == F.col("f_key")) & (F.col("begin") == F.col("f_begin"))))
-    cols = ["doc_id", TEXT_KEY, "begin", F.lit(length).cast("long").alias("length")]
+    cols = ["doc_id", TEXT_KEY, "begin", "length"]
     return settled.unionAll(found.where(~F.col("open")).select(*cols)).unionAll(later.select(*cols))
 
 
