@@ -2,8 +2,10 @@
 
 A test item of m characters may be found with up to k = floor(rate * m) edits.  Cut into k + 1 pieces, at least one
 piece of any such occurrence is untouched, so exact hits of pieces -- one pass of a string automaton over each whole
-text -- find all candidates.  A candidate's surrounding is then verified with Myers' bit-parallel distance, the
-pattern as one long integer.  Texts and items are compared in lower case with stretches of white space as one space.
+text -- find all candidates.  The same principle holds for halves: of two neighbouring stretches of a and b pieces with a + b - 1 edits
+in all, one has fewer edits than pieces.  So a hit counts only if the two pieces around it, then the four, and so on up to the whole item
+are there with fewer edits than pieces, each step verified in the hit's surrounding with Myers' bit-parallel distance, the
+stretch as one integer; most chance hits end at the first step.  Texts and items are compared in lower case with stretches of white space as one space.
 
 Items are broadcast in blocks of bounded size (``BLOCK_BYTES``); a larger benchmark takes several passes.
 
@@ -72,6 +74,31 @@ class Myers:
         return best, end
 
 
+class Stretch:
+    """Some neighbouring pieces of an item: one piece, or two halves."""
+
+    __slots__ = ("at", "end", "errors", "parent", "text", "_myers")
+
+    def __init__(self, pattern: str, parts: list[tuple[int, str]], parent: Stretch | None):
+        self.at, self.end = parts[0][0], parts[-1][0] + len(parts[-1][1])
+        self.errors, self.parent = len(parts) - 1, parent
+        self.text, self._myers = pattern[self.at : self.end], None
+
+    def distance(self, text: str) -> tuple[int, int]:
+        if self._myers is None:
+            self._myers = Myers(self.text)
+        return self._myers.search(text)
+
+
+def leaves(pattern: str, parts: list[tuple[int, str]], parent: Stretch | None = None) -> list[Stretch]:
+    """The pieces of a pattern, each knowing the stretch that it is half of."""
+    own = Stretch(pattern, parts, parent)
+    if len(parts) == 1:
+        return [own]
+    half = len(parts) // 2
+    return leaves(pattern, parts[:half], own) + leaves(pattern, parts[half:], own)
+
+
 class Matcher:
     """Items, their pieces in one automaton, and their verifiers."""
 
@@ -83,10 +110,9 @@ class Matcher:
             pattern = normalise(text)
             if len(pattern) < min_chars:
                 continue
-            errors = int(rate * len(pattern))
-            for at, piece in pieces(pattern, errors):
-                found.setdefault(piece, []).append((len(self.items), at))
-            self.items.append((item_id, pattern, errors, Myers(pattern)))
+            for leaf in leaves(pattern, pieces(pattern, int(rate * len(pattern)))):
+                found.setdefault(leaf.text, []).append((len(self.items), leaf))
+            self.items.append(item_id)
         self.automaton = ahocorasick.Automaton()
         for piece, where in found.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -97,24 +123,26 @@ class Matcher:
         """(item_id, distance, end in the normalised text) of each item found, with its least distance."""
         if not self.items:
             return []
-        windows: dict[int, list[tuple[int, int]]] = {}
+        best: dict[int, tuple[int, int]] = {}
+        seen: set[tuple[int, Stretch, int]] = set()
         for end, (n, where) in self.automaton.iter(text):
-            for i, at in where:
-                _, pattern, errors, _ = self.items[i]
-                begin = end + 1 - n - at
-                a, b = max(0, begin - errors), begin + len(pattern) + errors
-                own = windows.setdefault(i, [])
-                if own and a <= own[-1][1]:
-                    own[-1] = (min(own[-1][0], a), max(own[-1][1], b))
+            for i, leaf in where:
+                begin = end + 1 - n - leaf.at  # of the item, without edits
+                node, last = leaf.parent, (0, end + 1)
+                while node is not None:
+                    # Edits of a stretch that holds the hit can move its ends by so many places at most.
+                    a, b = max(0, begin + node.at - node.errors), begin + node.end + node.errors
+                    if node.parent is None:  # the whole item, once for a place
+                        if (i, node, begin) in seen:
+                            break
+                        seen.add((i, node, begin))
+                    d, e = node.distance(text[a:b])
+                    if d > node.errors:
+                        break
+                    last, node = (d, a + e), node.parent
                 else:
-                    own.append((a, b))
-        out = []
-        for i, spans in windows.items():
-            item_id, _, errors, myers = self.items[i]
-            best = min((d, a + e) for a, b in spans for d, e in [myers.search(text[a:b])])
-            if best[0] <= errors:
-                out.append((item_id, *best))
-        return out
+                    best[i] = min(best.get(i, last), last)
+        return [(self.items[i], *x) for i, x in best.items()]
 
 
 def _item_blocks(benchmark: DataFrame) -> list:
