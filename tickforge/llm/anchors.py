@@ -46,7 +46,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         have = np.full(n, base, np.uint64)
         have[:1] = 1
         np.multiply.accumulate(have, out=have)
-        if n <= 1 << 21:
+        if n <= 1 << 19:
             _known[base] = have
     return have[:n]
 

@@ -55,7 +55,7 @@ def features(word: str) -> list[str]:
 class Weights(dict):
     """Weight of a word, kept once it was met."""
 
-    def __init__(self, of: dict[str, float], most: int = 500_000):
+    def __init__(self, of: dict[str, float], most: int = 100_000):
         super().__init__()
         self.of, self.most = of, most
 
