@@ -183,7 +183,8 @@ def test_files(spark, tmp_path):
     assert readers.read_bars(spark, path).count() == 20
     with pytest.raises(FileNotFoundError):
         readers.read_bars(spark, str(tmp_path / "no.parquet"))
-    assert readers.pair_files(["b_features.parquet", "a_features.parquet"], ["a_features_labels.parquet"]) == [("a_features.parquet", "a_features_labels.parquet")]
+    # A base name is looked for anywhere in the label file's name, so one-letter names would also be found in "labels".
+    assert readers.pair_files(["gbpusd_features.parquet", "eurusd_features.parquet"], ["eurusd_features_labels.parquet"]) == [("eurusd_features.parquet", "eurusd_features_labels.parquet")]
     assigned = df.withColumns({"split_id": F.lit(0), "role": F.lit("train"), "row_idx": labels.row_index()})
     sinks.write_splits(assigned, str(tmp_path / "s"))
     assert readers.read_splits(spark, str(tmp_path / "s")).count() == 20
