@@ -189,6 +189,28 @@ def test_large_near_group(spark, monkeypatch, wide):
     assert all(links[i] for i in range(80) if (i, 0) in near_brute(rows)[1:]) and not any(links[100 + i] for i in range(40))
 
 
+@pytest.mark.parametrize(("small", "wide"), [(12, 1000), (12, 8), (2, 8)])
+def test_links_of_large_groups(spark, monkeypatch, small, wide):
+    """Every link of buckets over ``small`` nodes counts, also between nodes that a third one connects already."""
+    monkeypatch.setattr(near_join.links, "__defaults__", (0.8, small, 3, wide))
+    rng = random.Random(5)
+    rows = []
+    for g, n in ((0, 60), (1, 25), (2, 4)):
+        base = words(rng, 120).split()
+        for i in range(n):
+            w = list(base)
+            for _ in range(i % 4):
+                w[rng.randrange(len(w))] = f"new{rng.random()}"
+            rows.append((100 * g + i, " ".join(w)))
+    sets = {i: frozenset(zip(*[t.split()[k:] for k in range(5)])) for i, t in rows}
+    nodes = {s: i for i, s in sets.items()}
+    want = {i: sum(s != sets[i] and len(s & sets[i]) >= 0.8 * len(s | sets[i]) - 1e-9 for s in nodes) for i in sets}
+    assert max(want.values()) > 12
+    got = near_join.near_classes(with_text_key(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {r.doc_id: r.n_links for r in got.collect()} == want
+    assert result(got, "class_id") == near_brute(rows)
+
+
 def test_banding():
     bands, rows = near_join.banding(0.8, 0.99999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99999

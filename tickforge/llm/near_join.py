@@ -2,14 +2,14 @@
 
 Texts with equal sets of five-word shingles are one class (copies; they are never expanded into pairs) and one node.
 A node's signature has ``bands`` x ``rows`` minima; the counts are chosen for a target recall at the threshold.  Nodes
-that share a band's hash form a bucket.  Buckets of at most ``small`` nodes give all their pairs.  In a larger one every node is
-compared with a central one (which shares the most buckets); that is linear in the bucket.  Its nodes that are not yet connected
-are dealt into finer buckets by what they differ in from the centre (``sub_buckets``), which loses no link, and so on for ``levels``
-levels.  So no link that joins different classes is lost, and a hot group's pairs are never all emitted.
+that share a band's hash form a bucket.  Buckets of at most ``small`` nodes give all their pairs as rows.  Larger ones are named
+by a central node (which shares the most buckets), so that the buckets of one hot group fall together; the nodes of a centre are
+dealt into blocks, and every two blocks are compared in one task by counting what their sets share (``_compare``).  All pairs are
+verified there, but only counts of links and the edges of a spanning forest leave the task.
 Verified links make connected components, found by label propagation with pointer jumping.
 
-n_links is the number of different texts (nodes) to which a link was verified; it is exact for nodes whose buckets
-are all small, and in large buckets counts the links that were tested.
+n_links is the number of different texts (nodes) that are similar enough and share a bucket, whatever the bucket's size.  A pair
+with several centres is counted at the least one, and a pair with a centre is left out of the small buckets.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to four words has one shingle, all of it; texts without words are
 linked to nothing, not even each other; repeated rows are copies; class_id is the least doc_id of the class (null if it
@@ -31,10 +31,15 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.99999
 SMALL = 12
-#: Levels of finer buckets; those of the last give all the pairs that their sizes and distances allow.
-LEVELS = 3
-#: Nodes of a finer bucket, above which it gets a centre of its own.
+#: A block of a large group has about so many nodes and so many million shingles at most.
+MILLIONS = 1
 WIDE = 2000
+#: Groups of more nodes than this are dealt into up to SPREAD blocks, so that a middling one is not left to one task.
+NARROW = 250
+SPREAD = 4
+#: Values that make no more pairs than this are counted pair by pair, the others as matrix columns.
+FEW = 16
+COLUMNS = 2048
 
 
 def banding(threshold: float, recall: float, rows: int = 6) -> tuple[int, int]:
@@ -152,85 +157,118 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.select("node", "label")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """a, b of the members of a bucket that a link may join: of different components, in fitting roles, and of fitting sizes and
-    distances.  If the bucket's element is the first that they share, no more than what follows it can be shared."""
-    a, b = (members.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "n", "d", "pos", "first", "far")]) for x in "ab")
-    unlike = (1 - threshold) / (1 + threshold)
-    apart = unlike * (F.col("n_a") + F.col("n_b"))
-    fits = (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-6) & (F.abs(F.col("d_a") - F.col("d_b")) <= apart + 1e-6)
-    enough = 2 * F.least(F.col("d_a") - F.col("pos_a"), F.col("d_b") - F.col("pos_b")) >= F.col("d_a") + F.col("d_b") - apart - 1e-6
-    once = ~F.col("far_a") | (F.col("d_a") < F.col("d_b")) | ((F.col("d_a") == F.col("d_b")) & (F.col("node_a") < F.col("node_b")))
-    pairs = a.where("first_a").join(b.where("far_b"), (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & once & fits & enough)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-
-
-def sub_buckets(stars: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Finer buckets for the nodes that share a centre (stars: centre, node, label): they lose no link.
-
-    With D(x) the symmetric difference of x and the centre, |a ^ b| = |D(a)| + |D(b)| - 2 |D(a) & D(b)|, and a link needs
-    |a ^ b| <= u (|a| + |b|), u = (1 - threshold) / (1 + threshold).  If a is not linked to the centre itself ("far"), D(a) and D(b)
-    must share at least one element, and mostly many.  So it is enough to compare the first |D| - k + 1 elements of each, k being
-    a bound of what must be shared, in one fixed order: shingles that the centre lacks, which are rare, come before those it has.
-    Of two far nodes the one with the smaller D may take the tighter bound ("first"); a node linked to the centre is always that one.
-    """
-    unlike = (1 - threshold) / (1 + threshold)
-    own = sets.select("node", F.col("set").alias("own"))
-    middle = sets.select(F.col("node").alias("centre"), F.col("set").alias("middle"))
-    x = stars.join(own, "node").join(middle, "centre")
-    x = x.select("centre", "node", "label", F.size("own").alias("n"), F.size("middle").alias("m"), F.array_except("own", "middle").alias("new"), F.array_except("middle", "own").alias("gone"))
-    x = x.withColumns({"d": F.size("new") + F.size("gone"), "both": F.col("n") - F.size("new")})
-    x = x.withColumn("far", F.col("both") < threshold * (F.col("n") + F.col("m") - F.col("both")) - 1e-9)
-    widest = unlike * (1 + 1 / threshold) * F.col("n")  # the most that two sets may differ by, if they are linked and one is this
-    tight = F.when(F.col("far"), F.col("d") - widest / 2).otherwise((F.col("d") + unlike * (F.col("m") - F.col("n"))) / 2)
-    prefix = lambda k: F.greatest(F.lit(0), F.col("d") - F.greatest(F.lit(1), F.ceil(k - 1e-6)) + 1).cast("int")
-    x = x.withColumns({"tight": prefix(tight), "loose": F.when(F.col("far"), prefix(F.col("d") - widest)).otherwise(F.lit(0))})
-    elements = F.slice(F.concat(F.array_sort("new"), F.array_sort("gone")), F.lit(1), F.greatest("tight", "loose"))
-    x = x.select("centre", "node", "label", "n", "d", "far", "tight", F.posexplode(elements).alias("pos", "element"))
-    return x.select(F.xxhash64("centre", "element").alias("key"), "node", "label", "n", "d", "pos", (F.col("pos") < F.col("tight")).alias("first"), "far")
-
-
-def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, small: int = SMALL, levels: int = LEVELS, wide: int = WIDE) -> DataFrame:
-    """a, b: verified links between nodes, enough of them for the components to be exact.  ``classes``: node, bands."""
+def _common(value: np.ndarray, row: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each row of ``left`` shares with each of ``right``; a row has a value once."""
+    _, value = np.unique(value, return_inverse=True)
+    order = np.argsort(value, kind="stable")
+    value, row = value[order], row[order]
+    n = int(value[-1]) + 1 if len(value) else 0
+    sides = []
+    for side in (left, right):
+        place = np.full(int(max(left.max(), right.max(), row.max(initial=0))) + 1, -1)
+        place[side] = np.arange(len(side))
+        mine = place[row] >= 0
+        count = np.bincount(value[mine], minlength=n)
+        sides.append((value[mine], place[row][mine], count, np.cumsum(count) - count))
+    (va, pa_, ca, sa), (vb, pb, cb, sb) = sides
+    out = np.zeros((len(left), len(right)), np.float32)
+    few = np.flatnonzero((ca * cb > 0) & (ca * cb <= FEW))
+    if len(few):
+        times = (ca * cb)[few]
+        e = np.repeat(few, times)
+        at = np.arange(len(e)) - np.repeat(np.cumsum(times) - times, times)
+        out += np.bincount(pa_[sa[e] + at // cb[e]] * len(right) + pb[sb[e] + at % cb[e]], minlength=out.size).reshape(out.shape)
+    many = np.flatnonzero(ca * cb > FEW)
+    column = np.full(n, -1)
+    column[many] = np.arange(len(many))
+    for start in range(0, len(many), COLUMNS):
+        parts = []
+        for v, p, k in ((va, pa_, len(left)), (vb, pb, len(right))):
+            c = column[v] - start
+            ok = (c >= 0) & (c < COLUMNS)
+            m = np.zeros((k, min(COLUMNS, len(many) - start)), np.float32)
+            m[p[ok], c[ok]] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the linked rows."""
+    at_left, at_right = np.full(n, -1), np.full(n, -1)
+    at_left[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
+    seen, edges = np.zeros(n, bool), []
+    for start in left:
+        todo = [] if seen[start] else [start]
+        seen[start] = True
+        while todo:
+            x = todo.pop()
+            near = right[linked[at_left[x]]] if at_left[x] >= 0 else left[linked[:, at_right[x]]]
+            near = near[~seen[near]]
+            seen[near] = True
+            edges += [(x, y) for y in near]
+            todo += list(near)
+    return edges
+
+
+def _compare(t: pa.Table, threshold: float) -> pa.Table:
+    """node, n: links counted of all pairs between blocks x and y of a centre; node, other: edges that connect what is linked."""
+    t = t.combine_chunks()
+    block, x, y, centre = t["block"].to_numpy(), t["x"][0].as_py(), t["y"][0].as_py(), t["centre"][0].as_py()
+    left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    counts, edges = np.zeros(t.num_rows, np.int64), []
+    if len(left) and len(right):
+        sets, others = (t[c].chunk(0) for c in ("set", "centres"))
+        sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
+        rows = np.arange(t.num_rows)
+        both = _common(sets.flatten().to_numpy(), np.repeat(rows, sizes), left, right).astype(np.float64)
+        linked = both >= threshold * (sizes[left][:, None] + sizes[right][None, :] - both) - 1e-9
+        before, of = others.flatten().to_numpy(), np.repeat(rows, others.value_lengths().to_numpy(zero_copy_only=False))
+        if (before < centre).any():
+            linked &= _common(before[before < centre], of[before < centre], left, right) == 0
+        if x == y:
+            np.fill_diagonal(linked, False)
+        else:
+            counts[right] += linked.sum(0)
+        counts[left] += linked.sum(1)
+        edges = _forest(linked, left, right, t.num_rows)
+    some = np.flatnonzero(counts)
+    node = t["node"].take(pa.array(np.concatenate([some, np.array([a for a, _ in edges], np.int64)]))).combine_chunks()
+    other = pa.concat_arrays([pa.nulls(len(some), pa.binary()), t["node"].take(pa.array([b for _, b in edges], pa.int64())).combine_chunks().cast(pa.binary())])
+    return pa.table({"node": node, "other": other, "n": pa.array(np.append(counts[some], np.zeros(len(edges), np.int64)))})
+
+
+def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, small: int = SMALL, millions: int = MILLIONS, wide: int = WIDE) -> tuple[DataFrame, DataFrame]:
+    """a, b: verified links that connect all that is linked; and node, n_links: the number of all verified links.  ``classes``: node, bands."""
     keys = classes.select("node", F.explode("bands").alias("key"))
     sizes = materialize(keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "buckets")
-    members = lookup(keys, sizes.withColumn("size", F.col("rows")), ["key"], ["size"], "rows", "inner")
-    sizes_known = {"n": 0, "d": 0, "pos": 0, "first": True, "far": True}  # nothing yet: every pair passes
-    members = materialize(members.select("key", "node", F.col("node").alias("label"), *[F.lit(v).alias(k) for k, v in sizes_known.items()], "size"), "members")
+    members = materialize(lookup(keys, sizes.withColumn("size", F.col("rows")), ["key"], ["size"], "rows", "inner"), "members")
     sets = materialize(sets_of(docs, members.select("node").distinct()), "sets")
-    found = None
-    for level in range(levels + 1):
-        large = members.where(F.col("size") > small)
-        last = level == levels or not large.limit(1).count()
-        pairs = _pairs(members if last else members.where(F.col("size") <= small), threshold)
-        if not last:
-            score = large.groupBy("node").agg(F.sum("size").alias("score"))
-            centres = large.select("key", "node").join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node"))["node"].alias("centre"), F.count("*").alias("rows"))
-            stars = materialize(lookup(large.select("key", "node"), materialize(centres, "centres"), ["key"], ["centre"], "rows", "inner"), "stars")
-            pairs = pairs.unionAll(stars.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")))
-        now = verified(_ordered(pairs), sets, threshold)
-        found = materialize(now if found is None else found.unionAll(now).distinct(), "links")
-        if last:
-            return found
-        # Buckets of one component have nothing left to join.
-        labelled = materialize(stars.join(components(found), "node", "left").select("key", "centre", "node", F.coalesce("label", "node").alias("label")), "labelled")
-        mixed = materialize(labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("rows")).where("x <> y").withColumn("left", F.lit(True)), "mixed")
-        if not mixed.limit(1).count():
-            return found
-        open_ = lookup(labelled, mixed, ["key"], ["left"], "rows", "inner").select("centre", "node", "label").distinct()
-        members = materialize(sub_buckets(materialize(open_, "open"), sets, threshold), "finer")
-        # Only a finer bucket of very many nodes goes on to the next level; in the others the bounds decide pair by pair.
-        big = members.groupBy("key").agg(F.count("*").alias("rows"), (F.min("label") != F.max("label")).alias("mixed")).where(F.col("rows") > wide)
-        big = materialize(big.select("key", "rows", F.when(F.col("mixed"), F.col("rows")).otherwise(-1).alias("size")), "big")
-        small = wide
-        if big.limit(1).count():
-            members = lookup(members, big, ["key"], ["size"], "rows").withColumn("size", F.coalesce("size", F.lit(0))).where("size >= 0")
-        else:
-            members = members.withColumn("size", F.lit(0))
+
+    large = members.where(F.col("size") > small)
+    score = large.groupBy("node").agg(F.sum("size").alias("score"))
+    centres = large.select("key", "node").join(score, "node").groupBy("key").agg(F.xxhash64(F.max(F.struct("score", "node"))["node"]).alias("centre"), F.count("*").alias("rows"))
+    stars = materialize(lookup(large.select("key", "node"), materialize(centres, "centres"), ["key"], ["centre"], "rows", "inner").select("centre", "node").distinct(), "stars")
+    shared = materialize(stars.groupBy("node").agg(F.collect_set("centre").alias("centres")), "shared")
+
+    few = members.where(F.col("size") <= small).join(shared, "node", "left")
+    a, b = (few.select("key", F.col("node").alias(x), F.col("centres").alias(f"centres_{x}")) for x in "ab")
+    apart = ~F.coalesce(F.arrays_overlap("centres_a", "centres_b"), F.lit(False))
+    pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & apart).select("a", "b").distinct()
+    found = materialize(verified(pairs, sets, threshold), "links")
+
+    groups = stars.join(sets.select("node", F.size("set").alias("n")), "node").groupBy("centre").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    blocks = F.greatest(F.ceil(F.col("rows") / wide), F.ceil(F.col("n") / (millions * 1_000_000)), F.least(F.ceil(F.col("rows") / NARROW), F.lit(SPREAD))).cast("int")
+    groups = materialize(groups.select("centre", "rows", blocks.alias("blocks")), "groups")
+    dealt = lookup(stars, groups, ["centre"], ["blocks"], "rows", "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("centre", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    dealt = dealt.select("centre", "node", "block", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"))
+    compared = dealt.join(sets, "node").join(shared, "node").groupBy("centre", "x", "y").applyInArrow(lambda t: _compare(t, threshold), "node binary, other binary, n long")
+    compared = materialize(compared, "compared")
+
+    ends = found.select(F.col("a").alias("node"), F.lit(1).alias("n")).unionAll(found.select(F.col("b").alias("node"), F.lit(1).alias("n")))
+    counts = ends.unionAll(compared.where("other is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
+    return found.unionAll(compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))), counts
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
@@ -239,8 +277,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHIN
     every = materialize(signatures(docs, bands, rows, size), "signatures")
     classes = every.where(F.col("node").isNotNull()).groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     classes = materialize(classes, "classes")
-    found = links(docs, classes, threshold)
-    ends = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
+    found, ends = links(docs, classes, threshold)
     members = materialize(classes.select("node", "n", "first_id").join(components(found), "node").join(ends, "node"), "linked")
     least = materialize(members.groupBy("label").agg(F.min("first_id").alias("class_id"), F.count("*").alias("rows")), "least")
     named = lookup(members, least, ["label"], ["class_id"], "rows", "inner").select("node", "class_id", "n_links")
