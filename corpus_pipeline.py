@@ -25,9 +25,9 @@ def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least id stays."""
+    """Of each class of near copies the document with the least id stays; of several with that id the one with the least hash."""
     classes = near_join.near_classes(with_text_key(docs))
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("class_id").alias("_id")).agg(F.min(TEXT_KEY).alias("_key"))
+    kept = classes.where("is_first").select(F.col("doc_id").alias("_id"), F.col(TEXT_KEY).alias("_key"))
     keyed = docs.withColumn(TEXT_KEY, F.xxhash64("text"))
     found = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed[TEXT_KEY] == kept["_key"]), "left_semi")
     return found.dropDuplicates(["doc_id", TEXT_KEY]).drop(TEXT_KEY)

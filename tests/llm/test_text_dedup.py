@@ -211,6 +211,20 @@ def test_links_of_large_groups(spark, monkeypatch, small, wide):
     assert result(got, "class_id") == near_brute(rows)
 
 
+def test_first_of_each_near_class(spark):
+    """Unrelated documents stay, also with null ids or one id for several texts; wordless ones are never copies of each other."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    a, b, c, d, e, f = (words(rng, 60) for _ in range(6))
+    rows = [(None, a), (None, b), (None, b + " more"), (7, c), (7, d), (9, d + " more"), (3, e), (None, e + " more"), (2, e + " other"), (4, ""), (5, None), (4, " "), (7, d), (None, f), (8, f)]
+    got = cp.one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    got = [tuple(r) for r in got.collect()]
+    one_b = [r for r in got if r[1] in (b, b + " more")]
+    want = [(None, a), (7, c), (7, d), (2, e + " other"), (4, ""), (4, " "), (5, None), (8, f)]
+    assert len(one_b) == 1 and sorted((r for r in got if r not in one_b), key=repr) == sorted(want, key=repr)
+
+
 def test_banding():
     bands, rows = near_join.banding(0.8, 0.99999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.99999

@@ -13,7 +13,8 @@ with several centres is counted at the least one, and a pair with a centre is le
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to four words has one shingle, all of it; texts without words are
 linked to nothing, not even each other; repeated rows are copies; class_id is the least doc_id of the class (null if it
-has none); other columns are ignored.
+has none), which does not name the class: classes of null ids only, or of one id with different texts, may have the same; other
+columns are ignored.  The first of a class is its least document by (doc_id, nulls last; hash of the text).
 """
 
 from __future__ import annotations
@@ -272,21 +273,22 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, sma
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
-    """doc_id, key, class_id, n_links, n_copies of every document of ``docs`` (see with_text_key)."""
+    """doc_id, key, class_id, n_links, n_copies, is_first (of its class) of every document of ``docs`` (see with_text_key)."""
     bands, rows = banding(threshold, recall)
     every = materialize(signatures(docs, bands, rows, size), "signatures")
-    classes = every.where(F.col("node").isNotNull()).groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    classes = every.where(F.col("node").isNotNull()).groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", TEXT_KEY)).alias("own_first"), F.first("bands").alias("bands"))
     classes = materialize(classes, "classes")
     found, ends = links(docs, classes, threshold)
-    members = materialize(classes.select("node", "n", "first_id").join(components(found), "node").join(ends, "node"), "linked")
-    least = materialize(members.groupBy("label").agg(F.min("first_id").alias("class_id"), F.count("*").alias("rows")), "least")
-    named = lookup(members, least, ["label"], ["class_id"], "rows", "inner").select("node", "class_id", "n_links")
-    names = classes.select("node", "n", "first_id").join(named, "node", "left")
-    names = materialize(names.select("node", "n", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_copies")), "names")
-    out = lookup(every.drop("bands"), names, ["node"], ["class_id", "n_links", "n_copies"], "n")
+    members = materialize(classes.select("node", "n", "own_first").join(components(found), "node").join(ends, "node"), "linked")
+    least = materialize(members.groupBy("label").agg(F.min("own_first").alias("first"), F.count("*").alias("rows")), "least")
+    named = lookup(members, least, ["label"], ["first"], "rows", "inner").select("node", "first", "n_links")
+    names = classes.select("node", "n", "own_first").join(named, "node", "left")
+    names = materialize(names.select("node", "n", F.coalesce("first", "own_first").alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_copies")), "names")
+    out = lookup(every.drop("bands"), names, ["node"], ["first", "n_links", "n_copies"], "n")
     alone = F.col("node").isNull()
-    return out.select("doc_id", TEXT_KEY, F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
+    is_first = alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col(TEXT_KEY) == F.col(f"first.{TEXT_KEY}")))
+    return out.select("doc_id", TEXT_KEY, F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), is_first.alias("is_first"))
 
 
 def op9_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(with_text_key(read_table(spark, sf_dir, "documents"))).drop(TEXT_KEY)
+    return near_classes(with_text_key(read_table(spark, sf_dir, "documents"))).drop(TEXT_KEY, "is_first")
