@@ -9,9 +9,11 @@ are different documents.  A null id is an id like any other.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,16 @@ from pyspark.sql import functions as F
 TEXT_KEY = "_text_key"
 
 
+_own_dir: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; one of our own only where it is unset (tests on one machine)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tickforge-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        if not _own_dir:
+            _own_dir.append("file://" + tempfile.mkdtemp(prefix="tickforge-"))
+        path = _own_dir[0]
     return path.rstrip("/")
 
 
@@ -97,20 +102,39 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], cols: list[str],
     """Join ``left`` (many rows a key) with ``right`` (one row a key, ``n`` = rows of that key in ``left``).
 
     The hot keys of ``right`` -- by the definition above at most HOT_SHARE rows, which is the proven bound of this
-    broadcast -- are sent to all tasks, and the hot rows of ``left`` are salted, so that no task of the shuffle join
-    for the rest gets a group.  ``right`` should be a written table, since it is read three times.
+    broadcast -- are sent to all tasks.  The shuffle join for the rest is on the keys and a salt: 0 on the right and for
+    cold rows, a hash of the whole row (the same if a lost task runs again) for rows that are answered already.  It comes
+    from the rows, so that it stays part of the exchange's key and the rows of a hot key are dealt over all partitions.  ``right`` should be a written
+    table, since it is read three times.
     """
     total = right.agg(F.sum(n)).first()[0] or 0
     limit = max(total // HOT_SHARE, 1000)
-    hot = right.where(F.col(n) > limit).select(*[F.col(k).alias(f"_h_{k}") for k in keys], *[F.col(c).alias(f"_h_{c}") for c in cols], F.lit(True).alias("_hot"))
-    cold = right.where(F.col(n) <= limit).select(*[F.col(k).alias(f"_c_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in cols], F.lit(True).alias("_cold"), F.lit(0).alias("_c_salt"))
-    out = left
-    if total > limit and hot.limit(1).count():
-        out = out.join(F.broadcast(hot), [F.col(k) == F.col(f"_h_{k}") for k in keys], "left")
-    else:
-        out = out.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in hot.schema])
-    out = out.withColumn("_salt", F.when(F.col("_hot"), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")).otherwise(F.lit(0)))
+    of = lambda df, p: df.select(*[F.col(k).alias(f"{p}{k}") for k in keys], *[F.col(c).alias(f"{p}{c}") for c in cols], F.lit(True).alias(f"{p}hit"), F.col(n).alias(f"{p}n"))
+    hot = of(right.where(F.col(n) > limit), "_h_")
+    if not (total > limit and hot.limit(1).count()):  # no hot key: a plain join
+        out = left.join(of(right, "_c_"), [F.col(k) == F.col(f"_c_{k}") for k in keys], "inner" if how == "inner" else "left")
+        return out.select(*left.columns, *[F.col(f"_c_{c}").alias(c) for c in cols])
+    # ``_c_n`` is at least 0, which the optimizer does not know: the salt cannot be folded into a constant.
+    cold = of(right.where(F.col(n) <= limit), "_c_").withColumn("_c_salt", F.least(F.col("_c_n"), F.lit(0)).cast("int"))
+    out = left.join(F.broadcast(hot), [F.col(k) == F.col(f"_h_{k}") for k in keys], "left")
+    out = out.withColumn("_salt", F.when(F.col("_h_hit"), 1 + F.pmod(F.xxhash64(*left.columns), F.lit(4096)).cast("int")).otherwise(F.lit(0)))
     out = out.join(cold, [*[F.col(k) == F.col(f"_c_{k}") for k in keys], F.col("_salt") == F.col("_c_salt")], "left")
     if how == "inner":
-        out = out.where(F.col("_hot") | F.col("_cold"))
+        out = out.where(F.col("_h_hit") | F.col("_c_hit"))
     return out.select(*left.columns, *[F.coalesce(f"_h_{c}", f"_c_{c}").alias(c) for c in cols])
+
+
+def released(run):
+    """A task's generator that gives memory back to the system when it ends: Spark reuses its Python workers for later stages."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library: nothing to do
+                pass
+
+    return wrapped
