@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TEXT_KEY, attach, lookup, materialize
+from .common import TEXT_KEY, attach, lookup, materialize, released
 from .packing import slices
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -202,7 +202,7 @@ class Anchored:
         def emit(part, x, blocks):
             yield pa.RecordBatch.from_arrays([pa.array(blocks.anchor_hash)], names=["anchor"])
 
-        anchors = self.docs.mapInArrow(self._each(emit), "anchor long")
+        anchors = self.docs.mapInArrow(released(self._each(emit)), "anchor long")
         return materialize(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
 
     def blocks_of(self, anchors: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ class Anchored:
                 names=["anchor", "block", "doc_id", TEXT_KEY, "lo", "span"],
             )
 
-        rows = self.docs.mapInArrow(self._each(emit), f"anchor long, block long, doc_id long, {TEXT_KEY} long, lo int, span int")
+        rows = self.docs.mapInArrow(released(self._each(emit)), f"anchor long, block long, doc_id long, {TEXT_KEY} long, lo int, span int")
         rows = lookup(rows, anchors.withColumn("again", F.lit(True)), ["anchor"], ["again"], "n", "inner").drop("again")
         return materialize(rows, "blocks")
 
@@ -241,7 +241,7 @@ class Anchored:
                 own = extra(part, x, blocks, ok)
                 yield pa.RecordBatch.from_arrays([pa.array(blocks.block_hash[ok]), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
 
-        found = self.docs.mapInArrow(self._each(emit), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}")
+        found = self.docs.mapInArrow(released(self._each(emit)), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}")
         same = (groups["block"] == found["r_block"]) & groups["doc_id"].eqNullSafe(found["r_id"]) & (groups[TEXT_KEY] == found["r_key"]) & (groups["lo"] == found["r_lo"])
         return groups.join(found, same).drop("r_block", "r_id", "r_key", "r_lo")
 
@@ -275,4 +275,4 @@ def cut_spans(docs: DataFrame, spans: DataFrame, tokens, joiner: bytes) -> DataF
             n = np.array(rows, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.binary()), *(pa.array(n[:, i].copy()) for i in range(3))], names=["doc_id", "kept", "n", "n_removed", "n_spans"])
 
-    return attach(docs, per_doc, ["begins", "lengths"]).mapInArrow(run, "doc_id long, kept binary, n long, n_removed long, n_spans long")
+    return attach(docs, per_doc, ["begins", "lengths"]).mapInArrow(released(run), "doc_id long, kept binary, n long, n_removed long, n_spans long")

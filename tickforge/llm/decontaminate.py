@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, released
 
 #: Edits for each character of an item.
 RATE = 0.1
@@ -168,7 +168,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["doc_id", "item_id", "distance", "end"])
 
-        out = out.unionAll(docs.mapInArrow(run, schema))
+        out = out.unionAll(docs.mapInArrow(released(run), schema))
     return out
 
 
@@ -181,7 +181,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_chars:
             for b in batches:
                 yield b.filter(pa.array([not matcher.match(normalise(t)) for t in b.column("text").to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(released(run), docs.schema)
     return docs
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import once
-from .common import TEXT_KEY, attach, materialize, partitions, read_table, with_text_key
+from .common import TEXT_KEY, attach, materialize, partitions, read_table, released, with_text_key
 
 MIN_DOCS = 10
 
@@ -218,7 +218,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
                 gone.append(lines - len(kept))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["doc_id", "text", "n_lines", "n_dropped"])
 
-    return attach(with_text_key(docs), bitmaps, ["keep_bitmap"]).mapInArrow(run, "doc_id long, text string, n_lines long, n_dropped long")
+    return attach(with_text_key(docs), bitmaps, ["keep_bitmap"]).mapInArrow(released(run), "doc_id long, text string, n_lines long, n_dropped long")
 
 
 def cut_documents(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def cut_documents(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     columns = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    cut = attach(docs.withColumn(TEXT_KEY, F.xxhash64("text")), bitmaps.withColumnRenamed("keep_bitmap", "_keep_bitmap"), ["_keep_bitmap"]).mapInArrow(run, schema)
+    cut = attach(docs.withColumn(TEXT_KEY, F.xxhash64("text")), bitmaps.withColumnRenamed("keep_bitmap", "_keep_bitmap"), ["_keep_bitmap"]).mapInArrow(released(run), schema)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else cut
 
 

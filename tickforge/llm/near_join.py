@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import Rolling, Sieve, mix, word_codes
-from .common import TEXT_KEY, lookup, materialize, read_table, with_text_key
+from .common import TEXT_KEY, lookup, materialize, read_table, released, with_text_key
 from .packing import slices
 
 SHINGLE = 5
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, size: int = SHINGLE) -> D
                 ends[1:] = np.cumsum(np.where(sizes > 0, bands, 0))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column(TEXT_KEY), pa.array(node.tolist(), pa.binary()), pa.ListArray.from_arrays(ends, hashes.view(np.int64).ravel())], names=["doc_id", TEXT_KEY, "node", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id long, {TEXT_KEY} long, node binary, bands array<long>")
+    return docs.mapInArrow(released(run), f"doc_id long, {TEXT_KEY} long, node binary, bands array<long>")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -132,7 +132,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFrame
                     ends = np.append(0, np.cumsum(sizes[chosen])).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([_name_array(names[ok]), pa.ListArray.from_arrays(ends, h[member].view(np.int64))], names=["node", "set"])
 
-    found = docs.mapInArrow(run, "node binary, set array<long>").groupBy("node").agg(F.first("set").alias("set"))
+    found = docs.mapInArrow(released(run), "node binary, set array<long>").groupBy("node").agg(F.first("set").alias("set"))
     return found.join(nodes.select("node"), "node", "left_semi")
 
 

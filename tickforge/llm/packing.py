@@ -6,7 +6,8 @@
    although one length may hold most rows; a partition's part of a length is counted, and those counts -- at most one
    for each partition and length -- are all that reaches the driver.
 3. On the histogram of lengths (at most ``size`` bins, whatever the input) a linear program over patterns is solved by
-   column generation: revised simplex, and an exact-sum knapsack dynamic program prices new patterns.  A pattern
+   column generation: revised simplex from a greedy start, and an exact-sum knapsack dynamic program prices new patterns
+   and proves when none is needed.  A pattern
    costs what its sequence takes up: its own total if that is a power of two, else ``size``.
 4. Patterns are rounded down, then up where the pieces last; what is left is filled greedily.  The result is a table of rank ranges for each
    length, by which tasks look up the sequence and the offset of each piece.
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, read_table
+from .common import materialize, partitions, read_table, released
 
 SIZE = 2048
 END_ID = 1
@@ -50,7 +51,7 @@ def _byte_letters() -> list[str]:
 class WordTokenizer:
     """Ids of texts by a word-end BPE whose pre-tokenizer never joins across white space, so that words can be cached."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 50_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -85,7 +86,7 @@ class WordTokenizer:
         coded = words.flatten().dictionary_encode()
         each = [self.word(w) for w in coded.dictionary.to_pylist()]
         for cache in (self.known, self.words):
-            if len(cache) > self.keep:
+            if len(cache) > self.keep:  # a batch has at most as many words as bytes, so this bounds the caches
                 cache.clear()
         n = np.fromiter(map(len, each), np.int64, len(each))
         flat = np.fromiter((i for x in each for i in x), np.uint32, int(n.sum()))
@@ -98,7 +99,7 @@ class WordTokenizer:
         return ids, per_text
 
 
-def slices(texts: pa.Array, most_bytes: int = 4 << 20):
+def slices(texts: pa.Array, most_bytes: int = 1 << 20):
     """Stretches (start, length) of a column of texts with about so many bytes each."""
     total = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -132,7 +133,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, end
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(out.column(0)), *out.columns[1:]], names=["doc_id", *out.schema.names[1:]])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.mapInArrow(released(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 # ---- the linear program ------------------------------------------------------------------------------------------
@@ -181,9 +182,13 @@ def greedy_pattern(lengths: list[int], left: dict[int, int] | None, size: int) -
 def column_generation(counts: dict[int, int], size: int, tolerance: float = 5e-4, most_pivots: int = 4000, per_round: int = 40) -> list[tuple[dict[int, int], float]]:
     """Patterns {length: copies} and how often each is used in a (nearly) optimal fractional solution.
 
-    The first basis is a greedy solution in fractions: the longest pieces that fit, used until one length runs out;
-    the pattern that uses a length up stands for it, which makes the basis regular and the solution feasible.  Ends at
-    optimality, or when the cost is within ``tolerance`` of the tokens themselves, which no packing beats.
+    The restricted master starts from a greedy solution in fractions: the longest pieces that fit, used until one length
+    runs out; the pattern that uses a length up stands for it, which makes the basis regular and the solution feasible.
+    Every round prices all patterns by the knapsack, which also bounds the optimum from below: the duals, divided by the
+    largest ratio of a pattern's value to its cost, are feasible for the dual program.  It ends when no pattern has a
+    positive reduced cost, when the cost is within ``tolerance`` of that bound, or when cost and bound need the same
+    whole number of sequences.  ``most_pivots`` ends it earlier on highly degenerate histograms (hundreds of lengths that
+    occur once or twice); the patterns are then feasible but not proven best.
     """
     lengths = np.array(sorted(counts))
     m = len(lengths)
@@ -209,13 +214,18 @@ def column_generation(counts: dict[int, int], size: int, tolerance: float = 5e-4
             basis[row[k], j] = v
     inverse = np.ascontiguousarray(np.linalg.inv(basis).T)  # transposed: row k is column k of the basis' inverse
     cost = taken(np.array([sum(k * v for k, v in p.items()) for p in patterns]), size).astype(float)
-    pivots = 0
-    while cost @ x > least * (1 + tolerance) and pivots < most_pivots:
+    totals = np.arange(1, size + 1)
+    costs = np.append(np.inf, taken(totals, size))
+    pivots, bound = 0, least
+    while pivots < most_pivots:
         duals = np.full(size + 1, -np.inf)
         duals[lengths] = inverse @ cost
         value, last = price(duals, size)
-        totals = np.arange(size + 1)
-        gain = value - np.where(totals > 0, taken(np.maximum(totals, 1), size), np.inf)
+        bound = max(bound, float(duals[lengths] @ need) / max(1.0, float((value / costs).max())))
+        spent = float(cost @ x)
+        if spent <= bound * (1 + tolerance) or np.ceil(spent / size - 1e-9) <= np.ceil(bound / size - 1e-9):
+            break
+        gain = value - costs
         # Besides the best totals, the best pattern around each length that is short of partners.
         around = [(float(duals[l] + value[size - l]) - size, int(l)) for l in lengths if l < size]
         found = [_pattern(last, int(t)) for t in np.argsort(-gain)[:8] if gain[t] > 1e-6 * size]
@@ -327,7 +337,7 @@ def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(x), pid, np.int32)), pa.array(r)], names=[*b.schema.names, "pid", "local_rank"])
 
     ranked = parts.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    ranked = materialize(ranked.mapInArrow(rank, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", pid int, local_rank long"), "ranked-pieces")
+    ranked = materialize(ranked.mapInArrow(released(rank), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", pid int, local_rank long"), "ranked-pieces")
     # At most one row for each partition and length: the partitions are ranges of lengths.
     shares = sorted((r["length"], r["pid"], r["n"]) for r in ranked.groupBy("length", "pid").agg(F.count("*").alias("n")).collect())
     counts: dict[int, int] = {}
@@ -359,7 +369,7 @@ def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*out, pa.array(ranges[i, 3] + k // copies), pa.array(ranges[i, 4] + k % copies * length)], names=[*parts_names, "sequence_id", "offset"])
 
     parts_names = parts.columns
-    return ranked.mapInArrow(assign, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long")
+    return ranked.mapInArrow(released(assign), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import Anchored, cut_spans, mix, word_codes
-from .common import TEXT_KEY, lookup, materialize, partitions, read_table, with_text_key
+from .common import TEXT_KEY, lookup, materialize, partitions, read_table, released, with_text_key
 
 WINDOW = 35
 BASE = 9
@@ -130,7 +130,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, base: int = BASE, wide
     rest = anchored.contents(groups.where("kinds > 1"), ", ".join(["back int", *(f"h{n} array<long>" for n in steps)]), hashes)
     rest = materialize(rest.withColumnRenamed("n", "times"), "candidates")
     near = rest.where(F.col("kinds") <= wide).repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor")
-    found = near.mapInArrow(_doubling(window, steps, 10_000), f"doc_id long, {TEXT_KEY} long, begin int, length int")
+    found = near.mapInArrow(released(_doubling(window, steps, 10_000)), f"doc_id long, {TEXT_KEY} long, begin int, length int")
     if (far := rest.where(F.col("kinds") > wide)).limit(1).count():
         found = found.unionAll(_doubling_wide(far, window, steps))
     return settled.unionAll(found)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import Anchored, Rolling, _BYTE_CODES, byte_codes, cut_spans, mix
-from .common import TEXT_KEY, lookup, materialize, partitions, read_table, with_text_key
+from .common import TEXT_KEY, lookup, materialize, partitions, read_table, released, with_text_key
 
 LENGTH = 100
 GRAM = 32
@@ -279,7 +279,7 @@ def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collect
     parts = F.ceil(F.col("kinds") / part)
     rest = rest.select("anchor", "doc_id", TEXT_KEY, "lo", "back", "content", parts.cast("int").alias("parts"), F.pmod(F.col("block"), parts).cast("int").alias("part"))
     rest = rest.repartition(partitions(spark), "anchor", "part").sortWithinPartitions("anchor", "part")
-    found = rest.mapInArrow(_collections(length, gram, collection), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, length long, open boolean, string long")
+    found = rest.mapInArrow(released(_collections(length, gram, collection)), f"anchor long, doc_id long, {TEXT_KEY} long, begin long, length long, open boolean, string long")
     found = materialize(found, "strings")
     place = F.struct("doc_id", TEXT_KEY, "begin")
     open_ = found.where("open")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, read_table, released
 from .langid import held_out
 
 #: Labelled documents of each class that are learned from, at most.
@@ -192,7 +192,7 @@ def keep_clean(docs: DataFrame, model: NoisyOr | None, threshold: float = THRESH
         for b in batches:
             yield b.filter(pa.array([model is None or model.score(t or "") < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
             spans = [model.offending(t) if model and s > model.leak else [] for t, s in zip(texts, scores, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])))], names=[*b.schema.names, "score", "offending"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double, offending array<struct<start:long,end:long,p:double>>")
+    return docs.mapInArrow(released(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", score double, offending array<struct<start:long,end:long,p:double>>")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
