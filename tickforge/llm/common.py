@@ -109,13 +109,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], cols: list[str],
     """
     total = right.agg(F.sum(n)).first()[0] or 0
     limit = max(total // HOT_SHARE, 1000)
-    of = lambda df, p: df.select(*[F.col(k).alias(f"{p}{k}") for k in keys], *[F.col(c).alias(f"{p}{c}") for c in cols], F.lit(True).alias(f"{p}hit"), F.col(n).alias(f"{p}n"))
+    of = lambda df, p: df.select(*[F.col(k).alias(f"{p}{k}") for k in keys], *[F.col(c).alias(f"{p}{c}") for c in cols], F.lit(True).alias(f"{p}hit"), F.col(n).alias(f"{p}_size"))
     hot = of(right.where(F.col(n) > limit), "_h_")
     if not (total > limit and hot.limit(1).count()):  # no hot key: a plain join
         out = left.join(of(right, "_c_"), [F.col(k) == F.col(f"_c_{k}") for k in keys], "inner" if how == "inner" else "left")
         return out.select(*left.columns, *[F.col(f"_c_{c}").alias(c) for c in cols])
-    # ``_c_n`` is at least 0, which the optimizer does not know: the salt cannot be folded into a constant.
-    cold = of(right.where(F.col(n) <= limit), "_c_").withColumn("_c_salt", F.least(F.col("_c_n"), F.lit(0)).cast("int"))
+    # ``_c__size`` is at least 0, which the optimizer does not know: the salt cannot be folded into a constant.
+    cold = of(right.where(F.col(n) <= limit), "_c_").withColumn("_c_salt", F.least(F.col("_c__size"), F.lit(0)).cast("int"))
     out = left.join(F.broadcast(hot), [F.col(k) == F.col(f"_h_{k}") for k in keys], "left")
     out = out.withColumn("_salt", F.when(F.col("_h_hit"), 1 + F.pmod(F.xxhash64(*left.columns), F.lit(4096)).cast("int")).otherwise(F.lit(0)))
     out = out.join(cold, [*[F.col(k) == F.col(f"_c_{k}") for k in keys], F.col("_salt") == F.col("_c_salt")], "left")

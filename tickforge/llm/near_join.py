@@ -3,9 +3,16 @@
 Texts with equal sets of five-word shingles are one class (copies; they are never expanded into pairs) and one node.
 A node's signature has ``bands`` x ``rows`` minima; the counts are chosen for a target recall at the threshold.  Nodes
 that share a band's hash form a bucket.  Buckets of at most ``small`` nodes give all their pairs as rows.  Larger ones are named
-by a central node (which shares the most buckets), so that the buckets of one hot group fall together; the nodes of a centre are
-dealt into blocks, and every two blocks are compared in one task by counting what their sets share (``_compare``).  All pairs are
-verified there, but only counts of links and the edges of a spanning forest leave the task.
+by a central node (which shares the most buckets), so that the buckets of one hot group fall together, and are not paired:
+
+1. The shingles that most of some thirty of a centre's nodes have are its pivot.  Each node is compared with the pivot only.
+2. Jaccard distance is a metric: two nodes with at least (1 + threshold) / 2 in common with the pivot, the centre's core, are similar
+   enough in any case.  Their links are counted from the core's size, and its least node connects them: work in proportion to
+   nodes, however many near copies of one text there are.
+3. Nodes outside the core are dealt into blocks, and each block is compared with every other one and with the core's blocks, two
+   in a task, by counting what their sets share (``_compare``).  Only counts of links and the edges of a spanning forest leave the task.
+
+All pairs that share a bucket are so decided, whatever its size; the pivot decides only how.
 Verified links make connected components, found by label propagation with pointer jumping.
 
 n_links is the number of different texts (nodes) that are similar enough and share a bucket, whatever the bucket's size.  A pair
@@ -13,8 +20,8 @@ with several centres is counted at the least one, and a pair with a centre is le
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of one to four words has one shingle, all of it; texts without words are
 linked to nothing, not even each other; repeated rows are copies; class_id is the least doc_id of the class (null if it
-has none), which does not name the class: classes of null ids only, or of one id with different texts, may have the same; other
-columns are ignored.  The first of a class is its least document by (doc_id, nulls last; hash of the text).
+has none), which need not name the class: classes of null ids only, or of one id with different texts, may have the same; class_key
+(a hash of the class's least set, null for a text without words) does; other columns are ignored.  The first of a class is its least document by (doc_id, nulls last; hash of the text).
 """
 
 from __future__ import annotations
@@ -41,6 +48,9 @@ SPREAD = 4
 #: Values that make no more pairs than this are counted pair by pair, the others as matrix columns.
 FEW = 16
 COLUMNS = 2048
+#: Nodes that a pivot is made from, about; and different sets of lesser centres up to which a core is counted, not compared.
+PIVOT = 31
+KINDS = 2000
 
 
 def banding(threshold: float, recall: float, rows: int = 6) -> tuple[int, int]:
@@ -145,17 +155,18 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label (the least node of its component) for the nodes of the edges a, b."""
+    """node, label (the least node of its component) for the nodes of the edges a, b.  A hub's edges and a large component's nodes are salted."""
     both = materialize(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("degree"), F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
-        heard = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
-        step = labels.join(heard, "node").select("node", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        step = materialize(step.join(jump, "label").select("node", "was", F.least("label", "next").alias("label")), "labels")
+        heard = lookup(both.select("a", F.col("b").alias("node")), labels, ["node"], ["label"], "degree", "inner").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
+        step = materialize(labels.join(heard, "node").select("node", "degree", F.col("label").alias("was"), F.least("label", "heard").alias("label")), "labels")
+        sizes = step.groupBy("label").agg(F.count("*").alias("n"))
+        jumps = materialize(sizes.join(step.select(F.col("node").alias("label"), F.col("label").alias("next")), "label"), "jumps")
+        step = materialize(lookup(step, jumps, ["label"], ["next"], "n", "inner").select("node", "degree", "was", F.least("label", "next").alias("label")), "labels")
         if not step.where("was <> label").limit(1).count():
             return step.select("node", "label")
-        labels = step.select("node", "label")
+        labels = step.drop("was")
 
 
 def _common(value: np.ndarray, row: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -239,6 +250,40 @@ def _compare(t: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"node": node, "other": other, "n": pa.array(np.append(counts[some], np.zeros(len(edges), np.int64)))})
 
 
+def _pivot(t: pa.Table) -> pa.Table:
+    """The values that most of the sets have."""
+    values, n = np.unique(t["set"].combine_chunks().flatten().to_numpy(), return_counts=True)
+    most = values[2 * n > t.num_rows]
+    return pa.table({"centre": t["centre"].slice(0, 1), "set": pa.ListArray.from_arrays(np.array([0, len(most)], np.int32), most)})
+
+
+def _measure(t: pa.Table, threshold: float) -> pa.Table:
+    """The nodes whose sets are so near the pivot (the row without node) that any two of them are similar enough."""
+    t = t.combine_chunks()
+    own = t["node"].is_valid().to_numpy()
+    sets = t["set"].chunk(0)
+    sizes = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    near = np.zeros(t.num_rows, bool)
+    if not own.all():
+        pivot = np.sort(sets[int(np.flatnonzero(~own)[0])].values.to_numpy())
+        row = np.repeat(np.arange(t.num_rows), sizes)
+        both = np.bincount(row, np.isin(sets.flatten().to_numpy(), pivot), t.num_rows)
+        near = own & (both >= (1 + threshold) / 2 * (sizes + len(pivot) - both) + 1e-9)
+    return t.select(["centre", "node"]).filter(pa.array(near))
+
+
+def _core_links(t: pa.Table) -> pa.Table:
+    """centre, lesser, n, links, first: for each kind of core node the others that are counted here, which share no lesser centre with it."""
+    lesser, n = t["lesser"].to_pylist(), t["n"].to_numpy()
+    place = {c: i for i, c in enumerate(sorted({c for x in lesser for c in x}))}
+    has = np.zeros((len(lesser), len(place)), np.float32)
+    for i, x in enumerate(lesser):
+        has[i, [place[c] for c in x]] = 1
+    apart = has @ has.T == 0
+    links = apart @ n - np.array([not x for x in lesser])  # without lesser centres a node would count itself
+    return pa.table({"centre": t["centre"], "lesser": t["lesser"], "n": t["n"], "links": pa.array(links.astype(np.int64)), "first": pa.array([min(t["first"].to_pylist())] * len(lesser), pa.binary())})
+
+
 def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, small: int = SMALL, millions: int = MILLIONS, wide: int = WIDE) -> tuple[DataFrame, DataFrame]:
     """a, b: verified links that connect all that is linked; and node, n_links: the number of all verified links.  ``classes``: node, bands."""
     keys = classes.select("node", F.explode("bands").alias("key"))
@@ -258,22 +303,48 @@ def links(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD, sma
     pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & apart).select("a", "b").distinct()
     found = materialize(verified(pairs, sets, threshold), "links")
 
-    groups = stars.join(sets.select("node", F.size("set").alias("n")), "node").groupBy("centre").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
-    blocks = F.greatest(F.ceil(F.col("rows") / wide), F.ceil(F.col("n") / (millions * 1_000_000)), F.least(F.ceil(F.col("rows") / NARROW), F.lit(SPREAD))).cast("int")
-    groups = materialize(groups.select("centre", "rows", blocks.alias("blocks")), "groups")
-    dealt = lookup(stars, groups, ["centre"], ["blocks"], "rows", "inner").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("centre", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    def blocks(rows, n):
+        by_size = F.greatest(F.ceil(rows / wide), F.ceil(n / (millions * 1_000_000)), F.least(F.ceil(rows / NARROW), F.lit(SPREAD)))
+        return F.coalesce(by_size, F.lit(0)).cast("int")
+
+    widths = sets.select("node", F.size("set").alias("width"))
+    sized = stars.join(widths, "node").groupBy("centre").agg(F.count("*").alias("rows"), F.sum("width").alias("n"))
+    groups = materialize(sized.select("centre", "rows", blocks(F.col("rows"), F.col("n")).alias("parts")), "groups")
+    placed = lookup(stars, groups.withColumn("group", F.col("rows")), ["centre"], ["group", "parts"], "rows", "inner")
+    chosen = placed.where(F.pmod(F.xxhash64("centre", "node"), F.col("group")) < PIVOT).join(sets, "node")
+    pivots = chosen.groupBy("centre").applyInArrow(_pivot, "centre long, set array<long>").join(groups, "centre")
+    pivots = pivots.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("node"), "set")
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).join(sets, "node").select("centre", "part", "node", "set")
+    measured = dealt.unionAll(pivots).groupBy("centre", "part").applyInArrow(lambda t: _measure(t, threshold), "centre long, node binary")
+    lesser = F.array_sort(F.filter("centres", lambda c: c < F.col("centre")))
+    core = materialize(measured.join(shared, "node").select("centre", "node", lesser.alias("lesser")), "core")
+    kinds = core.groupBy("centre", "lesser").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    kinds = materialize(kinds, "kinds")
+    few_kinds = kinds.groupBy("centre").agg(F.count("*").alias("k")).where(F.col("k") <= KINDS)
+    known = kinds.join(few_kinds, "centre", "left_semi").groupBy("centre").applyInArrow(_core_links, "centre long, lesser array<long>, n long, links long, first binary")
+    sure = materialize(lookup(core, materialize(known, "known"), ["centre", "lesser"], ["links", "first"], "n", "inner").select("centre", "node", "links", "first"), "sure")
+
+    zones = sure.select("centre", "node", F.lit(True).alias("core")).unionAll(stars.join(sure, ["centre", "node"], "left_anti").select("centre", "node", F.lit(False)))
+    at = lambda c, x: F.sum(F.when(F.col("core") == c, x))
+    split = zones.join(widths, "node").groupBy("centre").agg(F.count("*").alias("rows"), at(True, 1).alias("a"), at(True, F.col("width")).alias("an"), at(False, 1).alias("b"), at(False, F.col("width")).alias("bn"))
+    split = materialize(split.select("centre", "rows", blocks(F.col("a"), F.col("an")).alias("inner"), blocks(F.col("b"), F.col("bn")).alias("outer")).where("outer > 0"), "zones")
+    dealt = lookup(zones, split, ["centre"], ["inner", "outer"], "rows", "inner")
+    h, inner, outer = F.xxhash64("node"), F.col("inner"), F.col("outer")
+    dealt = dealt.withColumn("block", F.when(F.col("core"), F.pmod(h, inner)).otherwise(inner + F.pmod(h, outer)).cast("int"))
+    dealt = dealt.select("centre", "node", "block", F.explode(F.sequence(F.when(F.col("core"), inner).otherwise(F.lit(0)), inner + outer - 1)).alias("with"))
     dealt = dealt.select("centre", "node", "block", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"))
     compared = dealt.join(sets, "node").join(shared, "node").groupBy("centre", "x", "y").applyInArrow(lambda t: _compare(t, threshold), "node binary, other binary, n long")
     compared = materialize(compared, "compared")
 
     ends = found.select(F.col("a").alias("node"), F.lit(1).alias("n")).unionAll(found.select(F.col("b").alias("node"), F.lit(1).alias("n")))
-    counts = ends.unionAll(compared.where("other is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
-    return found.unionAll(compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))), counts
+    ends = ends.unionAll(compared.where("other is null").select("node", "n")).unionAll(sure.select("node", "links"))
+    counts = ends.groupBy("node").agg(F.sum("n").alias("n_links")).where("n_links > 0")
+    edges = found.unionAll(compared.where("other is not null").select("node", "other")).unionAll(sure.where("node <> first").select("node", "first"))
+    return edges, counts
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
-    """doc_id, key, class_id, n_links, n_copies, is_first (of its class) of every document of ``docs`` (see with_text_key)."""
+    """doc_id, key, class_id, n_links, n_copies, class_key, is_first (of its class) of every document of ``docs`` (see with_text_key)."""
     bands, rows = banding(threshold, recall)
     every = materialize(signatures(docs, bands, rows, size), "signatures")
     classes = every.where(F.col("node").isNotNull()).groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", TEXT_KEY)).alias("own_first"), F.first("bands").alias("bands"))
@@ -281,13 +352,13 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHIN
     found, ends = links(docs, classes, threshold)
     members = materialize(classes.select("node", "n", "own_first").join(components(found), "node").join(ends, "node"), "linked")
     least = materialize(members.groupBy("label").agg(F.min("own_first").alias("first"), F.count("*").alias("rows")), "least")
-    named = lookup(members, least, ["label"], ["first"], "rows", "inner").select("node", "first", "n_links")
+    named = lookup(members, least, ["label"], ["first"], "rows", "inner").select("node", "label", "first", "n_links")
     names = classes.select("node", "n", "own_first").join(named, "node", "left")
-    names = materialize(names.select("node", "n", F.coalesce("first", "own_first").alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_copies")), "names")
-    out = lookup(every.drop("bands"), names, ["node"], ["first", "n_links", "n_copies"], "n")
+    names = materialize(names.select("node", "n", F.hex(F.coalesce("label", "node")).alias("class_key"), F.coalesce("first", "own_first").alias("first"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").alias("n_copies")), "names")
+    out = lookup(every.drop("bands"), names, ["node"], ["class_key", "first", "n_links", "n_copies"], "n")
     alone = F.col("node").isNull()
     is_first = alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col(TEXT_KEY) == F.col(f"first.{TEXT_KEY}")))
-    return out.select("doc_id", TEXT_KEY, F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), is_first.alias("is_first"))
+    return out.select("doc_id", TEXT_KEY, F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), "class_key", is_first.alias("is_first"))
 
 
 def op9_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
