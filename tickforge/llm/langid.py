@@ -9,7 +9,10 @@ A text's code length in a language is the sum over all its bytes; the shortest w
 is the score.
 
 Training uses a bounded sample: about ``sample_docs`` documents of each language (a Bernoulli sample by hash of the id,
-whole texts), whose statistics Spark counts; the table has at most ``max_cells`` cells.  Everything else covers all rows.
+whole texts), whose statistics Spark counts, a few languages at a time.  All languages are learned.  A table's symbols are
+the most frequent bytes of its sample and one for all others; such a byte's code length is the symbol's and that of its
+identity among the others.  A table has at most ``max_cells`` cells: languages whose contexts do not fit into one
+table get several, and only a single language's rarest contexts can be left out.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; rows with a null id are held out;
 repeated rows are scored row by row; without any training row every text is ``und``.
@@ -23,15 +26,16 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, released
 from .packing import slices
 
 ORDER = 3
 #: Documents of each language that are learned from, about.
 SAMPLE_DOCS = 400
-MAX_LANGS = 64
+#: Languages whose statistics come to the driver at once.
+LANGS = 8
 MAX_CELLS = 1 << 23
-_SYMBOLS = 128  # the 127 most frequent bytes of the sample, and 0 for any other
+_SYMBOLS = 128  # the 127 most frequent bytes of a table's sample, and 0 for any other
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -57,10 +61,21 @@ def _grams(batches):
 
 
 class ContextTrees:
-    """Frozen code lengths.  ``node``: context of ORDER symbols -> row; ``bits``: [row * 128 + symbol, language]."""
+    """Frozen code lengths.  ``node``: context of ORDER symbols -> row; ``bits``: [row * 128 + symbol, language]; ``rare``: [byte, language],
+    the further bits of a byte that shares symbol 0."""
 
-    def __init__(self, langs: list[str], symbol: np.ndarray, node: np.ndarray, bits: np.ndarray):
-        self.langs, self.symbol, self.node, self.bits = langs, symbol, node, bits
+    def __init__(self, langs: list[str], symbol: np.ndarray, node: np.ndarray, bits: np.ndarray, rare: np.ndarray):
+        self.langs, self.symbol, self.node, self.bits, self.rare = langs, symbol, node, bits, rare
+
+    @classmethod
+    def fit_all(cls, rows: list[tuple[str, int, int]], max_cells: int = MAX_CELLS) -> list[ContextTrees]:
+        """One table for all languages of ``rows``, or several if their contexts do not fit into one."""
+        langs = sorted({r[0] for r in rows})
+        contexts = sum(len({r[1] >> 8 & (1 << 8 * k) - 1 for r in rows}) for k in range(ORDER + 1))
+        if len(langs) == 1 or contexts * _SYMBOLS * len(langs) <= max_cells:
+            return [cls.fit(rows, max_cells)]
+        half = set(langs[: len(langs) // 2])
+        return cls.fit_all([r for r in rows if r[0] in half], max_cells) + cls.fit_all([r for r in rows if r[0] not in half], max_cells)
 
     @classmethod
     def fit(cls, rows: list[tuple[str, int, int]], max_cells: int = MAX_CELLS) -> ContextTrees:
@@ -72,6 +87,11 @@ class ContextTrees:
         kept = [int(x) for x in np.argsort(-seen, kind="stable")[: _SYMBOLS - 1] if seen[x]]
         symbol = np.zeros(256, np.int64)
         symbol[sorted(kept)] = np.arange(1, len(kept) + 1)
+        # Bytes without a symbol of their own: one more than how often each was seen, as shares.
+        folded = np.ones((256, len(langs)))
+        np.add.at(folded, (gram & 255, which), n)
+        folded[symbol > 0] = 0
+        rare = np.where(folded > 0, -np.log2(np.maximum(folded, 1e-30) / folded.sum(0)), 0).astype(np.float32)
         parts = [symbol[(gram >> (8 * k)) & 255] for k in range(ORDER + 1)]  # 0: the byte itself, k: the k-th before it
         most = max(1, max_cells // (_SYMBOLS * len(langs)))
         node_of = [np.zeros(_SYMBOLS**k, np.int64) for k in range(ORDER + 1)]
@@ -107,12 +127,13 @@ class ContextTrees:
                 tables = [p]
             offset += len(known)
         bits = -np.log2(np.maximum(np.concatenate(tables), 1e-30)).astype(np.float32)
-        return cls(langs, symbol, node_of[ORDER], bits.reshape(-1, len(langs)))
+        return cls(langs, symbol, node_of[ORDER], bits.reshape(-1, len(langs)), rare)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
         pad = b"\n" * ORDER
-        x = self.symbol[np.frombuffer(b"".join(pad + t for t in texts), np.uint8)]
+        raw = np.frombuffer(b"".join(pad + t for t in texts), np.uint8)
+        x = self.symbol[raw]
         at = x[:-ORDER].copy()  # the first, and by place the oldest, of the context
         at *= _SYMBOLS**2
         at += x[1:-2] * _SYMBOLS
@@ -121,6 +142,8 @@ class ContextTrees:
         at *= _SYMBOLS
         at += x[ORDER:]
         bits = self.bits[at]
+        if len(odd := np.flatnonzero(x[ORDER:] == 0)):
+            bits[odd] += self.rare[raw[ORDER:][odd]]
         sizes = np.array([len(t) for t in texts])
         out = np.zeros((len(texts), len(self.langs)))
         ends = np.cumsum(sizes + ORDER)
@@ -135,43 +158,47 @@ class ContextTrees:
         return out
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_cells: int = MAX_CELLS) -> ContextTrees | None:
-    """``docs``: doc_id, text, lang; only rows that are not held out and have a language are learned from."""
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_cells: int = MAX_CELLS) -> list[ContextTrees]:
+    """``docs``: doc_id, text, lang; only rows that are not held out and have a language are learned from.  No such row: no trees."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(MAX_LANGS)  # a bounded table: it may be broadcast
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     u = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(F.broadcast(sizes), "lang").where(u * F.col("_n") < sample_docs).select("lang", "text")
-    counts = sample.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    got = counts.toPandas()  # at most as many rows as the sample has bytes
-    return ContextTrees.fit(list(zip(got["lang"], got["gram"].tolist(), got["n"].tolist(), strict=True)), max_cells) if len(got) else None
-
-
-def identify(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
+    langs, trees = sorted(sizes), []
+    for some in (langs[i : i + LANGS] for i in range(0, len(langs), LANGS)):
+        n = F.coalesce(*[F.when(F.col("lang") == x, F.lit(sizes[x])) for x in some])
+        sample = rows.where(F.col("lang").isin(some) & (u * n < sample_docs)).select("lang", "text")
+        counts = sample.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        got = counts.toPandas()  # at most as many rows as the sample of these languages has bytes
+        if len(got):
+            trees += ContextTrees.fit_all(list(zip(got["lang"], got["gram"].tolist(), got["n"].tolist(), strict=True)), max_cells)
+    return trees
+
+
+def identify(docs: DataFrame, model: list[ContextTrees]) -> DataFrame:
     """doc_id, lang_pred, score, bits_per_byte: every whole text under the frozen trees."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.symbol, model.node.astype(np.int32), model.bits) if model else None)
+    shared = docs.sparkSession.sparkContext.broadcast([(m.langs, m.symbol, m.node.astype(np.int32), m.bits, m.rare) for m in model])
 
     def run(batches):
-        trees = ContextTrees(shared.value[0], shared.value[1].astype(np.int64), shared.value[2].astype(np.int64), shared.value[3]) if shared.value else None
+        trees = [ContextTrees(langs, symbol.astype(np.int64), node.astype(np.int64), bits, rare) for langs, symbol, node, bits, rare in shared.value]
+        names = np.array([x for t in trees for x in t.langs], object)
         for b in batches:
             for at, n in slices(b.column("text"), 1 << 20):
                 part = b.slice(at, n)
                 texts = part.column("text").to_pylist()
-                letters = np.array([bool(t and _LETTER.search(t)) for t in texts])
-                if trees is None:
-                    letters[:] = False
+                letters = np.array([bool(trees and t and _LETTER.search(t)) for t in texts])
                 lang, score, rate = np.full(n, "und", object), np.zeros(n), np.zeros(n)
                 if letters.any():
                     raw = [t.encode() for t, ok in zip(texts, letters, strict=True) if ok]
-                    bits = trees.code_lengths(raw)
+                    bits = np.concatenate([t.code_lengths(raw) for t in trees], axis=1)
                     best = bits.argmin(1)
                     low = bits[np.arange(len(raw)), best]
-                    lang[letters] = np.array(trees.langs, object)[best]
+                    lang[letters] = names[best]
                     score[letters] = 1 / np.exp2(np.maximum(low[:, None] - bits, -1000)).sum(1)
                     rate[letters] = low / np.array([len(t) for t in raw])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score), pa.array(rate)], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+    return docs.mapInArrow(released(run), "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
