@@ -8,8 +8,8 @@ clean documents stay clean.  Weights, bias and leak maximise the likelihood of t
 own probabilities then locate the offending ones.
 
 Training uses a bounded sample: at most ``sample_docs`` labelled documents of each class (the first by hash of the id, whole texts,
-reweighted to the classes' sizes).  Its features are screened in two counts by Spark: those in enough toxic documents, at most
-``max_features``, then those much more common there than elsewhere.
+reweighted to the classes' sizes).  Spark counts its features and keeps all that are in ``min_docs`` of its toxic documents and
+``min_odds`` times as common there as elsewhere; there is no cap on their number.
 
 Defined results: a null or empty text gets the leak as its score; rows with a null id are held out; several labels of a document
 count as the largest, null labels not at all; repeated rows are scored row by row; without labels all scores are 0.
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize, read_table, released
 from .langid import held_out
+from .packing import slices
 
 #: Labelled documents of each class that are learned from, at most.
 SAMPLE_DOCS = 10_000
-MAX_FEATURES = 20_000
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -123,22 +123,18 @@ class NoisyOr:
         return cls({n: float(x) for n, x in zip(names, params[:-2], strict=True) if x > 0.05}, float(params[-2]), float(1 / (1 + np.exp(-params[-1]))))
 
 
-def _counts(chosen: dict[str, int] | None):
-    """How many of a batch's documents of each class have each feature."""
-
-    def run(batches):
-        for b in batches:
-            n: dict[tuple[str, int], int] = {}
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                own = {f for word in set(_WORD.findall((text or "").lower())) for f in features(word)}
-                for f in own if chosen is None else own & chosen.keys():
-                    n[f, toxic] = n.get((f, toxic), 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.int32()), pa.array(list(n.values()), pa.int64())], names=["feature", "toxic", "n"])
-
-    return run
+def _counts(batches):
+    """feature, toxic, clean: how many of a stretch's documents of each class have each feature."""
+    for b in batches:
+        for at, size in slices(b.column("text"), 1 << 20):
+            part, n = b.slice(at, size), {}
+            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
+                for f in {f for word in set(_WORD.findall((text or "").lower())) for f in features(word)}:
+                    n.setdefault(f, [0, 0])[toxic] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array([x[1] for x in n.values()], pa.int64()), pa.array([x[0] for x in n.values()], pa.int64())], names=["feature", "toxic", "clean"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, max_features: int = MAX_FEATURES, min_docs: int = 4, min_odds: float = 6.0) -> NoisyOr | None:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, min_docs: int = 4, min_odds: float = 6.0) -> NoisyOr | None:
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     labels = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     size = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -148,15 +144,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, ma
     # At most 2 * sample_docs ids: the bound of this broadcast.
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
     sample = materialize(sample.select("text", "toxic"), "labelled")
-    schema = "feature string, toxic int, n long"
-    common = sample.where("toxic = 1").mapInArrow(_counts(None), schema).groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
-    toxic = {r["feature"]: r["n"] for r in common.orderBy(F.desc("n"), "feature").limit(max_features).collect()}
-    clean = {r["feature"]: r["n"] for r in sample.where("toxic = 0").mapInArrow(_counts(toxic), schema).groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     got = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(got) < 2:
         return None
-    odds = {f: (n + 0.5) / got[1] / ((clean.get(f, 0) + 0.5) / got[0]) for f, n in toxic.items()}
-    names = sorted(f for f, x in odds.items() if x >= min_odds)
+    counts = sample.mapInArrow(released(_counts), "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    odds = (F.col("toxic") + 0.5) / got[1] / ((F.col("clean") + 0.5) / got[0])
+    names = sorted(r["feature"] for r in counts.where((F.col("toxic") >= min_docs) & (odds >= min_odds)).select("feature").collect())
     if not names:
         return NoisyOr({}, -2.0, size[1] / (size[0] + size[1]))
     of = {f: i for i, f in enumerate(names)}
