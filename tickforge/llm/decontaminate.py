@@ -7,10 +7,10 @@ in all, one has fewer edits than pieces.  So a hit counts only if the two pieces
 are there with fewer edits than pieces, each step verified in the hit's surrounding with Myers' bit-parallel distance, the
 stretch as one integer; most chance hits end at the first step.  Texts and items are compared in lower case with stretches of white space as one space.
 
-Items are broadcast in blocks of bounded size (``BLOCK_BYTES``); a larger benchmark takes several passes.
+Items are broadcast in blocks of about ``BLOCK_BYTES``; a larger benchmark takes several passes.
 
 Defined results: null or empty texts and items match nothing; items of fewer than ``min_chars`` characters (after
-normalisation) are too short to tell and match nothing; repeated items each get a row; repeated rows of a document
+normalisation) are found without edits and between word bounds only, since edits would make them meet by chance; items with one text and different ids each get a row, repeated items one; repeated rows of a document
 are matched row by row; other columns are ignored.
 """
 
@@ -24,6 +24,7 @@ from .common import read_table, released
 
 #: Edits for each character of an item.
 RATE = 0.1
+#: Shorter items are found exactly.
 MIN_CHARS = 40
 BLOCK_BYTES = 16 << 20
 
@@ -105,12 +106,13 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.items, found = [], {}
+        self.items, self.exact, found = [], [], {}
         for item_id, text in items:
             pattern = normalise(text)
-            if len(pattern) < min_chars:
+            if not pattern:
                 continue
-            for leaf in leaves(pattern, pieces(pattern, int(rate * len(pattern)))):
+            self.exact.append(len(pattern) < min_chars)
+            for leaf in leaves(pattern, pieces(pattern, 0 if self.exact[-1] else int(rate * len(pattern)))):
                 found.setdefault(leaf.text, []).append((len(self.items), leaf))
             self.items.append(item_id)
         self.automaton = ahocorasick.Automaton()
@@ -128,6 +130,8 @@ class Matcher:
         for end, (n, where) in self.automaton.iter(text):
             for i, leaf in where:
                 begin = end + 1 - n - leaf.at  # of the item, without edits
+                if self.exact[i] and (text[begin - 1 : begin].isalnum() or text[end + 1 : end + 2].isalnum()):
+                    continue
                 node, last = leaf.parent, (0, end + 1)
                 while node is not None:
                     # Edits of a stretch that holds the hit can move its ends by so many places at most.
@@ -148,7 +152,7 @@ class Matcher:
 def _item_blocks(benchmark: DataFrame) -> list:
     """Broadcasts of the items, each of about BLOCK_BYTES of text."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull()).dropDuplicates()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     return [spark.sparkContext.broadcast([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]) for k in range(n)]
