@@ -6,9 +6,10 @@ from the partition and the attempt; only files named in the (Parquet) list of ca
 leftovers are never read.  Of pages with equal payloads the largest page_id is the response and the others are revisits.
 
 Index: captures are range-partitioned and sorted by their reversed-host URL key; each partition packs its lines into
-zlib-compressed blocks of a fixed number of captures, and the directory keeps a row for each block (its first key, its
-place).  A look-up searches the sparse directory by bisection, inflates the blocks that can hold the key, and reads the
-byte range of each capture it finds.
+zlib-compressed blocks of a fixed number of captures, and ends its file with the directory of its blocks (their keys and
+places).  What Spark and the driver hold is the root: one row for each index file.  A look-up bisects the root, reads that
+file's directory, bisects it, inflates the block that can hold the key, bisects that, and reads the byte range of each
+capture it finds.  Many look-ups are range-partitioned and sorted as the index is, so that a task reads a block once.
 
 Defined results: a null html is an empty payload; a null url has the key ``""``; rows with a null page_id are never
 the original of a revisit unless all rows of a payload have none (then all are responses); repeated rows (same id, same
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import contextlib
 import hashlib
 import io
 import posixpath
@@ -119,8 +121,16 @@ def _digest_only(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, "page_id long, payload_digest string")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's URI as Spark understands it: a path without scheme lies in Spark's default file system, not on an executor's disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + uri.removeprefix("file:").removeprefix("//") if uri.startswith("file:") else uri
+
+
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Writes the archives under ``folder`` and returns the list of captures: surt, page_id, url, file, offset, length, ..."""
+    folder = qualified(pages.sparkSession, folder)
     groups = _digest_only(pages).groupBy("payload_digest").agg(F.count("*").alias("n"), F.max("page_id").alias("best"))
     # Only payloads that occur again have a row here; the others are responses.
     again = materialize(groups.where("n > 1"), "payloads")
@@ -133,20 +143,19 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}.warc.gz"
-        out, at = None, 0
-        for b in batches:
-            rows = {k: [] for k in ("surt", "page_id", "url", "file", "offset", "length")}
-            for page_id, url, html, said, ref in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                if out is None:
-                    out = fs.open_output_stream(posixpath.join(base, name), compression=None)
-                data = member(record(page_id, url, html, said, ref))
-                out.write(data)
-                for k, v in zip(rows, (surt(url), page_id, url, name, at, len(data)), strict=True):
-                    rows[k].append(v)
-                at += len(data)
-            yield pa.RecordBatch.from_pydict(rows, schema=_CAPTURE)
-        if out is not None:
-            out.close()
+        with contextlib.ExitStack() as files:
+            out, at = None, 0
+            for b in batches:
+                rows = {k: [] for k in ("surt", "page_id", "url", "file", "offset", "length")}
+                for page_id, url, html, said, ref in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                    if out is None:
+                        out = files.enter_context(fs.open_output_stream(posixpath.join(base, name), compression=None))
+                    data = member(record(page_id, url, html, said, ref))
+                    out.write(data)
+                    for k, v in zip(rows, (surt(url), page_id, url, name, at, len(data)), strict=True):
+                        rows[k].append(v)
+                    at += len(data)
+                yield pa.RecordBatch.from_pydict(rows, schema=_CAPTURE)
 
     return marked.mapInArrow(run, "surt string, page_id long, url string, file string, offset long, length long")
 
@@ -158,27 +167,49 @@ _READ = "page_id long, url string, record_type string, payload_digest string, pa
 def read_captures(captures: DataFrame, folder: str) -> DataFrame:
     """Range reads of the captures' records: headers and payloads, checksums tested.  Neighbours in a file are read together."""
     window = 8 << 20
+    folder = qualified(captures.sparkSession, folder)
 
     def run(batches):
         fs, base = pafs.FileSystem.from_uri(folder)
         file, name, have, have_at = None, None, b"", 0
-        for b in batches:
-            rows = []
-            for f, at, n in zip(b.column("file").to_pylist(), b.column("offset").to_pylist(), b.column("length").to_pylist(), strict=True):
-                if f != name:
-                    file, name, have = fs.open_input_file(posixpath.join(base, f)), f, b""
-                if not (have_at <= at and at + n <= have_at + len(have)):
-                    file.seek(at)
-                    have, have_at = file.read(max(n, window)), at
-                rows.append(parse(zlib.decompress(have[at - have_at : at - have_at + n], 31)))
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())]))
+        try:
+            for b in batches:
+                rows = []
+                for f, at, n in zip(b.column("file").to_pylist(), b.column("offset").to_pylist(), b.column("length").to_pylist(), strict=True):
+                    if f != name:
+                        if file is not None:
+                            file.close()
+                        file, name, have = fs.open_input_file(posixpath.join(base, f)), f, b""
+                    if not (have_at <= at and at + n <= have_at + len(have)):
+                        file.seek(at)
+                        have, have_at = file.read(max(n, window)), at
+                    rows.append(parse(zlib.decompress(have[at - have_at : at - have_at + n], 31)))
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("payload", pa.binary())]))
+        finally:
+            if file is not None:
+                file.close()
 
     return captures.select("file", "offset", "length").mapInArrow(run, _READ)
 
 
+# ---- the index ---------------------------------------------------------------------------------------------------
+
+_BLOCK = pa.schema([("surt", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+_DIRECTORY = pa.schema([("first_surt", pa.string()), ("first_id", pa.int64()), ("last_surt", pa.string()), ("last_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()), ("captures", pa.int64())])
+_ROOT = pa.schema([*_DIRECTORY, ("blocks", pa.int64()), ("index_file", pa.string())])
+
+
+def _pack(rows: list[dict], schema: pa.Schema) -> bytes:
+    sink = io.BytesIO()
+    with pa.ipc.new_stream(sink, schema) as w:
+        w.write_batch(pa.RecordBatch.from_pylist(rows, schema=schema))
+    return zlib.compress(sink.getvalue(), 6)
+
+
 def build_index(captures: DataFrame, folder: str, block: int = BLOCK) -> DataFrame:
-    """Sorts the captures by SURT key into blocks (files under ``folder``) and returns the directory: one row a block."""
+    """Sorts the captures by SURT key into blocks (files under ``folder``, each with its own directory at the end) and returns the root: one row a file."""
     cols = ["surt", "page_id", "file", "offset", "length"]
+    folder = qualified(captures.sparkSession, folder)
     # The page_id is part of the range key: a host or URL with very many captures is spread over partitions.
     ordered = captures.select(*cols).repartitionByRange(partitions(captures.sparkSession), "surt", "page_id", "file", "offset").sortWithinPartitions("surt", "page_id", "file", "offset")
 
@@ -186,83 +217,129 @@ def build_index(captures: DataFrame, folder: str, block: int = BLOCK) -> DataFra
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         name = f"index-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:12]}.cdx.z"
-        out, at, held = None, 0, []
-
-        def flush(rows):
-            nonlocal out, at
-            if out is None:
-                out = fs.open_output_stream(posixpath.join(base, name), compression=None)
-            sink = io.BytesIO()
-            with pa.ipc.new_stream(sink, _BLOCK) as w:
-                w.write_batch(pa.RecordBatch.from_pylist(rows, schema=_BLOCK))
-            data = zlib.compress(sink.getvalue(), 6)
-            out.write(data)
-            entry = {"first_surt": rows[0]["surt"], "last_surt": rows[-1]["surt"], "captures": len(rows), "index_file": name, "index_offset": at, "index_length": len(data)}
-            at += len(data)
-            return pa.RecordBatch.from_pylist([entry], schema=_DIRECTORY)
+        with contextlib.ExitStack() as files:
+            out, at, held, directory = None, 0, [], []
 
-        for b in batches:
-            held += b.to_pylist()
-            while len(held) >= block:
-                yield flush(held[:block])
-                held = held[block:]
-        if held:
-            yield flush(held)
-        if out is not None:
-            out.close()
+            def write(rows, schema):
+                nonlocal out, at
+                if out is None:
+                    out = files.enter_context(fs.open_output_stream(posixpath.join(base, name), compression=None))
+                data = _pack(rows, schema)
+                out.write(data)
+                at += len(data)
+                return {"offset": at - len(data), "length": len(data)}
 
-    return ordered.mapInArrow(run, "first_surt string, last_surt string, captures long, index_file string, index_offset long, index_length long")
+            def flush(rows):
+                ends = {"first_surt": rows[0]["surt"], "first_id": rows[0]["page_id"], "last_surt": rows[-1]["surt"], "last_id": rows[-1]["page_id"]}
+                directory.append(ends | write(rows, _BLOCK) | {"captures": len(rows)})
 
+            for b in batches:
+                held += b.to_pylist()
+                while len(held) >= block:
+                    flush(held[:block])
+                    held = held[block:]
+            if held:
+                flush(held)
+            if directory:
+                ends = {k: directory[0][k] for k in ("first_surt", "first_id")} | {k: directory[-1][k] for k in ("last_surt", "last_id")}
+                root = ends | write(directory, _DIRECTORY) | {"captures": sum(x["captures"] for x in directory), "blocks": len(directory), "index_file": name}
+                yield pa.RecordBatch.from_pylist([root], schema=_ROOT)
 
-_BLOCK = pa.schema([("surt", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
-_DIRECTORY = pa.schema([("first_surt", pa.string()), ("last_surt", pa.string()), ("captures", pa.int64()), ("index_file", pa.string()), ("index_offset", pa.int64()), ("index_length", pa.int64())])
+    longs = ("offset", "length", "captures", "blocks", "first_id", "last_id")
+    return ordered.mapInArrow(run, ", ".join(f"{f.name} {'long' if f.name in longs else 'string'}" for f in _ROOT))
 
 
-def read_block(folder: str, name: str, offset: int, length: int) -> list[dict]:
-    fs, base = pafs.FileSystem.from_uri(folder)
-    with fs.open_input_file(posixpath.join(base, name)) as f:
-        f.seek(offset)
-        return pa.ipc.open_stream(zlib.decompress(f.read(length))).read_all().to_pylist()
+def _key(text: str, page_id: int | None) -> tuple:
+    """Captures in Spark's order: text by its bytes, missing ids first."""
+    return text, page_id is not None, page_id or 0
 
 
 class CaptureIndex:
-    """Look-ups by URL.  The directory, one row for each block of captures, is what is held in memory."""
-
-    def __init__(self, directory: DataFrame, folder: str):
-        self.folder = folder
-        self.blocks = sorted((r.asDict() for r in directory.toLocalIterator()), key=lambda r: (r["first_surt"], r["last_surt"]))
-        self.firsts = [r["first_surt"] for r in self.blocks]
+    """Look-ups by bisection.  The root, one row for each index file, is held in memory; directories and blocks are read when they are needed, the last ones kept."""
+
+    def __init__(self, root: list[dict], folder: str, kept: int = 2):
+        self.fs, self.base = pafs.FileSystem.from_uri(folder)
+        self.root = sorted(root, key=lambda r: _key(r["first_surt"], r["first_id"]))
+        self.kept: dict[tuple, list[dict]] = {}
+        self.most, self.reads = kept, 0
+
+    @classmethod
+    def open(cls, root: DataFrame, folder: str) -> CaptureIndex:
+        """For look-ups by the driver."""
+        return cls([r.asDict() for r in root.collect()], qualified(root.sparkSession, folder))
+
+    def _read(self, name: str, row: dict) -> list[dict]:
+        place = name, row["offset"]
+        if place not in self.kept:
+            while len(self.kept) >= self.most:
+                del self.kept[next(iter(self.kept))]
+            with self.fs.open_input_file(posixpath.join(self.base, name)) as f:
+                f.seek(row["offset"])
+                self.kept[place] = pa.ipc.open_stream(zlib.decompress(f.read(row["length"]))).read_all().to_pylist()
+            self.reads += 1
+        return self.kept[place]
+
+    @staticmethod
+    def _between(rows: list[dict], low: tuple, high: tuple) -> list[dict]:
+        """Of rows with first and last keys in order, those that can hold keys from low to high."""
+        begin = bisect.bisect_left(rows, low, key=lambda r: _key(r["last_surt"], r["last_id"]))
+        return rows[begin : max(begin, bisect.bisect_right(rows, high, key=lambda r: _key(r["first_surt"], r["first_id"])))]
+
+    def between(self, low: tuple, high: tuple):
+        """Captures from low to high, in lists, one from a block."""
+        for file in self._between(self.root, low, high):
+            for block in self._between(self._read(file["index_file"], file), low, high):
+                rows = self._read(file["index_file"], block)
+                by = lambda r: _key(r["surt"], r["page_id"])
+                yield rows[bisect.bisect_left(rows, low, key=by) : bisect.bisect_right(rows, high, key=by)]
 
     def find(self, url: str | None) -> list[dict]:
-        """All captures of a URL.  A key can end one block and begin later ones."""
-        key, out = surt(url), []
-        i = bisect.bisect_right(self.firsts, key) - 1
-        while i >= 0 and self.blocks[i]["last_surt"] >= key:
-            b = self.blocks[i]
-            rows = read_block(self.folder, b["index_file"], b["index_offset"], b["index_length"])
-            keys = [r["surt"] for r in rows]
-            out = rows[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)] + out
-            i -= 1
-        return out
+        """All captures of a URL."""
+        key = surt(url)
+        return [r for rows in self.between(_key(key, None), (key, True, 1 << 63)) for r in rows]
+
+
+def surt_keys(pages: DataFrame) -> DataFrame:
+    """surt, page_id of each page."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([surt(x) for x in b.column("url").to_pylist()], pa.string()), b.column("page_id")], names=["surt", "page_id"])
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).mapInArrow(run, "surt string, page_id long")
+
 
+def find_captures(wanted: DataFrame, root: DataFrame, folder: str) -> DataFrame:
+    """The captures of ``wanted`` (surt, page_id; each pair once): surt, page_id, file, offset, length.
 
-def open_captures(directory: DataFrame, folder: str) -> DataFrame:
-    """All captures of the index, block by block: surt, page_id, file, offset, length."""
+    The root is broadcast: it has a row for each index file, of which there are as many as shuffle partitions at most.
+    """
+    spark = wanted.sparkSession
+    shared, folder = spark.sparkContext.broadcast([r.asDict() for r in root.collect()]), qualified(spark, folder)
 
     def run(batches):
+        index = CaptureIndex(shared.value, folder)
         for b in batches:
-            for r in b.to_pylist():
-                yield pa.RecordBatch.from_pylist(read_block(folder, r["index_file"], r["index_offset"], r["index_length"]), schema=_BLOCK)
+            held = []
+            for place in map(_key, b.column("surt").to_pylist(), b.column("page_id").to_pylist()):
+                for rows in index.between(place, place):
+                    held += rows
+                    if len(held) >= BLOCK:
+                        yield pa.RecordBatch.from_pylist(held, schema=_BLOCK)
+                        held = []
+            yield pa.RecordBatch.from_pylist(held, schema=_BLOCK)
 
-    return directory.mapInArrow(run, "surt string, page_id long, file string, offset long, length long")
+    ordered = wanted.repartitionByRange(partitions(spark), "surt", "page_id").sortWithinPartitions("surt", "page_id")
+    return ordered.mapInArrow(run, "surt string, page_id long, file string, offset long, length long")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the archives and their index, then reads every record back through the index."""
+    """Writes the archives and their index, looks every page up in the index and reads its record back."""
     folder = new_path(spark, "warc")
-    captures = materialize(write_archives(read_table(spark, sf_dir, "pages"), folder), "captures")
-    directory = materialize(build_index(captures, folder), "directory")
-    found = open_captures(directory, folder)
+    pages = read_table(spark, sf_dir, "pages")
+    captures = materialize(write_archives(pages, folder), "captures")
+    root = materialize(build_index(captures, folder), "root")
+    found = find_captures(materialize(surt_keys(pages).distinct(), "wanted"), root, folder)
     # Dealt by file and stretch, so that each task reads its archives from front to back.
     found = found.repartition(partitions(spark), "file", F.floor(F.col("offset") / (4 << 20))).sortWithinPartitions("file", "offset")
     back = read_captures(found, folder)
