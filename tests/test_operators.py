@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickforge.config import AssembleConfig, BarrierConfig, FeatureConfig, SplitConfig, Windows
 from tickforge.functions.columns import W, fill
-from tickforge.functions.quantiles import exact_quantiles
+from tickforge.functions.quantiles import exact_quantiles, quantiles_by
 from tickforge.operators import assemble, features, labels, normalize, splits, training
 from tickforge.sources import readers, sinks
 
@@ -183,6 +183,9 @@ def test_files(spark, tmp_path):
     assert readers.read_bars(spark, path).count() == 20
     with pytest.raises(FileNotFoundError):
         readers.read_bars(spark, str(tmp_path / "no.parquet"))
+    (tmp_path / "bars.csv").write_text("a\n")
+    with pytest.raises(ValueError):
+        readers.read_bars(spark, str(tmp_path / "bars.csv"))
     # A base name is looked for anywhere in the label file's name, so one-letter names would also be found in "labels".
     assert readers.pair_files(["gbpusd_features.parquet", "eurusd_features.parquet"], ["eurusd_features_labels.parquet"]) == [("eurusd_features.parquet", "eurusd_features_labels.parquet")]
     assigned = df.withColumns({"split_id": F.lit(0), "role": F.lit("train"), "row_idx": labels.row_index()})
@@ -205,3 +208,222 @@ def test_stream(spark, tmp_path):
 def test_config():
     assert Windows().warmup == 51 and FeatureConfig().windows.short == 14
     assert W().__class__
+
+
+def test_quantiles_of_groups(spark, monkeypatch):
+    from tickforge.functions import quantiles
+
+    rng = np.random.default_rng(2)
+    rows = [(int(g), float(a), float(b)) for g, a, b in zip(rng.integers(0, 4, 2000), rng.normal(size=2000), rng.integers(0, 3, 2000), strict=True)] + [(9, None, math.inf), (8, 1.0, math.nan)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    p = [0, 0.25, 0.5, 0.9, 1]
+    for limit in (100_000, 50):
+        monkeypatch.setattr(quantiles, "LIMIT", limit)
+        got = quantiles_by(df, ["g"], ["a", "b"], p)
+        for g in range(4):
+            for i, c in ((1, "a"), (2, "b")):
+                assert np.allclose(got[(g,)][c], np.quantile([r[i] for r in rows if r[0] == g], p))
+        assert (9,) not in got and got[(8,)] == {"a": [1.0] * 5, "b": [None] * 5}
+    assert exact_quantiles(df.where("g = 9"), "a", p) == [None] * 5
+
+
+def gappy(spark, n, seed, symbol):
+    """Bid/ask and OHLC bars with missing, zero, constant and negative prices."""
+    rng = np.random.default_rng(seed)
+    x = walk(n, seed)
+    for a in rng.integers(0, n, n // 25):
+        x[a] = [None, 0.0, -1.0][a % 3]
+    for a in rng.integers(0, n - 90, 3):
+        x[a : a + 80] = [x[a]] * 80
+    x[:7] = [None] * 7
+    rows = []
+    for i, c in enumerate(x):
+        f = (lambda d: None if c is None else c + d)  # noqa: B023
+        spread = float(rng.uniform(0, 0.1))
+        rows.append((datetime(2024, 1, 1) + timedelta(hours=int(i * 1.5)), symbol, *[f(d) for d in (0, 1, -1, 0)], *[f(d + spread) for d in (0, 1, -1, 0)], *[f(d + spread / 2) for d in (0, 1, -1, 0)], None if i % 11 == 0 else spread, float(rng.normal()), float(rng.normal())))
+    return spark.createDataFrame(rows, "timestamp timestamp_ntz, symbol string, " + ", ".join(f"{k} double" for k in ("bid_open bid_high bid_low bid_close ask_open ask_high ask_low ask_close mid_open mid_high mid_low mid_close spread_close bid_change ask_change").split()))
+
+
+@pytest.mark.parametrize("leak_safe", [False, True])
+def test_features_in_blocks(spark, leak_safe):
+    """One long symbol in many blocks, a short one in one block: the same rows as with a partition for each symbol."""
+    df = gappy(spark, 1500, 5, "A").unionAll(gappy(spark, 130, 6, "B")).unionAll(gappy(spark, 110, 7, "C").limit(40))
+    config = FeatureConfig(leak_safe=leak_safe)
+    for bars_ in (df, df.select("timestamp", "symbol", F.col("bid_open").alias("open"), F.col("bid_high").alias("high"), F.col("bid_low").alias("low"), F.col("bid_close").alias("close"))):
+        want = features.compute_features(bars_, config).orderBy("symbol", "timestamp").toPandas()
+        parts = features.compute_features_in_blocks(bars_, config, rows=60)
+        got = parts.orderBy("symbol", "timestamp").toPandas()
+        assert list(got.columns) == list(want.columns) and len(got) == len(want)
+        for c in want.columns[2:]:
+            a, b = got[c].to_numpy(float), want[c].to_numpy(float)
+            assert np.allclose(a, b, rtol=1e-6, atol=1e-9, equal_nan=True), c
+
+
+def test_blocks_are_many_partitions(spark):
+    from tickforge.functions.blocks import blocks
+
+    df = bars(spark, walk(2000))
+    dealt = blocks(df, 10, 5, rows=60).toPandas()
+    own = dealt[dealt._own]
+    assert len(own) == 2000 and own._block.nunique() >= 16 and sorted(own._rn) == list(range(1, 2001)) and (own.groupby("_block").size() >= 60).all()
+    for k, g in dealt.groupby("_block"):
+        mine = g[g._own]._rn
+        want = set(range(max(1, mine.min() - 10), min(2000, mine.max() + 5) + 1))
+        assert set(g._rn) == want, k
+    assert blocks(df.where("false"), 10).count() == 0
+
+
+def test_labels_in_blocks(spark):
+    df = bars(spark, walk(900, 3)).withColumn("RV_w", F.when(F.hour("timestamp") != 4, 0.7)).unionAll(bars(spark, walk(30, 4), "B").withColumn("RV_w", F.lit(0.2)))
+    config = BarrierConfig(horizon=12)
+    a, b = (f(df, config).orderBy("symbol", "timestamp").toPandas() for f in (labels.triple_barrier, lambda d, c: labels.triple_barrier_in_blocks(d, c, rows=40)))
+    assert list(a.columns) == list(b.columns) and a.equals(b)
+
+
+def test_auc(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(y), [float(v) for v in p / p.sum()]) for y, p in zip(rng.integers(0, 3, 400), rng.integers(1, 9, (400, 3)), strict=True)]
+    df = spark.createDataFrame(rows, "y int, proba array<double>")
+    want = {}
+    for c in range(3):
+        pos, neg = ([p[c] for y, p in rows if (y == c) == side] for side in (True, False))
+        want[c] = np.mean([(a > b) + (a == b) / 2 for a in pos for b in neg])
+    for ranges in (256, 4, 1):
+        assert all(math.isclose(r.auc, want[r["class"]]) for r in training.auc(df, ranges=ranges).collect())
+    assert math.isclose(training.macro_auc(df).first().auc, np.mean(list(want.values())))
+
+
+def test_robust_scale(spark):
+    rng = np.random.default_rng(3)
+    rows = [(s, "train" if i < 60 else "val", float(v)) for s in range(3) for i, v in enumerate(rng.normal(s, 2, 90))]
+    got = training.scale(spark.createDataFrame(rows, "split_id int, role string, x double"), ["x"], "robust").toPandas()
+    for s in range(3):
+        x = np.array([r[2] for r in rows if r[0] == s])
+        q1, q2, q3 = np.quantile(x[:60], [0.25, 0.5, 0.75])
+        assert np.allclose(sorted(got[got.split_id == s].x), sorted((x - q2) / (q3 - q1)))
+    same = training.scale(spark.createDataFrame(rows, "split_id int, role string, x double"), ["x"], "none").toPandas()
+    assert sorted(same.x) == sorted(r[2] for r in rows)
+    with pytest.raises(ValueError):
+        training.scale(spark.createDataFrame(rows, "split_id int, role string, x double"), ["x"], "other")
+
+
+def test_folds(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = []
+    for s in range(2):
+        for i in range(120):
+            y = int(rng.integers(0, 3))
+            rows.append((s, "train" if i < 80 else "val", "A", i, None if i % 17 == 0 else float(y * 5 + rng.normal()), float(rng.normal()), y))
+            rows.append((s, "train", "B", i, 0.0, 0.0, 2 - y))
+    df = spark.createDataFrame(rows, "split_id int, role string, symbol string, timestamp int, a double, b double, y int")
+    for model in ("centroids", "forest"):
+        got = training.run_folds(df, ["a", "b"], model=model)
+        assert got.count() == 240 and {r.symbol for r in got.select("symbol").distinct().collect()} == {"A"}
+        m = training.fold_metrics(got)
+        assert m.count() == 4 and m.agg(F.min("accuracy")).first()[0] > 0.7
+    forest = training.fit_forest(df.where("role = 'train' and symbol = 'A'").na.fill(0.0), ["a", "b"], trees=3)
+    importance = spark.createDataFrame([(0, "gain", "a", 1.0)], "fold_id int, type string, feature string, value double")
+    sinks.write_folds(str(tmp_path / "run"), m, got.select("split_id", "role", "y", "p"), importance, {0: forest})
+    sinks.write_folds(str(tmp_path / "run"), m.limit(0), got.limit(0).select("split_id", "role", "y", "p"), importance.limit(0))  # left alone
+    assert spark.read.json(str(tmp_path / "run" / "metrics")).count() == 4 and spark.read.parquet(str(tmp_path / "run" / "predictions")).count() == 240
+    assert spark.read.option("header", True).csv(str(tmp_path / "run" / "importance_csv")).count() == 1 and (tmp_path / "run" / "models" / "fold=0" / "metadata").exists()
+    with pytest.raises(ValueError):
+        training.run_folds(df, ["a"], model="other")
+    padded = spark.createDataFrame([(None,), (2,)], "p int").select(training.pad_predictions(F.col("p")).alias("p")).collect()
+    assert [r.p for r in padded] == [1, 2]
+
+
+def test_rows_at(spark, tmp_path):
+    df = bars(spark, walk(30)).unionAll(bars(spark, walk(20, 1), "B"))
+    w = spark.createDataFrame([(0, datetime(2024, 1, 1, 3), datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 12))], "split_id int, train_start timestamp_ntz, train_end timestamp_ntz, val_start timestamp_ntz, val_end timestamp_ntz")
+    path = str(tmp_path / "x_splits.json")
+    sinks.write_splits(splits.assign(df, w), path)
+    positions = readers.read_splits(spark, readers.find_splits(str(tmp_path)))
+    got = splits.rows_at(df, positions.where("role = 'val'")).toPandas()
+    assert sorted(zip(got.symbol, got.row_idx, strict=True)) == [(s, i) for s in "AB" for i in (9, 10, 11)]
+    assert set(got.timestamp.dt.hour) == {9, 10, 11}
+    sinks.write_splits(splits.assign(df, w), str(tmp_path / "m"), "metadata")
+    assert {r.samples for r in spark.read.json(str(tmp_path / "m")).collect()} == {6, 3}
+    sinks.write_splits(splits.assign(df, w), str(tmp_path / "d"), "data")
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 18
+    with pytest.raises(FileNotFoundError):
+        readers.find_splits(str(tmp_path / "m"))
+
+
+def test_gates_of_the_dataset(spark):
+    x = bars(spark, walk(100)).withColumn("few", F.when(F.hour("timestamp") > 2, 1.0))
+    x = x.unionAll(bars(spark, walk(100, 1), "B").withColumn("few", F.lit(None).cast("double")))
+    y = x.select("timestamp", "symbol", (F.hour("timestamp") % 2).cast("double").alias("label"))
+    with pytest.raises(ValueError, match="cannot be filled"):  # no value of ``few`` in B at all
+        assemble.assemble(x, y, AssembleConfig(max_nan_ratio=0.6, min_samples=50))
+    a = x.where("symbol = 'A'")
+    whole = assemble.assemble(a, y, AssembleConfig(max_nan_ratio=0.6, min_samples=50))
+    assemble.require_complete(whole)
+    with pytest.raises(ValueError, match="cannot be filled"):  # its first row is missing, and nothing is filled backward
+        assemble.assemble(a, y, AssembleConfig(max_nan_ratio=0.6, min_samples=50), backward=False)
+    with pytest.raises(ValueError, match="samples"):
+        assemble.assemble(a, y, AssembleConfig(min_samples=101, max_nan_ratio=0.6))
+    uneven = y.withColumn("label", F.when(F.hour("timestamp") == 0, 1.0).otherwise(0.0))
+    with pytest.warns(UserWarning, match="largest class"):
+        assemble.assemble(a, uneven, AssembleConfig(max_nan_ratio=0.6, min_samples=50))
+    one = assemble.join_efficiency(a, y.where("hour(timestamp) = 0"), assemble.join_labels(a, y.where("hour(timestamp) = 0"))).first()
+    assert (one.n_features, one.n_labels, one.n_joined) == (100, 10, 5) and one.of_features == 0.05
+
+
+def test_validation(spark):
+    df = bars(spark, walk(120)).withColumns({"holes": F.when(F.hour("timestamp") == 0, 1.0), "log_ret_1": F.lit(7.0), "z": F.when(F.hour("timestamp") != 1, F.lit(2.0))})
+    with pytest.warns(UserWarning, match="holes"):
+        features.warn_missing(df)
+    assert {r["column"] for r in features.high_missing(df, 0.01).collect()} == {"holes", "z"}
+    got = features.validate_features(df)
+    assert "holes" not in got.columns and "z" in got.columns and got.agg(F.max("log_ret_1")).first()[0] == 0.1
+    with pytest.raises(ValueError):
+        features.require_rows(df.limit(3), 10)
+
+
+def test_whole_plan(spark, tmp_path):
+    from tickforge.plans.dataset import build_dataset, build_splits
+    from tickforge.sources.adapters import bars_daily
+
+    daily = bars_daily(spark, "/root/testdata/sf0.001")
+    dataset = build_dataset(daily, barrier_config=BarrierConfig(vol_basis="atr", horizon=5), assemble_config=AssembleConfig(min_retention=0.5, min_samples=50, max_nan_ratio=0.5))
+    assert dataset.count() > 50 and "label" in dataset.columns
+    assemble.require_complete(dataset)
+    parts = build_splits(dataset, SplitConfig(2, 1, 1, min_samples=10))
+    assert parts.count() and not splits.leakage(parts).where("leaks").count()
+    sinks.write_features(daily, str(tmp_path / "f.parquet"))
+    assert dict(spark.read.parquet(str(tmp_path / "f.parquet")).dtypes)["close"] == "float"
+    sinks.write_bars(daily, str(tmp_path / "g.parquet"), codec="gzip", row_group_mb=1, dictionary=False, by_symbol=True)
+    assert spark.read.parquet(str(tmp_path / "g.parquet")).count() == daily.count()
+
+
+def test_sources(spark, tmp_path):
+    from tickforge.config import feature_config, load_yaml
+    from tickforge.schemas import bar_format, raw_format
+    from tickforge.session import session
+
+    df = bars(spark, walk(5))
+    for name in ("a.parquet", "a_backup.parquet", "b_original.parquet"):
+        df.toPandas().to_parquet(tmp_path / name, coerce_timestamps="us")
+    got = readers.read_directory(spark, str(tmp_path))
+    assert got.count() == 5 and {r.file_name for r in got.collect()} == {"a.parquet"}
+    (tmp_path / "r.csv").write_text("time,open\n2024-01-01,1\n")
+    assert readers.read_raw_csv(spark, str(tmp_path / "r.csv")).dtypes == [("time", "string"), ("open", "string")]
+    assert readers.read_raw_csv(spark, str(tmp_path / "r.csv"), ["time", "open"]).first().open == "1"
+    (tmp_path / "c.yaml").write_text("general: {min_required_rows: 7, max_missing_ratio: 0.2}\nwindows: {short: 3, other: 1}\ncommon_features: {}\nvalidation: {outlier_std_threshold: 4}\n")
+    config = feature_config(load_yaml(str(tmp_path / "c.yaml")))
+    assert (config.min_rows, config.windows.short, config.max_missing_ratio, config.outlier_std) == (7, 3, 0.2, 4.0)
+    (tmp_path / "d.yaml").write_text("general: {}\n")
+    with pytest.raises(ValueError):
+        load_yaml(str(tmp_path / "d.yaml"))
+    with pytest.raises(FileNotFoundError):
+        load_yaml(str(tmp_path / "none.yaml"))
+    names = {("x_cleaned.csv", "normalize"): "x.parquet", ("x.parquet", "features"): "x_features.parquet", ("x_features.parquet", "labels"): "x_features_labels.parquet", ("x_features.parquet", "dataset"): "x_dataset.parquet"}
+    assert all(sinks.output_name(*k) == v for k, v in names.items())
+    with pytest.raises(ValueError):
+        sinks.output_name("x", "other")
+    assert bar_format(df) == "ohlc" and raw_format(df) == "ohlc" and session().conf.get("spark.sql.session.timeZone") == "UTC"
+    with pytest.raises(ValueError):
+        raw_format(df.select("symbol"))
+    with pytest.raises(Exception, match="no known symbol"):
+        spark.createDataFrame([("b.csv",)], "n string").select(normalize.require_symbol(F.col("n"))).collect()

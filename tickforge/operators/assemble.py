@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AssembleConfig
 from ..functions.columns import fill
 from ..schemas import KEYS, LABEL, feature_columns, require
+from ..sources.scratch import saved
 from .features import missing_ratios
 
 
@@ -28,6 +31,13 @@ def retention(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("initial"), F.count(LABEL).alias("kept"), F.avg(F.col(LABEL).isNull().cast("double")).alias("null_ratio"))
 
 
+def retention_by(df: DataFrame, by: tuple[str, ...] = ("symbol",), config: AssembleConfig = AssembleConfig()) -> DataFrame:
+    """The gate of each group: initial, kept, least, passes."""
+    g = df.groupBy(*by).agg(F.count("*").alias("initial"), F.count(LABEL).alias("kept"))
+    least = F.when(F.try_divide(F.col("initial") - F.col("kept"), "initial") > config.relax_above, config.relaxed_retention).otherwise(config.min_retention)
+    return g.withColumn("least", least).withColumn("passes", F.coalesce(F.try_divide("kept", "initial") >= F.col("least"), F.lit(False)))
+
+
 def retention_gate(initial: int, kept: int, config: AssembleConfig = AssembleConfig()) -> float:
     """The least retention, or an error.  It is relaxed if very many labels are missing."""
     least = config.relaxed_retention if initial and (initial - kept) / initial > config.relax_above else config.min_retention
@@ -36,16 +46,36 @@ def retention_gate(initial: int, kept: int, config: AssembleConfig = AssembleCon
     return least
 
 
+def join_efficiency(features: DataFrame, labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """One row: rows of both sides and of their join; the join's share of the larger side and of the features."""
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    one = n(features, "n_features").join(F.broadcast(n(labels, "n_labels"))).join(F.broadcast(n(joined, "n_joined")))  # one row each
+    return one.withColumns({"of_larger": F.try_divide("n_joined", F.greatest("n_features", "n_labels")), "of_features": F.try_divide("n_joined", "n_features")})
+
+
 def handle_missing(df: DataFrame, config: AssembleConfig = AssembleConfig(), backward: bool = True) -> DataFrame:
-    """Sparse columns go, rows without label go, the rest is filled within each symbol; gates raise errors."""
+    """Sparse columns go, rows without label go, the rest is filled within each symbol; gates raise errors.
+
+    One aggregate by symbol answers all gates.  Filling leaves nothing missing in a column just if every symbol has a value
+    there (if only forward: at its first row), so completeness is known before anything is filled.
+    """
     cols = feature_columns(df)
-    stats = df.agg(F.count("*").alias("_n"), F.count(LABEL).alias("_kept"), *[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols]).first()
-    retention_gate(stats["_n"], stats["_kept"], config)
-    if stats["_kept"] < config.min_samples:
-        raise ValueError(f"{stats['_kept']} samples; at least {config.min_samples} are needed")
-    sparse = [c for c in cols if stats[c] > config.max_nan_ratio]
-    df = df.drop(*sparse, *config.drop_features).where(F.col(LABEL).isNotNull())
-    return df.withColumns({c: fill(F.col(c), backward=backward) for c in feature_columns(df)})
+    y = F.col(LABEL).isNotNull()
+    first = F.min_by(F.struct(*[F.col(c).isNotNull().alias(c) for c in cols]), F.when(y, F.col("timestamp")))
+    seen = lambda c: F.count_if(y & F.col(c).isNotNull()).alias(f"_seen_{c}")
+    stats = df.groupBy("symbol").agg(F.count("*").alias("_n"), F.count(LABEL).alias("_kept"), first.alias("_first"), *[F.count(c).alias(c) for c in cols], *[seen(c) for c in cols]).collect()
+    total = lambda c: sum(r[c] for r in stats)
+    n, kept = total("_n"), total("_kept")
+    retention_gate(n, kept, config)
+    if kept < config.min_samples:
+        raise ValueError(f"{kept} samples; at least {config.min_samples} are needed")
+    gone = {c for c in cols if 1 - total(c) / n > config.max_nan_ratio} | set(config.drop_features)
+    stays = [c for c in cols if c not in gone]
+    bad = {c: r["symbol"] for r in stats if r["_kept"] for c in stays if not (r[f"_seen_{c}"] if backward else r["_first"][c])}
+    if bad:
+        raise ValueError(f"values are missing and cannot be filled (column and symbol): {bad}")
+    df = df.drop(*gone).where(y)
+    return df.withColumns({c: fill(F.col(c), backward=backward) for c in stays if total(f"_seen_{c}") < kept})
 
 
 def require_complete(df: DataFrame) -> DataFrame:
@@ -55,13 +85,22 @@ def require_complete(df: DataFrame) -> DataFrame:
     return df
 
 
-def assemble(features: DataFrame, labels: DataFrame, config: AssembleConfig = AssembleConfig()) -> DataFrame:
-    if not common_symbols(features, labels).limit(1).count():
-        raise ValueError("features and labels have no symbol in common")
-    joined = join_labels(features, labels)
+def assemble(features: DataFrame, labels: DataFrame, config: AssembleConfig = AssembleConfig(), backward: bool = True) -> DataFrame:
+    """The dataset.  The join is written once: gates and result read it."""
+    joined = saved(join_labels(features, labels), "joined")
     if not joined.limit(1).count():
-        raise ValueError("the join of features and labels is empty")
-    return handle_missing(joined, config)
+        raise ValueError("the join of features and labels is empty" if common_symbols(features, labels).limit(1).count() else "features and labels have no symbol in common")
+    out = handle_missing(joined, config, backward)
+    ratio = imbalance(joined).first()[0]
+    if ratio is not None and ratio > config.imbalance:
+        warnings.warn(f"the largest class has {ratio:.1f} times as many rows as the smallest", stacklevel=2)
+    return out
+
+
+def imbalance(df: DataFrame) -> DataFrame:
+    """One row: rows of the largest class over those of the smallest."""
+    n = df.where(F.col(LABEL).isNotNull()).groupBy(LABEL).agg(F.count("*").alias("n"))
+    return n.agg(F.try_divide(F.max("n"), F.min("n")).alias("imbalance"))
 
 
 def label_distribution(df: DataFrame) -> DataFrame:

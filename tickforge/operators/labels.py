@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..config import BarrierConfig
-from ..functions.columns import W
+from ..functions.blocks import BLOCK, ROWS, blocks
+from ..functions.columns import W, by_time
 from ..functions.quantiles import exact_quantiles
 from ..schemas import require
 
@@ -17,16 +19,20 @@ def barriers(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFram
     return require(df, ["timestamp", "symbol", config.price_col, config.vol_col]).where(p.isNotNull() & v.isNotNull()).withColumns({"upper": p + config.k_up * v, "lower": p - config.k_dn * v})
 
 
-def first_touch(price: str, horizon: int) -> Column:
-    """1, -1 or 0: which barrier the next ``horizon`` prices touch first; the upper one wins a tie."""
-    ahead = F.collect_list(price).over(W().rowsBetween(1, horizon))
-    touch = F.get(F.filter(ahead, lambda q: (q >= F.col("upper")) | (q <= F.col("lower"))), F.lit(0))
-    return F.when(touch >= F.col("upper"), 1.0).when(touch <= F.col("lower"), -1.0).otherwise(0.0)
+def triple_barrier(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFrame:
+    """``label`` for each row, not filtered yet: 1, -1 or 0 by the barrier that the next ``horizon`` prices touch first, the upper one in a tie."""
+    return _touched(barriers(df, config), config, W())
 
 
-def triple_barrier(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFrame:
-    """``label`` for each row, not filtered yet.  The window column is computed apart from the lambda, which cannot see frames."""
-    df = barriers(df, config).withColumn("_ahead", F.collect_list(config.price_col).over(W().rowsBetween(1, config.horizon)))
+def triple_barrier_in_blocks(df: DataFrame, config: BarrierConfig = BarrierConfig(), rows: int = ROWS) -> DataFrame:
+    """The same for symbols of any length.  ``df`` should be a written table."""
+    dealt = blocks(barriers(df, config), 0, config.horizon, rows).repartition(*BLOCK)
+    return _touched(dealt, config, by_time(*BLOCK)).where("_own").select(*df.columns, "upper", "lower", "label")
+
+
+def _touched(df: DataFrame, config: BarrierConfig, w: WindowSpec) -> DataFrame:
+    # The window column is computed apart from the lambda, which cannot see frames.
+    df = df.withColumn("_ahead", F.collect_list(config.price_col).over(w.rowsBetween(1, config.horizon)))
     touch = F.get(F.filter("_ahead", lambda q: (q >= F.col("upper")) | (q <= F.col("lower"))), F.lit(0))
     return df.withColumn("_touch", touch).withColumn("label", F.when(F.col("_touch") >= F.col("upper"), 1.0).when(F.col("_touch") <= F.col("lower"), -1.0).otherwise(0.0)).drop("_ahead", "_touch")
 
@@ -60,13 +66,19 @@ def filter_regimes(df: DataFrame, low: float | None, high: float | None, config:
 
 def label_data(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFrame:
     """timestamp, symbol, label."""
-    if df.limit(config.horizon).count() < config.horizon:
-        raise ValueError(f"fewer rows than the horizon of {config.horizon}")
     valid = df.where(F.col(config.price_col).isNotNull() & F.col(config.vol_col).isNotNull())
+    if (n := valid.limit(config.horizon).count()) < config.horizon:
+        raise ValueError(f"{n} rows with price and volatility; the horizon is {config.horizon}")
     low, high = vov_thresholds(valid, config)
     return filter_regimes(triple_barrier(df, config), low, high, config).select("timestamp", "symbol", "label")
 
 
+def barrier_spreads(df: DataFrame, config: BarrierConfig = BarrierConfig(), by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Mean distance of the barriers from the price."""
+    p = F.col(config.price_col)
+    return barriers(df, config).groupBy(*by).agg(F.avg(F.col("upper") - p).alias("mean_upper"), F.avg(p - F.col("lower")).alias("mean_lower"))
+
+
 def label_stats(labels: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
     y = F.col("label")
     return labels.groupBy(*by).agg(F.count("*").alias("n_rows"), F.count(y).alias("n_valid"), F.count_if(y == 1).alias("n_up"), F.count_if(y == -1).alias("n_down"), F.count_if(y == 0).alias("n_timeout"), F.count_if(y.isNull()).alias("n_filtered"))

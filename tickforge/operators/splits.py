@@ -47,6 +47,12 @@ def assign(df: DataFrame, split_windows: DataFrame) -> DataFrame:
     return joined.withColumn("role", F.when(train, "train").otherwise("val")).drop("train_start", "train_end", "val_start", "val_end")
 
 
+def rows_at(df: DataFrame, positions: DataFrame) -> DataFrame:
+    """The rows at the positions (symbol, row_idx) of a split document; row_idx is the 0-based place in the symbol's time order."""
+    indexed = df if "row_idx" in df.columns else df.withColumn("row_idx", row_index())
+    return indexed.join(positions.select("symbol", "row_idx"), ["symbol", "row_idx"], "left_semi")
+
+
 def quality(df: DataFrame, split_windows: DataFrame, config: SplitConfig) -> DataFrame:
     """split_id, symbol, samples and whether the split is valid for the symbol; symbols without rows in a split count as failing."""
     at = lambda role: F.col("role") == role

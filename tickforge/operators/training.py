@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import by_time, fill
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import quantiles_by
+from ..sources.scratch import saved
 
 MISSING = -999.0  # fixed value: no out-of-fold prediction
 NEUTRAL = 1
@@ -34,16 +36,11 @@ def scale(df: DataFrame, cols: list[str], kind: str = "standard", by: str = "spl
     elif kind == "minmax":
         stats = rows.groupBy(by).agg(*[F.min(x[c]).alias(f"_a_{c}") for c in cols], *[(F.max(x[c]) - F.min(x[c])).alias(f"_b_{c}") for c in cols])
     elif kind == "robust":
-        # Exact quantiles one split at a time: the number of splits is small, the rows of one are not.
-        got = []
-        for r in rows.select(by).distinct().collect():
-            own, line = rows.where(F.col(by) == r[by]), {by: r[by]}
-            for c in cols:
-                q1, q2, q3 = exact_quantiles(own, c, [0.25, 0.5, 0.75])
-                line |= {f"_a_{c}": q2, f"_b_{c}": None if q1 is None else q3 - q1}
-            got.append(line)
+        # All splits and columns in the same few passes; the number of splits is small, the rows of one are not.
+        got = quantiles_by(rows, [by], cols, [0.25, 0.5, 0.75])
         schema = ", ".join([f"{by} {df.schema[by].dataType.simpleString()}", *(f"_{k}_{c} double" for c in cols for k in "ab")])
-        stats = df.sparkSession.createDataFrame([tuple(g[n.split()[0]] for n in schema.split(", ")) for g in got], schema)
+        line = lambda q: [x for q1, q2, q3 in (q[c] for c in cols) for x in (q2, None if q1 is None else q3 - q1)]
+        stats = df.sparkSession.createDataFrame([(*k, *line(q)) for k, q in got.items()], schema)
     else:
         raise ValueError(f"unknown scaler: {kind}")
     scaled = {c: (x[c] - F.col(f"_a_{c}")) / F.when(F.col(f"_b_{c}") > 0, F.col(f"_b_{c}")).otherwise(1.0) for c in cols}
@@ -95,16 +92,30 @@ def log_loss(df: DataFrame, probabilities: str = "proba", floor: float = 1e-15,
     return df.groupBy(*by).agg((-F.avg(F.ln(F.greatest(F.least(p, F.lit(1 - floor)), F.lit(floor))))).alias("log_loss"))
 
 
-def auc(df: DataFrame, probabilities: str = "proba", classes: int = 3) -> DataFrame:
-    """class, auc: one against the rest, by rank sums with average ranks.  Equal scores are aggregated before they are ranked."""
+def auc(df: DataFrame, probabilities: str = "proba", classes: int = 3, ranges: int = 256) -> DataFrame:
+    """class, auc: one against the rest, by rank sums with average ranks.
+
+    Equal scores are aggregated first.  What is left is ranked within ranges of scores, whose bounds are approximate quantiles
+    (they only balance the work), and the rows of all lower ranges are added: no task ever holds a class.
+    """
     long = df.select("y", F.posexplode(probabilities).alias("class", "score")).where(F.col("class") < classes)
     tied = long.groupBy("class", "score").agg(F.count("*").alias("n"), F.count_if(F.col("y") == F.col("class")).alias("pos"))
-    w = Window.partitionBy("class").orderBy("score")
-    rank = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - (F.col("n") - 1) / 2
-    s = tied.withColumn("rank", rank).groupBy("class").agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum("pos").alias("p"), F.sum("n").alias("n"))
+    bounds = sorted(set(tied.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
+    part = F.size(F.filter(F.lit(bounds) if bounds else F.array().cast("array<double>"), lambda b: b <= F.col("score")))
+    tied = tied.withColumn("part", part)
+    w = Window.partitionBy("class", "part").orderBy("score")
+    inside = tied.withColumn("rank", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - (F.col("n") - 1) / 2)
+    parts = inside.groupBy("class", "part").agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum("pos").alias("p"), F.sum("n").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of at most ``ranges`` rows
+    s = parts.withColumn("r", F.col("r") + before * F.col("p")).groupBy("class").agg(F.sum("r").alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
     return s.select("class", F.try_divide(F.col("r") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * (F.col("n") - F.col("p"))).alias("auc"))
 
 
+def macro_auc(df: DataFrame, probabilities: str = "proba", classes: int = 3) -> DataFrame:
+    """One row: the mean of the classes' auc."""
+    return auc(df, probabilities, classes).agg(F.avg("auc").alias("auc"))
+
+
 def compile_oof(rows: DataFrame, predictions: DataFrame) -> DataFrame:
     """The rows with ``oof``: the prediction of the last fold that has the row, else MISSING.  Both have symbol and row_idx."""
     last = predictions.groupBy("symbol", "row_idx").agg(F.max_by("pred", "fold_id").alias("_pred"))
@@ -125,6 +136,53 @@ def importance_summary(importance: DataFrame) -> DataFrame:
     return importance.groupBy("type", "feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("folds"))
 
 
+# ---- folds ---------------------------------------------------------------------------------------------------------
+
+
+def first_symbol(assigned: DataFrame) -> DataFrame:
+    """The rows of each split's first symbol, by name: a fold is trained on one symbol."""
+    first = assigned.groupBy("split_id").agg(F.min("symbol").alias("symbol"))
+    return assigned.join(first, ["split_id", "symbol"], "left_semi")
+
+
+def centroids(df: DataFrame, cols: list[str], by: str = "split_id") -> DataFrame:
+    """The model of each fold: the mean of each class's training rows."""
+    return df.where(F.col("role") == "train").groupBy(by, "y").agg(*[F.avg(c).alias(f"_c_{c}") for c in cols])
+
+
+def nearest(df: DataFrame, model: DataFrame, cols: list[str], by: str = "split_id") -> DataFrame:
+    """``df`` with ``p``, the class of the nearest centroid of its fold (of equally near ones the least class).  A fold's model is one row."""
+    every = model.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("y", *[f"_c_{c}" for c in cols]))).alias("_model"))  # as many elements as classes
+    places = F.transform("_model", lambda m: F.struct(sum(((F.col(c) - m[f"_c_{c}"]) ** 2 for c in cols), F.lit(0.0)).alias("far"), m["y"].alias("y")))
+    return df.join(every, by).withColumn("p", F.array_min(places)["y"]).drop("_model")
+
+
+def run_folds(assigned: DataFrame, cols: list[str], scaler: str = "standard", model: str = "centroids", keep_missing: bool = False) -> DataFrame:
+    """All folds: rows of each split's first symbol with ``y`` -> filled, scaled, fitted on the training rows, and ``p`` for every row.
+
+    ``centroids`` keeps all folds in one plan keyed by split_id.  ``forest`` fits one Spark ML model for each split in turn.
+    """
+    rows = first_symbol(assigned)
+    rows = scale(rows if keep_missing else fill_missing(rows, cols), cols, scaler)
+    if model == "centroids":
+        return nearest(rows, centroids(rows, cols), cols)
+    if model != "forest":
+        raise ValueError(f"unknown model: {model}")
+    rows, out = saved(rows, "folds"), None
+    for r in rows.select("split_id").distinct().orderBy("split_id").collect():
+        own = rows.where(F.col("split_id") == r["split_id"])
+        got = fit_forest(own.where("role = 'train'"), cols).transform(own).select(*rows.columns, F.col("prediction").cast("int").alias("p"), vector_to_array("probability").alias("proba"))
+        out = got if out is None else out.unionAll(got)
+    return out
+
+
+def fold_metrics(predicted: DataFrame) -> DataFrame:
+    """split_id, role, n, accuracy, precision, recall, f1 (macro), directional_accuracy."""
+    by = ("split_id", "role")
+    n = predicted.groupBy(*by).agg(F.count("*").alias("n"))
+    return n.join(macro(predicted, by), list(by)).join(directional_accuracy(predicted, by), list(by))
+
+
 def fit_forest(df: DataFrame, cols: list[str], seed: int = 42, trees: int = 50):
     """A Spark ML classifier on encoded labels ``y``; the features are used as they are."""
     from pyspark.ml import Pipeline

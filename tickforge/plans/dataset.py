@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from ..config import AssembleConfig, BarrierConfig, FeatureConfig, SplitConfig
 from ..operators import assemble, features, labels, splits
 from ..schemas import bar_format
+from ..sources.scratch import saved
 
 
 def build_dataset(bars: DataFrame, feature_config: FeatureConfig = FeatureConfig(), barrier_config: BarrierConfig = BarrierConfig(), assemble_config: AssembleConfig = AssembleConfig()) -> DataFrame:
-    """Bars -> features -> labels -> dataset.  Only schema-dependent decisions and exact quantiles run jobs."""
+    """Bars -> features -> labels -> dataset.  The features are written once; gates, statistics and quantiles read that table."""
     kind = bar_format(bars)
-    table = features.validate_features(features.compute_features(features.require_rows(bars, feature_config.min_rows), feature_config), feature_config)
+    features.warn_missing(features.require_rows(bars, feature_config.min_rows), feature_config.max_missing_ratio)
+    table = saved(features.compute_features(bars, feature_config), "features")
+    table = saved(features.validate_features(table, feature_config), "features")
     if kind == "bidask" and barrier_config.price_col == "close":
         barrier_config = BarrierConfig(**{**barrier_config.__dict__, "price_col": "mid_close"})
-    return assemble.assemble(table, labels.label_data(table, barrier_config), assemble_config)
+    return assemble.assemble(table, labels.label_data(table, barrier_config), assemble_config, backward=not feature_config.leak_safe)
 
 
 def build_splits(dataset: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:

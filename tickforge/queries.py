@@ -12,7 +12,9 @@ from .config import AssembleConfig, BarrierConfig, FeatureConfig, SplitConfig
 from .functions.columns import W, argmax, fill
 from .operators import assemble, features, labels, normalize, reports, splits, training
 from .plans.dataset import labels_by_symbol
+from .sources import sinks
 from .sources.adapters import bars_bidask, bars_daily, bars_ohlc, raw_ohlc
+from .sources.scratch import saved
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -92,6 +94,19 @@ def _(spark, d):
     return normalize.is_sorted(bars_ohlc(spark, d).withColumn("pos", labels.row_index()))
 
 
+@query("monotonic_by_event", "WITH e AS (SELECT event_type AS symbol, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY event_id) AS before FROM events) SELECT symbol, bool_and(coalesce(ts >= before, true)) AS monotonic FROM e GROUP BY symbol")
+def _(spark, d):
+    """Times of events need not grow with their number."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    return normalize.is_sorted(e.select(F.col("event_type").alias("symbol"), F.col("ts").alias("timestamp"), F.col("event_id").alias("pos")))
+
+
+@query("float32_cast", f"WITH {o.OHLC} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, round(CAST(CAST(close AS FLOAT) AS DOUBLE), 6) AS close FROM ohlc")
+def _(spark, d):
+    small = sinks.float32(bars_ohlc(spark, d))
+    return out(small.withColumn("close", F.col("close").cast("double")), "close", digits=6)
+
+
 # ---- features --------------------------------------------------------------------------------------------------------
 
 _SINGLE = {
@@ -105,7 +120,7 @@ _MICRO = {
 for _name, _col in _SINGLE.items():
     query(_name, sql_out(o.OHLC_FEATURES, "feat", _col))(lambda spark, d, c=_col: out(features.common_features(bars_ohlc(spark, d)), c))
 for _name, _col in _MICRO.items():
-    query(_name, sql_out(o.BIDASK_MICRO, "micro", _col, digits=4))(lambda spark, d, c=_col: out(features.compute_features(bars_bidask(spark, d)), c, digits=4))
+    query(_name, sql_out(o.BIDASK_MICRO, "micro", _col, digits=6))(lambda spark, d, c=_col: out(features.compute_features(bars_bidask(spark, d)), c, digits=6))
 
 
 @query("common_features_full", sql_out(o.OHLC_FEATURES, "cut", "close", *o.COMMON))
@@ -113,9 +128,9 @@ def _(spark, d):
     return out(features.compute_features(bars_ohlc(spark, d)), "close", *features.COMMON)
 
 
-@query("bidask_features_full", sql_out(o.BIDASK_MICRO, "micro", *o.COMMON, *o.MICRO, digits=3))
+@query("bidask_features_full", sql_out(o.BIDASK_MICRO, "micro", *o.COMMON, *o.MICRO))
 def _(spark, d):
-    return out(features.compute_features(bars_bidask(spark, d)), *features.COMMON, *features.MICRO, digits=3)
+    return out(features.compute_features(bars_bidask(spark, d)), *features.COMMON, *features.MICRO)
 
 
 @query("hl_synthesis", f"WITH {o.BIDASK} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, round(greatest(bid_high, ask_high), 5) AS high, round(least(bid_low, ask_low), 5) AS low FROM bidask")
@@ -154,6 +169,12 @@ def _(spark, d):
     return features.missing_ratios(bars).select("column", F.round("ratio", 6).alias("ratio"))
 
 
+@query("high_missing", f"WITH {o.OHLC}, x AS (SELECT CASE WHEN hour(timestamp) % 3 = 0 THEN close END AS gap, CASE WHEN hour(timestamp) <> 5 THEN high END AS few FROM ohlc) SELECT 'gap' AS \"column\", round(avg(CASE WHEN gap IS NULL THEN 1.0 ELSE 0.0 END), 6) AS ratio FROM x")
+def _(spark, d):
+    bars = bars_ohlc(spark, d).select(F.when(F.hour("timestamp") % 3 == 0, F.col("close")).alias("gap"), F.when(F.hour("timestamp") != 5, F.col("high")).alias("few"))
+    return features.high_missing(bars).withColumn("ratio", F.round("ratio", 6))
+
+
 # ---- labels ------------------------------------------------------------------------------------------------------------
 
 
@@ -179,18 +200,18 @@ def _(spark, d):
 
 @query("vov_thresholds", f"WITH {o.OHLC_FEATURES}, {o.labels('RV_w', 24)}, {o.VOV} SELECT round(lo, 6) AS lower, round(hi, 6) AS upper FROM vq")
 def _(spark, d):
-    low, high = labels.vov_thresholds(features.compute_features(bars_ohlc(spark, d)), RV)
+    low, high = labels.vov_thresholds(saved(features.compute_features(bars_ohlc(spark, d)), "features"), RV)
     return spark.createDataFrame([(low, high)], "lower double, upper double").select(F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"))
 
 
 @query("labels_vov_filtered", sql_out(o.LABELLED, "flt", "label"))
 def _(spark, d):
-    return out(labels.label_data(features.compute_features(bars_ohlc(spark, d)), RV), "label")
+    return out(_labelled(spark, d)[1], "label")
 
 
 @query("label_stats", f"WITH {o.LABELLED} SELECT symbol, count(*) AS n_rows, count(label) AS n_valid, count(*) FILTER (WHERE label = 1) AS n_up, count(*) FILTER (WHERE label = -1) AS n_down, count(*) FILTER (WHERE label = 0) AS n_timeout, count(*) FILTER (WHERE label IS NULL) AS n_filtered FROM flt GROUP BY symbol")
 def _(spark, d):
-    return labels.label_stats(labels.label_data(features.compute_features(bars_ohlc(spark, d)), RV))
+    return labels.label_stats(_labelled(spark, d)[1])
 
 
 @query("labels_by_symbol", f"WITH {o.OHLC_FEATURES}, {o.labels('RV_w', 24)} SELECT symbol, label, count(*) AS n FROM lab GROUP BY ALL")
@@ -198,13 +219,19 @@ def _(spark, d):
     return labels_by_symbol(bars_ohlc(spark, d))
 
 
+@query("barrier_spreads", f"WITH {o.OHLC_FEATURES}, {o.labels('RV_w', 24)} SELECT symbol, round(avg(upper - close), 6) AS mean_upper, round(avg(close - lower), 6) AS mean_lower FROM lab GROUP BY symbol")
+def _(spark, d):
+    return out(labels.barrier_spreads(features.compute_features(bars_ohlc(spark, d)), RV), "mean_upper", "mean_lower", keys=("symbol",), digits=6)
+
+
 # ---- assembly ------------------------------------------------------------------------------------------------------------
 
 _LOOSE = AssembleConfig(min_retention=0.5, min_samples=10)
 
 
 def _labelled(spark, d):
-    table = features.compute_features(bars_ohlc(spark, d))
+    """The features, written once, and their labels."""
+    table = saved(features.compute_features(bars_ohlc(spark, d)), "features")
     return table, labels.label_data(table, RV)
 
 
@@ -223,6 +250,37 @@ def _(spark, d):
     return assemble.retention(assemble.join_labels(*_labelled(spark, d))).withColumn("null_ratio", F.round("null_ratio", 6))
 
 
+@query("retention_by_day", f"""WITH {o.LABELLED}, g AS (SELECT symbol, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, count(*) AS initial, count(label) AS kept FROM flt GROUP BY ALL)
+SELECT symbol, day, initial, kept, CASE WHEN (initial - kept) / initial > 0.3 THEN 0.5 ELSE 0.8 END AS least, kept / initial >= CASE WHEN (initial - kept) / initial > 0.3 THEN 0.5 ELSE 0.8 END AS passes FROM g""")
+def _(spark, d):
+    joined = assemble.join_labels(*_labelled(spark, d)).withColumn("day", F.to_date("timestamp").cast("string"))
+    return assemble.retention_by(joined, ("symbol", "day"))
+
+
+@query("join_efficiency", f"""WITH {o.LABELLED}, l AS (SELECT symbol, timestamp FROM flt WHERE hour(timestamp) <> 7), j AS (SELECT count(*) AS n FROM flt JOIN l ON flt.symbol = l.symbol AND flt.timestamp = l.timestamp)
+SELECT (SELECT count(*) FROM cut) AS n_features, (SELECT count(*) FROM l) AS n_labels, n AS n_joined, round(n / greatest((SELECT count(*) FROM cut), (SELECT count(*) FROM l)), 6) AS of_larger, round(n / (SELECT count(*) FROM cut), 6) AS of_features FROM j""")
+def _(spark, d):
+    table, y = _labelled(spark, d)
+    y = y.where(F.hour("timestamp") != 7)
+    return assemble.join_efficiency(table, y, assemble.join_labels(table, y)).withColumns({c: F.round(c, 6) for c in ("of_larger", "of_features")})
+
+
+@query("label_imbalance", f"WITH {o.LABELLED}, n AS (SELECT count(*) AS n FROM flt WHERE label IS NOT NULL GROUP BY label) SELECT round(max(n) / min(n), 6) AS imbalance FROM n")
+def _(spark, d):
+    return assemble.imbalance(_labelled(spark, d)[1]).withColumn("imbalance", F.round("imbalance", 6))
+
+
+@query("fill_features", f"""WITH {o.LABELLED}, x AS (SELECT * EXCLUDE (RSI_w), CASE WHEN hour(timestamp) % 4 <> 0 THEN RSI_w END AS RSI_w FROM flt WHERE label IS NOT NULL)
+SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, round({o.filled('RSI_w')}, 5) AS RSI_w FROM x""")
+def _(spark, d):
+    table, y = _labelled(spark, d)
+    gaps = table.withColumn("RSI_w", F.when(F.hour("timestamp") % 4 != 0, F.col("RSI_w"))).withColumn("bb_width", F.when(F.hour("timestamp") == 1, F.col("bb_width")))
+    got = assemble.assemble(gaps, y, AssembleConfig(max_nan_ratio=0.5, min_retention=0.5, min_samples=10))
+    if "bb_width" in got.columns:
+        raise ValueError("a sparse column stayed")
+    return out(got, "RSI_w")
+
+
 @query("label_distribution", f"WITH {o.LABELLED} SELECT label, count(*) AS n FROM flt GROUP BY label")
 def _(spark, d):
     return assemble.label_distribution(_labelled(spark, d)[1])
@@ -268,6 +326,23 @@ def _(spark, d):
     return splits.quality(*_assigned(spark, d), SPLIT).select("split_id", "symbol", "train_samples", "val_samples", "valid")
 
 
+@query("split_quality_strict", f"""WITH {o.SPLIT_CTES}, q AS (SELECT split_id, symbol, count(*) FILTER (WHERE role = 'train') AS train_samples, count(*) FILTER (WHERE role = 'val') AS val_samples FROM asg WHERE symbol <> '1-URGENT' OR timestamp < (SELECT min(val_start) FROM wins) OR timestamp >= (SELECT max(val_end) FROM wins) GROUP BY ALL)
+SELECT w.split_id, s.symbol, coalesce(train_samples, 0) AS train_samples, coalesce(val_samples, 0) AS val_samples, coalesce(train_samples >= 20 AND val_samples >= 20, false) AS valid
+FROM wins w CROSS JOIN (SELECT DISTINCT symbol FROM daily) s LEFT JOIN q ON q.split_id = w.split_id AND q.symbol = s.symbol""")
+def _(spark, d):
+    """One symbol has no rows in any validation window: its splits fail."""
+    bars, w = _assigned(spark, d)
+    held = bars.join(F.broadcast(w), (F.col("symbol") == "1-URGENT") & (F.col("timestamp") >= F.col("val_start")) & (F.col("timestamp") < F.col("val_end")), "left_semi")
+    return splits.quality(bars.join(held, ["symbol", "timestamp"], "left_anti"), w, SPLIT).select("split_id", "symbol", "train_samples", "val_samples", "valid")
+
+
+@query("split_rows", f"WITH {o.SPLIT_CTES} SELECT DISTINCT symbol, CAST(timestamp AS VARCHAR) AS timestamp, row_idx, round(close, 5) AS close FROM asg WHERE role = 'val' AND split_id % 2 = 1")
+def _(spark, d):
+    bars, w = _assigned(spark, d)
+    positions = splits.assign(bars, w).where("role = 'val' AND split_id % 2 = 1")
+    return out(splits.rows_at(bars, positions), "row_idx", "close")
+
+
 @query("split_coverage", f"""WITH {o.SPLIT_CTES}, m AS (SELECT i.symbol, i.timestamp, count(a.split_id) AS m FROM idx i LEFT JOIN asg a ON a.symbol = i.symbol AND a.timestamp = i.timestamp GROUP BY ALL)
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE m >= 1) AS covered, CAST(sum(greatest(m - 1, 0)) AS BIGINT) AS overlap, round(count(*) FILTER (WHERE m >= 1) / count(*), 6) AS coverage, round(sum(greatest(m - 1, 0)) / count(*), 6) AS overlap_ratio FROM m""")
 def _(spark, d):
@@ -289,6 +364,19 @@ def _(spark, d):
     return splits.order_check(_assigned(spark, d)[1])
 
 
+@query("leakage_found", f"WITH {o.SPLIT_CTES}, x AS (SELECT *, CASE WHEN split_id % 2 = 1 AND symbol > '3' THEN CASE role WHEN 'val' THEN 'train' ELSE 'val' END ELSE role END AS r2 FROM asg) SELECT split_id, symbol, max(timestamp) FILTER (WHERE r2 = 'train') >= min(timestamp) FILTER (WHERE r2 = 'val') AS leaks FROM x GROUP BY split_id, symbol")
+def _(spark, d):
+    """Some splits have their roles swapped, so that training follows validation."""
+    swapped = F.when((F.col("split_id") % 2 == 1) & (F.col("symbol") > "3"), F.when(F.col("role") == "val", "train").otherwise("val")).otherwise(F.col("role"))
+    return splits.leakage(splits.assign(*_assigned(spark, d)).withColumn("role", swapped))
+
+
+@query("split_disorder", f"WITH {o.SPLIT_CTES}, x AS (SELECT split_id, CASE WHEN split_id = 1 THEN train_end ELSE train_start END AS train_start, train_end, val_start, val_end FROM wins) SELECT split_id, train_start < train_end AND train_end <= val_start AND val_start < val_end AS ordered, coalesce(train_start > lag(train_start) OVER (ORDER BY split_id), true) AS increasing FROM x")
+def _(spark, d):
+    w = _assigned(spark, d)[1]
+    return splits.order_check(w.withColumn("train_start", F.when(F.col("split_id") == 1, F.col("train_end")).otherwise(F.col("train_start"))))
+
+
 # ---- training data -----------------------------------------------------------------------------------------------------------
 
 
@@ -328,6 +416,14 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("symbol", "timestamp", "row_idx", (F.col("row_idx") % 3).cast("int").alias("fold_id"), "y", "p")
 
 
+def folds(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of all splits with ``y``, the class of the last return."""
+    bars, w = _assigned(spark, d)
+    r = F.try_divide("close", F.lag("close").over(W())) - 1
+    bars = bars.withColumns({"row_idx": labels.row_index(), "y": F.when(r > 0.2, 2).when(r < -0.2, 0).otherwise(1)})
+    return splits.assign(bars, w)
+
+
 def with_probabilities(df: DataFrame) -> DataFrame:
     k = F.col("row_idx") % 7
     share = lambda c: F.when(F.col("p") == c, 0.5 + k * 0.05).otherwise((0.5 - k * 0.05) / 2)
@@ -367,6 +463,32 @@ def _(spark, d):
     return out(training.auc(df).join(F.broadcast(loss)), "auc", "log_loss", keys=("class",), digits=6)  # loss is one row
 
 
+@query("macro_auc", f"""WITH {_PROBA}, rk AS (SELECT class, y, score, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score) - 1) / 2 AS r FROM pp),
+s AS (SELECT class, sum(r) FILTER (WHERE y = class) AS r, count(*) FILTER (WHERE y = class) AS p, count(*) AS n FROM rk GROUP BY class)
+SELECT round(avg((r - p * (p + 1) / 2) / nullif(p * (n - p), 0)), 6) AS auc FROM s""")
+def _(spark, d):
+    return out(training.macro_auc(with_probabilities(predictions(spark, d))), "auc", keys=(), digits=6)
+
+
+_FOLDS = f"""{o.SPLIT_CTES}, ret AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY timestamp), 0) - 1 AS r FROM idx
+), lab AS (SELECT symbol, row_idx, CASE WHEN r > 0.2 THEN 2 WHEN r < -0.2 THEN 0 ELSE 1 END AS y FROM ret
+), rws AS (SELECT asg.*, lab.y FROM asg JOIN lab ON lab.symbol = asg.symbol AND lab.row_idx = asg.row_idx WHERE asg.symbol = (SELECT min(symbol) FROM daily)
+), st AS (SELECT split_id, avg(close) AS ca, stddev_pop(close) AS cb, avg(tick_volume) AS va, stddev_pop(tick_volume) AS vb FROM rws WHERE role = 'train' GROUP BY split_id
+), sc AS (SELECT r.split_id, role, row_idx, y, (close - ca) / CASE WHEN cb > 0 THEN cb ELSE 1.0 END AS c, (tick_volume - va) / CASE WHEN vb > 0 THEN vb ELSE 1.0 END AS v FROM rws r JOIN st ON st.split_id = r.split_id
+), ce AS (SELECT split_id, y AS k, avg(c) AS cc, avg(v) AS cv FROM sc WHERE role = 'train' GROUP BY ALL
+), ds AS (SELECT sc.split_id, role, row_idx, y, arg_min(k, (c - cc) ** 2 + (v - cv) ** 2) AS p FROM sc JOIN ce ON ce.split_id = sc.split_id GROUP BY ALL)"""
+
+
+@query("fold_predictions", f"WITH {_FOLDS} SELECT split_id, role, row_idx, y, p FROM ds")
+def _(spark, d):
+    return training.run_folds(folds(spark, d), ["close", "tick_volume"]).select("split_id", "role", "row_idx", "y", "p")
+
+
+@query("fold_metrics", f"WITH {_FOLDS} SELECT split_id, role, count(*) AS n, round(avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END), 6) AS accuracy, round(coalesce(avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END) FILTER (WHERE y <> 1 AND p <> 1), 0.0), 6) AS directional_accuracy FROM ds GROUP BY split_id, role")
+def _(spark, d):
+    return out(training.fold_metrics(training.run_folds(folds(spark, d), ["close", "tick_volume"])), "n", "accuracy", "directional_accuracy", keys=("split_id", "role"), digits=6)
+
+
 @query("argmax_class", f"WITH {_PROBA} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, CAST(arg_max(class, score - class * 1e-12) AS INTEGER) AS best FROM pp GROUP BY symbol, timestamp")
 def _(spark, d):
     return out(with_probabilities(predictions(spark, d)).withColumn("best", argmax(F.col("proba"))), "best")

@@ -12,13 +12,13 @@ from ..functions.columns import no_nan
 BACKUP_MARKS = ("_backup", "_original")
 
 
-def existing(path: str, suffix: str) -> str:
-    """The path, if it is there and has this suffix; paths with a scheme are left to Spark."""
-    if "://" not in path:
-        if not Path(path).exists():
-            raise FileNotFoundError(path)
-        if not path.endswith(suffix):
-            raise ValueError(f"{path} is not a {suffix} file")
+def existing(spark: SparkSession, path: str, suffix: str) -> str:
+    """The path, if it is there, in whatever file system Spark finds it, and has this suffix."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise FileNotFoundError(path)
+    if not path.endswith(suffix):
+        raise ValueError(f"{path} is not a {suffix} file")
     return path
 
 
@@ -31,7 +31,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return no_nan(spark.read.parquet(existing(path, ".parquet")))
+    return no_nan(spark.read.parquet(existing(spark, path, ".parquet")))
 
 
 def read_directory(spark: SparkSession, path: str, pattern: str = "*.parquet", skip: tuple[str, ...] = BACKUP_MARKS) -> DataFrame:

@@ -7,14 +7,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import FeatureConfig
+
+#: Positions in one line of a split document, at most.
+INDICES = 10_000
+
 
 def mode(force: bool) -> str:
     """Existing output is left alone unless forced."""
     return "overwrite" if force else "ignore"
 
 
-def write_bars(df: DataFrame, path: str, force: bool = False, codec: str = "snappy", by_symbol: bool = False) -> None:
-    writer = df.write.mode(mode(force)).option("compression", codec)
+def write_bars(df: DataFrame, path: str, force: bool = False, codec: str = "snappy", by_symbol: bool = False, row_group_mb: int | None = None, dictionary: bool = True) -> None:
+    """Parquet with statistics; row groups are bounded by size, since the format's writer does not count rows."""
+    writer = df.write.mode(mode(force)).option("compression", codec).option("parquet.enable.dictionary", dictionary)
+    if row_group_mb:
+        writer = writer.option("parquet.block.size", row_group_mb << 20)
     (writer.partitionBy("symbol") if by_symbol else writer).parquet(path)
 
 
@@ -23,6 +31,22 @@ def float32(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("float").alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema])
 
 
+def write_features(df: DataFrame, path: str, config: FeatureConfig = FeatureConfig(), force: bool = False) -> None:
+    write_bars(float32(df) if config.float32 else df, path, force)
+
+
+def write_folds(folder: str, metrics: DataFrame, predictions: DataFrame, importance: DataFrame | None = None, models: dict[int, object] | None = None, force: bool = False) -> None:
+    """What training leaves of each fold: metrics (JSON), predictions (Parquet by fold), importance (JSON and CSV), fitted models."""
+    metrics.write.mode(mode(force)).partitionBy("split_id").json(f"{folder}/metrics")
+    predictions.write.mode(mode(force)).partitionBy("split_id").parquet(f"{folder}/predictions")
+    if importance is not None:
+        importance.write.mode(mode(force)).json(f"{folder}/importance")
+        importance.write.mode(mode(force)).option("header", True).csv(f"{folder}/importance_csv")
+    for fold, model in (models or {}).items():
+        writer = model.write()
+        (writer.overwrite() if force else writer).save(f"{folder}/models/fold={fold}")
+
+
 def dataset_metadata(df: DataFrame) -> DataFrame:
     """One row: rows, columns, symbols, first and last time."""
     return df.agg(F.count("*").alias("n_rows"), F.array_sort(F.collect_set("symbol")).alias("symbols"), F.min("timestamp").alias("start"), F.max("timestamp").alias("end")).withColumn("columns", F.lit(df.columns))
@@ -36,7 +60,9 @@ def write_dataset(df: DataFrame, path: str, force: bool = False) -> None:
 def write_splits(assigned: DataFrame, path: str, form: str = "indices", force: bool = False) -> None:
     """``assigned``: split_id, symbol, role, row_idx (and, for ``data``, all columns)."""
     if form == "indices":
-        assigned.groupBy("split_id", "symbol", "role").agg(F.array_sort(F.collect_list("row_idx")).alias("indices")).write.mode(mode(force)).json(path)
+        # A line holds a bounded stretch of indices, not all rows of a split and symbol.
+        stretch = F.floor(F.col("row_idx") / INDICES).alias("_stretch")
+        assigned.groupBy("split_id", "symbol", "role", stretch).agg(F.array_sort(F.collect_list("row_idx")).alias("indices")).drop("_stretch").write.mode(mode(force)).json(path)
     elif form == "metadata":
         assigned.groupBy("split_id", "symbol", "role").agg(F.count("*").alias("samples"), F.min("timestamp").alias("start"), F.max("timestamp").alias("end")).write.mode(mode(force)).json(path)
     elif form == "data":
