@@ -310,3 +310,65 @@ def test_pricing():
 
 def test_sha(spark):
     assert spark.createDataFrame([("é",)], "t string").select(F.sha2("t", 256)).first()[0] == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_hash_against_brute_force():
+    """Block means, cosine transform and median by loops."""
+    rng = np.random.default_rng(3)
+    for shape in ((64, 192, 1), (1, 192, 1), (50, 40, 3), (32, 32, 1)):
+        x = rng.integers(0, 256, shape, dtype=np.uint8)
+        grey = x.mean(axis=2)
+        small = np.zeros((32, 32))
+        for i in range(32):
+            for j in range(32):
+                cells = []
+                for k, n in ((i, shape[0]), (j, shape[1])):
+                    a, b = k * n // 32, (k + 1) * n // 32
+                    cells.append(slice(a, b) if n >= 32 else slice(a, a + 1))
+                small[i, j] = grey[cells[0], cells[1]].mean()
+        low = []
+        for u in range(8):
+            for v in range(8):
+                low.append(round(sum(small[i, j] * math.cos(math.pi * (2 * i + 1) * u / 64) * math.cos(math.pi * (2 * j + 1) * v / 64) for i in range(32) for j in range(32)), 6))
+        low = low[1:]
+        want = int("".join(["0", *("1" if c > np.median(low) else "0" for c in low)]), 2)
+        assert media.dct_hash(x) == f"{want:016x}"
+
+
+def test_likelihood_against_brute_force():
+    """A fitted model scores by the noisy-or, and its likelihood is better than that of its neighbours."""
+    rng = random.Random(4)
+    names = ["bad", "odd"]
+    bags = [[{0: 1}] * (i % 3 == 0) + [{1: 1}] * rng.randint(0, 2) for i in range(90)]
+    y = np.array([int(i % 3 == 0) for i in range(90)])
+    model = toxicity.NoisyOr.fit(bags, y, np.ones(90), names)
+
+    def likelihood(weights, bias, leak):
+        total = 0.0
+        for bag, label in zip(bags, y, strict=True):
+            clean = 1 - leak
+            for s in bag:
+                clean *= 1 - 1 / (1 + math.exp(-(sum(weights.get(names[f], 0.0) * n for f, n in s.items()) + bias)))
+            total += math.log(1 - clean if label else clean)
+        return total
+
+    best = likelihood(model.weights, model.bias, model.leak)
+    assert model.weights["bad"] > 2 and model.weights.get("odd", 0) < 0.5
+    assert all(best >= likelihood(model.weights, model.bias + d, model.leak) - 0.5 for d in (-1.0, 0.8))
+    p = model.sentence("a bad thing")
+    assert math.isclose(model.score("a bad thing. another bad thing."), 1 - (1 - model.leak) * (1 - p) ** 2)
+    assert model.score("x " * 200_000) == model.score("") == model.score("nothing here")
+
+
+def test_clashes_and_repeats(spark):
+    """Repeated rows and columns of the operators' own names."""
+    rows = [(1, "you are a fine text of words", "x", 5)] * 3 + [(None, None, "y", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int").withColumns({"held_out": F.lit(1), "lang_pred": F.lit("z"), "bits_per_byte": F.lit(0)})
+    assert [r.lang_pred for r in langid.identify(df, langid.train(df)).orderBy(F.desc("doc_id")).collect()] == ["x", "x", "x", "und"]
+    pages = spark.createDataFrame([(1, "http://a.b/c", "same", "z", 1)] * 3 + [(2, "http://a.b/c", "same", "z", 1)], "page_id long, url string, html string, payload_digest string, n int")
+    folder = new_path(spark, "test-warc")
+    captures = warc.write_archives(pages, folder).cache()
+    back = warc.read_captures(warc.find_captures(warc.surt_keys(pages).distinct(), warc.build_index(captures, folder, 2), folder), folder).toPandas()
+    assert sorted(back.page_id) == [1, 1, 1, 2] and set(back[back.page_id == 1].record_type) == {"revisit"}
+    packed = packing.pack(packing.pieces(df.withColumns({"length": F.lit(1), "offset": F.lit(2), "pid": F.lit(3)}))).toPandas()
+    assert len(packed) == 4 and packed.doc_tokens.iloc[0] == packed.length.iloc[0]

@@ -236,3 +236,46 @@ def test_empty_tables(empty):
     assert cut_spans(keyed, suffix_dedup.later_spans(keyed), bytes, b"").count() == 0
     assert cut_spans(keyed, substring_dedup.repeated_spans(keyed), bytes.split, b" ").count() == 0
     assert near_join.near_classes(keyed).count() == 0
+
+
+def test_lookup_spreads_a_hot_key(spark, tmp_path):
+    """One key holds four of five rows: its rows are dealt over all partitions by a salt that stays in the plan."""
+    from tickforge.llm.common import lookup
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(50_000).select(F.when(F.col("id") % 5 != 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+        left.groupBy("k").agg(F.count("*").alias("n")).write.parquet(str(tmp_path / "right"))
+        right = spark.read.parquet(str(tmp_path / "right")).withColumn("c", F.col("n") + 1)
+        got = lookup(left, right, ["k"], ["c"], "n")
+        assert "_salt" in next(x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(k" in x)
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 15_000 and got.count() == 50_000
+        assert got.where("c <> if(k = 0, 40002, 2)").count() == 0
+        assert lookup(left.unionAll(left.limit(3).withColumn("k", F.lit(-1))), right, ["k"], ["c"], "n", "inner").count() == 50_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tight_group_is_not_compared(spark):
+    """Near copies of one text: all links are counted from the core's size."""
+    rng = random.Random(13)
+    base = [w + str(i) for i, w in enumerate(words(rng, 300).split())]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        w[(i * 7) % 290] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_join.near_classes(with_text_key(docs)).toPandas()
+    assert (got.n_links == 119).all() and (got.class_id == 0).all() and got.class_key.nunique() == 1
+    import pyarrow as pa
+
+    hashes, sizes = near_join.shingle_sets(pa.array([t for _, t in rows]), 5)
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    t = pa.table({"centre": pa.array([1] * 120), "node": pa.array([str(i).encode() for i in range(120)], pa.binary()), "set": pa.ListArray.from_arrays(ends, hashes.view(np.int64))})
+    pivot = near_join._pivot(t.slice(0, 31))
+    with_pivot = pa.concat_tables([t, pivot.add_column(1, "node", pa.nulls(1, pa.binary()))])
+    assert near_join._measure(with_pivot, 0.8).num_rows == 120

@@ -6,7 +6,7 @@ anchor occurrence form a block.  Each window is in exactly one block, there is o
 tokens, and windows can only be equal if their blocks' anchors are: every comparison stays inside an anchor's group.
 
 All of it covers whole texts; nothing is sampled.  Hashes are 64-bit, and keys are pairs of them (anchor and block, or
-anchor and window).
+anchor and window); equal pairs are taken as equal contents.
 """
 
 from __future__ import annotations
@@ -110,9 +110,14 @@ class Blocks:
         self.lo = self.begin - starts[self.doc]  # of the block, in its document
         self.back = anchor[first] - self.begin  # from the block's begin to its anchor; may be that of a window's end
         self.anchor_hash = grams[anchor[first]].view(np.int64)
-        content = self.rolling.at(self.begin, self.span + (size - 1))
-        shape = self.span.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + self.back.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-        self.block_hash = mix(content + shape).view(np.int64)
+        self.codes = codes
+
+    def content_hash(self, chosen: np.ndarray) -> np.ndarray:
+        """Hash of the contents of some blocks and the place of their anchor.  It is no polynomial: periodic contents are no weak case."""
+        raw = memoryview(np.ascontiguousarray(self.codes)).cast("B")
+        begin, length, back = self.begin[chosen] * 8, (self.span[chosen] + self.size - 1) * 8, self.back[chosen]
+        digest = xxhash.xxh3_64_intdigest
+        return np.array([digest(raw[a : a + n], seed) for a, n, seed in zip(begin.tolist(), length.tolist(), back.tolist(), strict=True)], np.uint64).view(np.int64)
 
 
 class Sieve:
@@ -167,12 +172,12 @@ def once(docs: DataFrame) -> DataFrame:
     return docs.dropDuplicates(["doc_id", TEXT_KEY]) if again else docs
 
 
-#: A number for a block at a place, in SQL and in numpy: it only has to differ between most places.
-SPOT = "block ^ shiftleft(coalesce(doc_id, 0L), 37) ^ shiftleft(cast(lo as bigint), 45)"
+#: A number for an anchor at a place, in SQL and in numpy: it only has to differ between most places.
+SPOT = "anchor ^ shiftleft(coalesce(doc_id, 0L), 37) ^ shiftleft(cast(lo as bigint), 45)"
 
 
-def spots(block: np.ndarray, doc_id: pa.Array, lo: np.ndarray) -> np.ndarray:
-    return block ^ doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) << 37 ^ lo.astype(np.int64) << 45
+def spots(anchor: np.ndarray, doc_id: pa.Array, lo: np.ndarray) -> np.ndarray:
+    return anchor ^ doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) << 37 ^ lo.astype(np.int64) << 45
 
 
 class Anchored:
@@ -213,7 +218,7 @@ class Anchored:
             ok = np.flatnonzero(Sieve.holds(table.value, blocks.anchor_hash))
             doc = pa.array(blocks.doc[ok])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks.anchor_hash[ok]), pa.array(blocks.block_hash[ok]), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), pa.array(blocks.span[ok].astype(np.int32))],
+                [pa.array(blocks.anchor_hash[ok]), pa.array(blocks.content_hash(ok)), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), pa.array(blocks.span[ok].astype(np.int32))],
                 names=["anchor", "block", "doc_id", TEXT_KEY, "lo", "span"],
             )
 
@@ -234,12 +239,12 @@ class Anchored:
         table = self.spark.sparkContext.broadcast(Sieve.build(groups.select(F.expr(SPOT).alias("spot")), "spot"))
 
         def emit(part, x, blocks):
-            place = spots(blocks.block_hash, part.column("doc_id").take(pa.array(blocks.doc)), blocks.lo)
+            place = spots(blocks.anchor_hash, part.column("doc_id").take(pa.array(blocks.doc)), blocks.lo)
             ok = np.flatnonzero(Sieve.holds(table.value, place))
             if len(ok):
                 doc = pa.array(blocks.doc[ok])
                 own = extra(part, x, blocks, ok)
-                yield pa.RecordBatch.from_arrays([pa.array(blocks.block_hash[ok]), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
+                yield pa.RecordBatch.from_arrays([pa.array(blocks.content_hash(ok)), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
 
         found = self.docs.mapInArrow(released(self._each(emit)), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}")
         same = (groups["block"] == found["r_block"]) & groups["doc_id"].eqNullSafe(found["r_id"]) & (groups[TEXT_KEY] == found["r_key"]) & (groups["lo"] == found["r_lo"])

@@ -5,7 +5,8 @@ case).  The hashes are range-partitioned by (hash, document) and sorted by (hash
 common line is spread over many partitions.  One streaming pass over each partition decides all groups that lie inside
 it with a buffer of at most ``min_docs`` documents' lines; the groups at a partition's two ends are decided from one
 summary row an end (at most two for each partition, which bounds the broadcast).  What comes back are zlib-compressed
-keep bitmaps, one for each document that loses a line.  No text is shuffled on the way.
+keep bitmaps, one for each document that loses a line.  No text is shuffled to find them; applying them joins each text
+with its bitmap once.
 
 Two rules: ``frequent`` drops every line whose key is found in ``min_docs`` documents or more; ``first`` keeps only
 the first occurrence, by document id and position, of each key.

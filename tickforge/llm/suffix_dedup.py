@@ -262,6 +262,8 @@ def _collections(length: int, gram: int, size: int):
 
 def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collection: int = COLLECTION, part: int = PART) -> DataFrame:
     """doc_id, key, begin, length (bytes): stretches made of strings that also start earlier."""
+    if not gram < length <= 254:
+        raise ValueError("strings have more bytes than an anchor and 254 at most: common prefixes are stored in a byte")
     spark = docs.sparkSession
     anchored = Anchored(docs, byte_codes, length, gram, 1 << 18)
     blocks = anchored.blocks_of(anchored.repeated_anchors())
