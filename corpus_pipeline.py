@@ -14,13 +14,13 @@ from tickforge.llm.common import TEXT_KEY, materialize, read_table, with_text_ke
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold stay."""
+    """Documents scored below the threshold stay.  A null or empty text gets the leak as its score; repeated rows are scored row by row; without labels, or of an empty table, all rows stay."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share go; every document stays, with what is left of it."""
+    """Lines that many documents share go; every document stays, with what is left of it (a null text stays null).  Repeated rows count once and are cut alike."""
     return line_dedup.cut_documents(docs, line_dedup.keep_bitmaps(docs))
 
 
@@ -34,11 +34,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a benchmark item is found go."""
+    """Documents in which a benchmark item is found go, row by row; null and empty texts stay, as do all rows if either table is empty."""
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row of what is left is packed: a null or empty text has its end id alone, repeated rows are packed once each, an empty table gives no piece."""
     return packing.pack(packing.pieces(docs))
 
 
