@@ -427,3 +427,17 @@ def test_sources(spark, tmp_path):
         raw_format(df.select("symbol"))
     with pytest.raises(Exception, match="no known symbol"):
         spark.createDataFrame([("b.csv",)], "n string").select(normalize.require_symbol(F.col("n"))).collect()
+
+
+def test_network(spark):
+    """The label is the direction of the last steps of the sequence, padded in front with the neutral class."""
+    rng = np.random.default_rng(6)
+    x = np.cumsum(rng.choice([-1.0, 1.0], 400))
+    rows = [(0, "train" if i < 300 else "val", "A", i, float(x[i] - x[i - 1]) if i else 0.0, 2 if i >= 2 and x[i] > x[i - 2] else 0 if i >= 2 and x[i] < x[i - 2] else 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "split_id int, role string, symbol string, timestamp int, move double, y int")
+    flat = training.flat_sequences(df, ["move"], 4)
+    model = training.fit_network(flat.where("role = 'train'"), (8,), steps=60)
+    got = model.transform(flat).select("timestamp", "role", F.col("prediction").cast("int").alias("q"))
+    whole = df.join(got.drop("role"), "timestamp", "left").withColumn("p", training.pad_predictions(F.col("q")))
+    assert whole.where("q is null").count() == 6 and whole.where("q is null and p <> 1").count() == 0
+    assert whole.where("role = 'val' and q is not null").agg(F.avg((F.col("y") == F.col("p")).cast("double"))).first()[0] > 0.95

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -38,14 +40,22 @@ def _touched(df: DataFrame, config: BarrierConfig, w: WindowSpec) -> DataFrame:
 
 
 def triple_barrier_long(df: DataFrame, config: BarrierConfig) -> DataFrame:
-    """The same for horizons too long for a frame of arrays: an equi-join on stretches of rows, then the first touch."""
+    """The same for horizons too long for a frame of arrays.
+
+    Rows lie in stretches of about sqrt(horizon).  The first later stretch whose highest or lowest price touches a barrier, and the
+    rest of a row's own, are all that is looked into: some 3 * sqrt(horizon) rows for each, not up to the whole horizon.
+    """
     ranked = barriers(df, config).withColumn("_rn", F.row_number().over(W()))
-    h = config.horizon
-    left = ranked.select("*", F.explode(F.array(F.floor(F.col("_rn") / h), F.floor(F.col("_rn") / h) + 1)).alias("_stretch"))
-    right = ranked.select(F.col("symbol").alias("_s"), F.col("_rn").alias("_at"), F.col(config.price_col).alias("_p"), F.floor(F.col("_rn") / h).alias("_b"))
+    h, size = config.horizon, math.isqrt(config.horizon)
+    stretch = lambda rn: F.floor(rn / size)
+    rows = ranked.select("symbol", F.col("_rn").alias("_at"), F.col(config.price_col).alias("_p"), stretch(F.col("_rn")).alias("_b"))
+    ranges = rows.groupBy("symbol", "_b").agg(F.max("_p").alias("_high"), F.min("_p").alias("_low"))
+    keys = ranked.select("symbol", "_rn", "upper", "lower")
+    later = keys.select("*", F.explode(F.sequence(stretch(F.col("_rn")) + 1, stretch(F.col("_rn") + h))).alias("_b")).join(ranges, ["symbol", "_b"])
+    first = later.where((F.col("_high") >= F.col("upper")) | (F.col("_low") <= F.col("lower"))).groupBy("symbol", "_rn").agg(F.min("_b").alias("_later"))
+    looked = keys.join(first, ["symbol", "_rn"], "left").select("*", F.explode(F.array_compact(F.array(stretch(F.col("_rn")), "_later"))).alias("_b")).join(rows, ["symbol", "_b"])
     near = (F.col("_at") > F.col("_rn")) & (F.col("_at") <= F.col("_rn") + h) & ((F.col("_p") >= F.col("upper")) | (F.col("_p") <= F.col("lower")))
-    hits = left.join(right, (F.col("symbol") == F.col("_s")) & (F.col("_stretch") == F.col("_b")) & near)
-    side = hits.groupBy("symbol", "_rn").agg(F.min_by(F.when(F.col("_p") >= F.col("upper"), 1.0).otherwise(-1.0), "_at").alias("_side"))
+    side = looked.where(near).groupBy("symbol", "_rn").agg(F.min_by(F.when(F.col("_p") >= F.col("upper"), 1.0).otherwise(-1.0), "_at").alias("_side"))
     return ranked.join(side, ["symbol", "_rn"], "left").withColumn("label", F.coalesce("_side", F.lit(0.0))).drop("_rn", "_side")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,6 +183,19 @@ def fold_metrics(predicted: DataFrame) -> DataFrame:
     return n.join(macro(predicted, by), list(by)).join(directional_accuracy(predicted, by), list(by))
 
 
+def flat_sequences(df: DataFrame, cols: list[str], length: int = 64, keys: tuple[str, ...] = ("split_id", "role", "symbol")) -> DataFrame:
+    """``sequences`` as one vector a row: what a network without recurrence takes in."""
+    return sequences(df, cols, length, keys).withColumn("_features", array_to_vector(F.flatten("sequence"))).drop("sequence")
+
+
+def fit_network(df: DataFrame, hidden: tuple[int, ...] = (32,), classes: int = 3, seed: int = 42, steps: int = 100):
+    """A Spark ML perceptron on the vectors of ``flat_sequences`` and encoded labels ``y``."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    width = df.select(F.size(vector_to_array("_features"))).first()[0]
+    return MultilayerPerceptronClassifier(featuresCol="_features", labelCol="y", layers=[width, *hidden, classes], seed=seed, maxIter=steps).fit(df)
+
+
 def fit_forest(df: DataFrame, cols: list[str], seed: int = 42, trees: int = 50):
     """A Spark ML classifier on encoded labels ``y``; the features are used as they are."""
     from pyspark.ml import Pipeline

@@ -59,3 +59,26 @@ def raw_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(F.when(bad(83), v - 2).otherwise(v + 1)).alias("high"), text(v - 1).alias("low"), text(v).alias("close"), F.when(~bad(97), F.lit("1")).alias("tick_volume"),
     )
     return raw.unionAll(raw.where(bad(89)))
+
+
+def bars_traded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars of line items, twice as many rows as the table has, nearly: symbols are suppliers and groups of parts."""
+    v = F.try_divide("l_extendedprice", "l_quantity")
+    t = _ntz(F.col("l_shipdate")) + F.make_dt_interval(F.lit(0), F.pmod("l_orderkey", F.lit(24)).cast("int"))
+    name = F.explode(F.array(F.concat(F.lit("S"), F.pmod("l_suppkey", F.lit(500))), F.concat(F.lit("P"), F.pmod("l_partkey", F.lit(500)))))
+    ticks = _table(spark, sf_dir, "lineitem").select(name.alias("symbol"), t.alias("timestamp"), v.alias("value"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("key"))
+    return _ohlc(ticks)
+
+
+def bars_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One long symbol: a bar for nearly each line item, by the second."""
+    v = F.try_divide("l_extendedprice", "l_quantity")
+    t = _ntz(F.col("l_shipdate")) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), F.lit(86400)).cast("decimal(18,6)"))
+    ticks = _table(spark, sf_dir, "lineitem").select(F.lit("ALL").alias("symbol"), t.alias("timestamp"), v.alias("value"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("key"))
+    return _ohlc(ticks)
+
+
+def _ohlc(ticks: DataFrame) -> DataFrame:
+    """Bars of ticks (symbol, timestamp, value, key); the key orders the ticks of a bar."""
+    bars = ticks.groupBy("symbol", "timestamp").agg(F.min_by("value", "key").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", "key").alias("close"), F.count("*").cast("double").alias("tick_volume"))
+    return bars.select("timestamp", "symbol", "open", "high", "low", "close", "tick_volume", F.lit(0.0).alias("real_volume"), F.lit(0.0).alias("spread"))

@@ -1,7 +1,7 @@
 """Normalisation of raw bars that arrive as files.
 
 Row-wise rules are the batch ones.  Duplicates are dropped by (symbol, timestamp) within a watermark, which bounds the
-state; rolling features need row frames and stay with the batch plan.
+state: the row of the earliest micro-batch stays, any one of those that come in the same; rolling features need row frames and stay with the batch plan.
 """
 
 from __future__ import annotations
