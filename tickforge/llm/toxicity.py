@@ -17,6 +17,7 @@ count as the largest, null labels not at all; repeated rows are scored row by ro
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -76,14 +77,17 @@ class NoisyOr:
     def __reduce__(self):
         return NoisyOr, (self.weights, self.bias, self.leak)
 
+    def _lowered(self, text: str) -> float:
+        total = sum(map(self._words.__getitem__, _WORD.findall(text)))
+        return 1 / (1 + math.exp(-(total + self.bias))) if total > 0 else 0.0
+
     def sentence(self, text: str) -> float:
-        total = sum(map(self._words.__getitem__, _WORD.findall(text.lower())))
-        return 1 / (1 + np.exp(-(total + self.bias))) if total > 0 else 0.0
+        return self._lowered(text.lower())
 
     def score(self, text: str) -> float:
         clean = 1 - self.leak
-        for s in _END.split(text):
-            if s and (p := self.sentence(s)):
+        for s in _END.split(text.lower()):
+            if s and (p := self._lowered(s)):
                 clean *= 1 - p
         return 1 - clean
 
