@@ -58,10 +58,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def clear_tables() -> None:
-    """Remove every intermediate table written so far; only for results that are no longer read."""
-    while _written:
-        spark, path = _written.pop()
+def tables() -> int:
+    """How many intermediate tables there are."""
+    return len(_written)
+
+
+def clear_tables(since: int = 0, last: int = 0) -> None:
+    """Remove the intermediate tables from number ``since`` on, but for the ``last`` ones; only for results that are no longer read."""
+    while len(_written) > since + last:
+        spark, path = _written.pop(since)
         try:
             remove_path(spark, path)
         except Exception:  # the session is gone, and its folder with it
@@ -107,15 +112,15 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], cols: list[str],
     from the rows, so that it stays part of the exchange's key and the rows of a hot key are dealt over all partitions.  ``right`` should be a written
     table, since it is read three times.
     """
-    total = right.agg(F.sum(n)).first()[0] or 0
-    limit = max(total // HOT_SHARE, 1000)
+    total, most = right.agg(F.sum(n), F.max(n)).first()
+    limit = max((total or 0) // HOT_SHARE, 1000)
     of = lambda df, p: df.select(*[F.col(k).alias(f"{p}{k}") for k in keys], *[F.col(c).alias(f"{p}{c}") for c in cols], F.lit(True).alias(f"{p}hit"), F.col(n).alias(f"{p}_size"))
-    hot = of(right.where(F.col(n) > limit), "_h_")
-    if not (total > limit and hot.limit(1).count()):  # no hot key: a plain join
+    if (most or 0) <= limit:  # no hot key: a plain join
         out = left.join(of(right, "_c_"), [F.col(k) == F.col(f"_c_{k}") for k in keys], "inner" if how == "inner" else "left")
         return out.select(*left.columns, *[F.col(f"_c_{c}").alias(c) for c in cols])
     # ``_c__size`` is at least 0, which the optimizer does not know: the salt cannot be folded into a constant.
     cold = of(right.where(F.col(n) <= limit), "_c_").withColumn("_c_salt", F.least(F.col("_c__size"), F.lit(0)).cast("int"))
+    hot = of(right.where(F.col(n) > limit), "_h_")
     out = left.join(F.broadcast(hot), [F.col(k) == F.col(f"_h_{k}") for k in keys], "left")
     out = out.withColumn("_salt", F.when(F.col("_h_hit"), 1 + F.pmod(F.xxhash64(*left.columns), F.lit(4096)).cast("int")).otherwise(F.lit(0)))
     out = out.join(cold, [*[F.col(k) == F.col(f"_c_{k}") for k in keys], F.col("_salt") == F.col("_c_salt")], "left")
