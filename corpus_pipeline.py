@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import decontaminate, line_dedup, near_join, packing, toxicity
-from tickforge.llm.common import TEXT_KEY, materialize, read_table, with_text_key
+from tickforge.llm.common import TEXT_KEY, clear_tables, materialize, read_table, tables, with_text_key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before = tables()
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        clear_tables(before - min(k, 1), 1)  # what this stage wrote on its way, and the table that it read
     return STAGES[-1][1](spark, docs, sf_dir)
