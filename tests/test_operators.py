@@ -441,3 +441,36 @@ def test_network(spark):
     whole = df.join(got.drop("role"), "timestamp", "left").withColumn("p", training.pad_predictions(F.col("q")))
     assert whole.where("q is null").count() == 6 and whole.where("q is null and p <> 1").count() == 0
     assert whole.where("role = 'val' and q is not null").agg(F.avg((F.col("y") == F.col("p")).cast("double"))).first()[0] > 0.95
+
+
+def test_time_columns(spark):
+    """Each form of time, by precedence; what cannot be read is missing."""
+    at = datetime(2024, 1, 2, 3, 4)
+    forms = {
+        "timestamp string, time string": [("2024-01-02 03:04:00", "5")], "time string": [("1704164640",)], "Date string, Time string": [("2024-01-02", "03:04")], "date string, open string": [("2024-01-02 03:04", "1")],
+    }
+    for schema, rows in forms.items():
+        df = spark.createDataFrame(rows, schema)
+        assert df.select(normalize.timestamp_column(df.columns).alias("t")).first().t == at, schema
+        bad = spark.createDataFrame([tuple("x" for _ in rows[0])], schema)
+        assert bad.select(normalize.timestamp_column(bad.columns).alias("t")).first().t is None
+
+
+def test_required_columns(spark):
+    from tickforge.schemas import require
+
+    df = bars(spark, walk(5))
+    assert require(df, ["open", "close"]) is df
+    with pytest.raises(ValueError, match="volume"):
+        require(df, ["open", "volume"])
+    with pytest.raises(ValueError, match="RV_w"):
+        labels.triple_barrier(df)
+    with pytest.raises(ValueError, match="at least"):
+        splits.split_dataset(df, SplitConfig())
+
+
+def test_label_horizon_counts_valid_rows(spark):
+    df = bars(spark, walk(30)).withColumn("RV_w", F.when(F.hour("timestamp") < 4, 0.5))
+    with pytest.raises(ValueError, match="horizon"):
+        labels.label_data(df, BarrierConfig(horizon=20))
+    assert labels.barrier_spreads(df).first().mean_upper == 1.0
