@@ -224,11 +224,15 @@ def warn_missing(df: DataFrame, limit: float = 0.1) -> DataFrame:
     return df
 
 
-def cap_outliers(df: DataFrame, std: float = 5.0, by: tuple[str, ...] = (), skip: tuple[str, ...] = ("timestamp", "symbol", "open", "high", "low", "close")) -> DataFrame:
-    """Values further than ``std`` deviations from the mean are set to that bound.  The statistics are one row, or one for each group of ``by``."""
-    cols = [c for c in numeric(df) if c not in skip]
-    stats = df.groupBy(*by).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    joined = df.join(stats, list(by)) if by else df.join(F.broadcast(stats))  # without groups it is one row
+def cap_outliers(df: DataFrame, std: float = 5.0, by: tuple[str, ...] = (), skip: tuple[str, ...] = ("timestamp", "symbol", "open", "high", "low", "close"), fit: str | None = None) -> DataFrame:
+    """Values further than ``std`` deviations from the mean are set to that bound.
+
+    The statistics are one row, or one for each group of ``by``; with ``fit``, a condition, those of the rows where it holds (as
+    ``role = 'train'`` by split, so that nothing of the validation rows leaks).
+    """
+    cols = [c for c in numeric(df) if c not in (*skip, *by)]
+    stats = (df.where(fit) if fit else df).groupBy(*by).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
+    joined = df.join(stats, list(by), "left") if by else df.join(F.broadcast(stats))  # without groups it is one row
     bound = lambda c, sign: F.col(f"_m_{c}") + sign * std * F.col(f"_s_{c}")
     return joined.select(*[F.when(F.col(f"_s_{c}") > 0, clip(F.col(c).cast("double"), bound(c, -1), bound(c, 1))).otherwise(F.col(c).cast("double")).alias(c) if c in cols else F.col(c) for c in df.columns])
 

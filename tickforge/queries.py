@@ -133,6 +133,17 @@ def _(spark, d):
     return out(features.compute_features(bars_bidask(spark, d)), *features.COMMON, *features.MICRO)
 
 
+@query("features_in_blocks", sql_out(o.OHLC_FEATURES, "cut", "close", *o.COMMON))
+def _(spark, d):
+    """Each symbol in blocks of 100 rows or more: the rows of ``common_features_full``."""
+    return out(features.compute_features_in_blocks(saved(bars_ohlc(spark, d), "bars"), rows=100), "close", *features.COMMON)
+
+
+@query("bidask_features_in_blocks", sql_out(o.BIDASK_MICRO, "micro", *o.COMMON, *o.MICRO))
+def _(spark, d):
+    return out(features.compute_features_in_blocks(saved(bars_bidask(spark, d), "bars"), rows=200), *features.COMMON, *features.MICRO)
+
+
 @query("hl_synthesis", f"WITH {o.BIDASK} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, round(greatest(bid_high, ask_high), 5) AS high, round(least(bid_low, ask_low), 5) AS low FROM bidask")
 def _(spark, d):
     return out(features.synthesize_high_low(bars_bidask(spark, d)), "high", "low")
@@ -188,6 +199,12 @@ def _(spark, d):
     return out(labels.triple_barrier(features.compute_features(bars_ohlc(spark, d)), RV), "label")
 
 
+@query("triple_barrier_in_blocks", sql_out(f"{o.OHLC_FEATURES}, {o.labels('RV_w', 24)}", "lab", "label"))
+def _(spark, d):
+    table = saved(features.compute_features(bars_ohlc(spark, d)), "features")
+    return out(labels.triple_barrier_in_blocks(table, RV, rows=100), "label")
+
+
 @query("triple_barrier_atr", sql_out(f"{o.OHLC_FEATURES}, {o.labels('ATR_w', 12)}", "lab", "label"))
 def _(spark, d):
     return out(labels.triple_barrier(features.compute_features(bars_ohlc(spark, d)), ATR), "label")
@@ -394,6 +411,13 @@ _scaler("minmax", "min(close)", "max(close) - min(close)")
 _scaler("robust", "quantile_cont(close, 0.5)", "quantile_cont(close, 0.75) - quantile_cont(close, 0.25)")
 
 
+@query("outlier_cap_by_split", f"""WITH {o.SPLIT_CTES}, s AS (SELECT split_id, avg(tick_volume) AS m, stddev_samp(tick_volume) AS s FROM asg WHERE role = 'train' GROUP BY split_id)
+SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, asg.split_id, round(CASE WHEN s > 0 THEN least(greatest(tick_volume, m - 1.5 * s), m + 1.5 * s) ELSE tick_volume END, 6) AS tick_volume FROM asg JOIN s ON s.split_id = asg.split_id""")
+def _(spark, d):
+    rows = splits.assign(*_assigned(spark, d)).select("symbol", "timestamp", "split_id", "role", "tick_volume")
+    return out(features.cap_outliers(rows, 1.5, ("split_id",), fit="role = 'train'"), "split_id", "tick_volume", digits=6)
+
+
 @query("encode_labels", f"WITH {o.LABELLED} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, CASE label WHEN -1 THEN 0 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 1 END AS y FROM flt")
 def _(spark, d):
     return out(_labelled(spark, d)[1].withColumn("y", training.encode_label(F.col("label"))), "y")
