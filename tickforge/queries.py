@@ -22,6 +22,10 @@ RV, ATR = BarrierConfig(), BarrierConfig(vol_basis="atr", horizon=12)
 SPLIT = SplitConfig(train_years=2, val_years=1, step_years=1, min_samples=20)
 
 
+#: Differences of values in the thousands: fewer of their digits after the point are the same in any order of additions.
+_COARSE = {"signed_spread_move": 3, "quote_slope": 3}
+
+
 def query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
@@ -35,12 +39,12 @@ def query(name: str, sql: str | None = None):
 def out(df: DataFrame, *values: str, keys: tuple[str, ...] = ("symbol", "timestamp"), digits: int = 5) -> DataFrame:
     """Keys (times as text) and values, floating-point ones rounded."""
     kinds = dict(df.dtypes)
-    show = lambda c: F.col(c).cast("string") if kinds[c].startswith("timestamp") else F.round(c, digits) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)
+    show = lambda c: F.col(c).cast("string") if kinds[c].startswith("timestamp") else F.round(c, min(digits, _COARSE.get(c, digits))) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)
     return df.select(*[show(c).alias(c) for c in (*keys, *values)])
 
 
 def sql_out(ctes: str, source: str, *values: str, keys: str = "symbol, CAST(timestamp AS VARCHAR) AS timestamp", digits: int = 5) -> str:
-    return f"WITH {ctes} SELECT {keys}, " + ", ".join(f"round({v}, {digits}) + 0.0 AS {v}" for v in values) + f" FROM {source}"
+    return f"WITH {ctes} SELECT {keys}, " + ", ".join(f"round({v}, {min(digits, _COARSE.get(v, digits))}) + 0.0 AS {v}" for v in values) + f" FROM {source}"
 
 
 # ---- normalisation -------------------------------------------------------------------------------------------------
