@@ -172,12 +172,12 @@ def once(docs: DataFrame) -> DataFrame:
     return docs.dropDuplicates(["doc_id", TEXT_KEY]) if again else docs
 
 
-#: A number for an anchor at a place, in SQL and in numpy: it only has to differ between most places.
-SPOT = "anchor ^ shiftleft(coalesce(doc_id, 0L), 37) ^ shiftleft(cast(lo as bigint), 45)"
+#: A number for a block at a place, in SQL and in numpy: it only has to differ between most places.
+SPOT = "block ^ shiftleft(coalesce(doc_id, 0L), 37) ^ shiftleft(cast(lo as bigint), 45)"
 
 
-def spots(anchor: np.ndarray, doc_id: pa.Array, lo: np.ndarray) -> np.ndarray:
-    return anchor ^ doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) << 37 ^ lo.astype(np.int64) << 45
+def spots(block: np.ndarray, doc_id: pa.Array, lo: np.ndarray) -> np.ndarray:
+    return block ^ doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) << 37 ^ lo.astype(np.int64) << 45
 
 
 class Anchored:
@@ -236,15 +236,19 @@ class Anchored:
 
     def contents(self, groups: DataFrame, extra_schema: str, extra) -> DataFrame:
         """The groups' first blocks, with what ``extra(batch, codes, blocks, chosen)`` reads from the texts there."""
+        # By anchor first, so that few blocks are hashed; then by block and place, of which a group has one and an anchor has many.
+        near = self.spark.sparkContext.broadcast(Sieve.build(groups.select("anchor"), "anchor"))
         table = self.spark.sparkContext.broadcast(Sieve.build(groups.select(F.expr(SPOT).alias("spot")), "spot"))
 
         def emit(part, x, blocks):
-            place = spots(blocks.anchor_hash, part.column("doc_id").take(pa.array(blocks.doc)), blocks.lo)
-            ok = np.flatnonzero(Sieve.holds(table.value, place))
+            ok = np.flatnonzero(Sieve.holds(near.value, blocks.anchor_hash))
+            block = blocks.content_hash(ok)
+            kept = Sieve.holds(table.value, spots(block, part.column("doc_id").take(pa.array(blocks.doc[ok])), blocks.lo[ok]))
+            ok, block = ok[kept], block[kept]
             if len(ok):
                 doc = pa.array(blocks.doc[ok])
                 own = extra(part, x, blocks, ok)
-                yield pa.RecordBatch.from_arrays([pa.array(blocks.content_hash(ok)), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
+                yield pa.RecordBatch.from_arrays([pa.array(block), part.column("doc_id").take(doc), part.column(TEXT_KEY).take(doc), pa.array(blocks.lo[ok].astype(np.int32)), *own.values()], names=["r_block", "r_id", "r_key", "r_lo", *own])
 
         found = self.docs.mapInArrow(released(self._each(emit)), f"r_block long, r_id long, r_key long, r_lo int, {extra_schema}")
         same = (groups["block"] == found["r_block"]) & groups["doc_id"].eqNullSafe(found["r_id"]) & (groups[TEXT_KEY] == found["r_key"]) & (groups["lo"] == found["r_lo"])
