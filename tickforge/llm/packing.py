@@ -51,7 +51,7 @@ def _byte_letters() -> list[str]:
 class WordTokenizer:
     """Ids of texts by a word-end BPE whose pre-tokenizer never joins across white space, so that words can be cached."""
 
-    def __init__(self, path: str, keep: int = 50_000):
+    def __init__(self, path: str, keep: int = 150_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
@@ -99,7 +99,7 @@ class WordTokenizer:
         return ids, per_text
 
 
-def slices(texts: pa.Array, most_bytes: int = 1 << 20):
+def slices(texts: pa.Array, most_bytes: int = 2 << 20):
     """Stretches (start, length) of a column of texts with about so many bytes each."""
     total = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
