@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 
 
 def connect(sf_dir):
@@ -15,7 +16,7 @@ def connect(sf_dir):
 
 def rows(frame, columns):
     def form(v):
-        if v is None or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NA or (isinstance(v, float) and v != v):
             return "-"
         if isinstance(v, bool) or type(v).__name__ == "bool":
             return str(bool(v))
