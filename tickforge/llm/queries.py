@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fill_middle, langid, line_dedup, media, merkle, near_join, packing, substring_dedup, suffix_dedup, toxicity, warc
+from . import decontaminate, fill_middle, langid, line_dedup, media, merkle, near_dedup, near_join, packing, substring_dedup, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_near_join": near_join.op9_near_join,
     "op10_packing": packing.op10_packing,
+    "op11_near_dedup": near_dedup.op11_near_dedup,
     "op12_fill_middle": fill_middle.op12_fill_middle,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
@@ -22,6 +23,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_line_dedup": line_dedup.SQL,
     "op7_substring_dedup": substring_dedup.SQL,
+    "op11_near_dedup": near_dedup.SQL,
     "op12_fill_middle": fill_middle.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }
