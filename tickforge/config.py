@@ -91,6 +91,33 @@ class SplitConfig:
             raise ValueError("gap_days must not be negative")
 
 
+@dataclass(frozen=True)
+class BoostConfig:
+    rounds: int = 1000
+    depth: int = 6
+    rate: float = 0.1
+    min_child_weight: float = 1.0
+    gamma: float = 0.1
+    alpha: float = 0.1
+    lam: float = 1.0
+    subsample: float = 0.8
+    by_tree: float = 0.8
+    by_level: float = 0.8
+    patience: int = 50
+    stop_on: str = "error"  # or "loss"
+    bins: int = 64
+    classes: int = 3
+    seed: int = 42
+
+    def __post_init__(self):
+        if not 2 <= self.bins <= 255:
+            raise ValueError("bins must be from 2 to 255")
+        if self.stop_on not in ("error", "loss"):
+            raise ValueError(f"{self.stop_on!r} is nothing to stop on; there are error and loss")
+        if min(self.rounds, self.depth, self.classes) < 1:
+            raise ValueError("rounds, depth and classes must be positive")
+
+
 def load_yaml(path: str) -> dict:
     """A YAML file's sections; the mandatory ones must be there."""
     if not Path(path).exists():

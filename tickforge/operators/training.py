@@ -6,9 +6,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import BoostConfig
 from ..functions.columns import by_time, fill
 from ..functions.quantiles import quantiles_by
 from ..sources.scratch import saved
+from .boosting import fit_boosting
 
 MISSING = -999.0  # fixed value: no out-of-fold prediction
 NEUTRAL = 1
@@ -44,7 +46,8 @@ def scale(df: DataFrame, cols: list[str], kind: str = "standard", by: str = "spl
     else:
         raise ValueError(f"unknown scaler: {kind}")
     scaled = {c: (x[c] - F.col(f"_a_{c}")) / F.when(F.col(f"_b_{c}") > 0, F.col(f"_b_{c}")).otherwise(1.0) for c in cols}
-    return df.join(stats, by, "left").select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
+    # One row a split, and of splits there are at most MAX_WINDOWS (splits.py): no row is shuffled by its split.
+    return df.join(F.broadcast(stats), by, "left").select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
 
 
 def sequences(df: DataFrame, cols: list[str], length: int = 64, keys: tuple[str, ...] = ("symbol",)) -> DataFrame:
@@ -142,7 +145,7 @@ def importance_summary(importance: DataFrame) -> DataFrame:
 def first_symbol(assigned: DataFrame) -> DataFrame:
     """The rows of each split's first symbol, by name: a fold is trained on one symbol."""
     first = assigned.groupBy("split_id").agg(F.min("symbol").alias("symbol"))
-    return assigned.join(first, ["split_id", "symbol"], "left_semi")
+    return assigned.join(F.broadcast(first), ["split_id", "symbol"], "left_semi")  # a row for each split
 
 
 def centroids(df: DataFrame, cols: list[str], by: str = "split_id") -> DataFrame:
@@ -154,18 +157,21 @@ def nearest(df: DataFrame, model: DataFrame, cols: list[str], by: str = "split_i
     """``df`` with ``p``, the class of the nearest centroid of its fold (of equally near ones the least class).  A fold's model is one row."""
     every = model.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("y", *[f"_c_{c}" for c in cols]))).alias("_model"))  # as many elements as classes
     places = F.transform("_model", lambda m: F.struct(sum(((F.col(c) - m[f"_c_{c}"]) ** 2 for c in cols), F.lit(0.0)).alias("far"), m["y"].alias("y")))
-    return df.join(every, by).withColumn("p", F.array_min(places)["y"]).drop("_model")
+    return df.join(F.broadcast(every), by).withColumn("p", F.array_min(places)["y"]).drop("_model")
 
 
-def run_folds(assigned: DataFrame, cols: list[str], scaler: str = "standard", model: str = "centroids", keep_missing: bool = False) -> DataFrame:
+def run_folds(assigned: DataFrame, cols: list[str], scaler: str = "standard", model: str = "centroids", keep_missing: bool = False, boost: BoostConfig = BoostConfig()) -> DataFrame:
     """All folds: rows of each split's first symbol with ``y`` -> filled, scaled, fitted on the training rows, and ``p`` for every row.
 
-    ``centroids`` keeps all folds in one plan keyed by split_id.  ``forest`` fits one Spark ML model for each split in turn.
+    ``centroids`` and ``boosting`` (which also gives ``proba``) keep all folds in one plan keyed by split_id; ``forest`` fits one Spark ML model
+    for each split in turn.  The folds' rows are written once; statistics and models read that table.
     """
-    rows = first_symbol(assigned)
-    rows = scale(rows if keep_missing else fill_missing(rows, cols), cols, scaler)
+    rows = saved(first_symbol(assigned), "folds")
+    rows = scale(rows if keep_missing else saved(fill_missing(rows, cols), "folds"), cols, scaler)
     if model == "centroids":
         return nearest(rows, centroids(rows, cols), cols)
+    if model == "boosting":
+        return fit_boosting(rows, cols, boost).predict(rows)
     if model != "forest":
         raise ValueError(f"unknown model: {model}")
     rows, out = saved(rows, "folds"), None

@@ -127,3 +127,29 @@ SPLIT_CTES = f"{DAILY}, {SPLITS}"
 PREDICTIONS = f"""{DAILY}, r0 AS (SELECT *, row_number() OVER {_W} - 1 AS row_idx, close / nullif(lag(close) OVER {_W}, 0) - 1 AS r FROM daily
 ), r1 AS (SELECT *, CASE WHEN r > 0.2 THEN 2 WHEN r < -0.2 THEN 0 ELSE 1 END AS y FROM r0
 ), pred AS (SELECT symbol, timestamp, row_idx, CAST(row_idx % 3 AS INTEGER) AS fold_id, y, lag(y) OVER {_W} AS p FROM r1 QUALIFY p IS NOT NULL)"""
+
+
+def boosting(rows: str, rate: float, bins: int, alpha: float, rounds: int) -> str:
+    """CTEs: trees of one cut each for three classes, over ``rows`` (split_id, role, row_idx, y, c, v); margins after all rounds are ``m{rounds}``, cuts ``best1`` and so on."""
+    quantiles = ", ".join(f"{i / bins}" for i in range(1, bins))
+    score = lambda g, h: f"greatest(abs({g}) - {alpha}, 0) ** 2 / ({h} + 1.0)"
+    weight = lambda g, h: f"-sign({g}) * greatest(abs({g}) - {alpha}, 0) / ({h} + 1.0) * {rate}"
+    ctes = f"""long AS (SELECT split_id, role, row_idx, y, 0 AS f, c AS x FROM {rows} UNION ALL SELECT split_id, role, row_idx, y, 1, v FROM {rows}
+), edge AS (SELECT split_id, f, quantile_cont(x, [{quantiles}]) AS e FROM long WHERE role = 'train' GROUP BY ALL
+), bin AS (SELECT l.*, CASE WHEN x IS NULL THEN {bins} ELSE len(list_filter(e, lambda b: b < x)) END AS b FROM long l JOIN edge USING (split_id, f)
+), m0 AS (SELECT split_id, role, row_idx, y, unnest([0, 1, 2]) AS k, 0.0::DOUBLE AS m FROM {rows})"""
+    for r in range(1, rounds + 1):
+        ctes += f""", e{r} AS (SELECT *, exp(m - max(m) OVER (PARTITION BY split_id, role, row_idx)) AS e FROM m{r - 1}
+), p{r} AS (SELECT *, e / sum(e) OVER (PARTITION BY split_id, role, row_idx) AS p FROM e{r}
+), g{r} AS (SELECT *, round((p - CASE WHEN y = k THEN 1 ELSE 0 END) * 67108864) AS g, round(2 * p * (1 - p) * 67108864) AS h FROM p{r}
+), h{r} AS (SELECT split_id, k, f, b, sum(g) / 67108864 AS g, sum(h) / 67108864 AS h, count(*) AS n FROM g{r} JOIN bin USING (split_id, role, row_idx) WHERE role = 'train' GROUP BY ALL
+), c{r} AS (SELECT *, sum(g) OVER w AS gt, sum(h) OVER w AS ht, sum(n) OVER w AS nt, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(n) OVER u AS nl,
+    coalesce(sum(CASE WHEN b = {bins} THEN g END) OVER w, 0) AS gm, coalesce(sum(CASE WHEN b = {bins} THEN h END) OVER w, 0) AS hm, coalesce(sum(CASE WHEN b = {bins} THEN n END) OVER w, 0) AS nm
+  FROM h{r} WINDOW w AS (PARTITION BY split_id, k, f), u AS (PARTITION BY split_id, k, f ORDER BY b ROWS UNBOUNDED PRECEDING)
+), d{r} AS (SELECT split_id, k, f, b, side, gt, ht, nt, gl + side * gm AS gl, hl + side * hm AS hl, nl + side * nm AS nl FROM c{r}, (SELECT unnest([0, 1]) AS side) WHERE b < {bins} AND (side = 0 OR nm > 0)
+), s{r} AS (SELECT *, {score("gl", "hl")} + {score("(gt - gl)", "(ht - hl)")} - {score("gt", "ht")} AS gain FROM d{r}
+), best{r} AS (SELECT * FROM s{r} WHERE nl > 0 AND nt > nl AND hl >= 1 AND ht - hl >= 1 AND gain > 0 QUALIFY row_number() OVER (PARTITION BY split_id, k ORDER BY round(gain, 9) DESC, f, b, side) = 1
+), m{r} AS (SELECT a.split_id, a.role, a.row_idx, a.y, a.k, a.m + CASE WHEN t.f IS NULL THEN {weight("q.gt", "q.ht")} WHEN CASE WHEN n.b = {bins} THEN t.side = 1 ELSE n.b <= t.b END THEN {weight("t.gl", "t.hl")} ELSE {weight("(t.gt - t.gl)", "(t.ht - t.hl)")} END AS m
+  FROM m{r - 1} a JOIN (SELECT DISTINCT split_id, k, gt, ht FROM c{r} WHERE f = 0) q ON q.split_id = a.split_id AND q.k = a.k
+  LEFT JOIN best{r} t ON t.split_id = a.split_id AND t.k = a.k LEFT JOIN bin n ON n.split_id = a.split_id AND n.role = a.role AND n.row_idx = a.row_idx AND n.f = t.f)"""
+    return ctes

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles as o
-from .config import AssembleConfig, BarrierConfig, FeatureConfig, SplitConfig
+from .config import AssembleConfig, BarrierConfig, BoostConfig, FeatureConfig, SplitConfig
 from .functions.columns import W, argmax, fill
 from .operators import assemble, features, labels, normalize, reports, splits, training
+from .operators.boosting import fit_boosting
 from .plans.dataset import labels_by_symbol
 from .sources import sinks
 from .sources.adapters import bars_bidask, bars_daily, bars_ohlc, raw_ohlc
@@ -517,6 +518,30 @@ def _(spark, d):
     return out(training.fold_metrics(training.run_folds(folds(spark, d), ["close", "tick_volume"])), "n", "accuracy", "directional_accuracy", keys=("split_id", "role"), digits=6)
 
 
+_ROUNDS = BoostConfig(rounds=2, depth=1, rate=0.5, gamma=0.0, bins=8, subsample=1.0, by_tree=1.0, by_level=1.0)
+_BOOSTED = f"""{_FOLDS}, gap AS (SELECT split_id, role, row_idx, y, close AS c, CASE WHEN row_idx % 5 > 0 THEN tick_volume END AS v FROM rws
+), {o.boosting("gap", 0.5, 8, 0.1, 2)}"""
+
+
+def gappy_folds(spark: SparkSession, d: str) -> DataFrame:
+    """The folds' rows, with every fifth volume missing."""
+    return saved(training.first_symbol(folds(spark, d)).withColumn("tick_volume", F.when(F.col("row_idx") % 5 > 0, F.col("tick_volume"))), "folds")
+
+
+@query("boost_folds", f"""WITH {_BOOSTED}, z AS (SELECT *, exp(m) / sum(exp(m)) OVER (PARTITION BY split_id, role, row_idx) AS s FROM m2)
+SELECT split_id, role, row_idx, y, arg_max(k, s - k * 1e-9) AS p, round(max(s), 5) AS score FROM z GROUP BY ALL""")
+def _(spark, d):
+    rows = gappy_folds(spark, d)
+    got = fit_boosting(rows, ["close", "tick_volume"], _ROUNDS).predict(rows)
+    return out(got.withColumn("score", F.array_max("proba")), "y", "p", "score", keys=("split_id", "role", "row_idx"))
+
+
+@query("boost_importance", f"""WITH {_BOOSTED}, b AS (SELECT * FROM best1 UNION ALL SELECT * FROM best2), i AS (SELECT split_id, CASE f WHEN 0 THEN 'close' ELSE 'tick_volume' END AS feature, count(*) AS n, avg(gain) AS gain, avg(ht) AS cover FROM b GROUP BY ALL)
+SELECT split_id, type, feature, round(value, 5) AS value FROM (SELECT split_id, feature, 'weight' AS type, CAST(n AS DOUBLE) AS value FROM i UNION ALL SELECT split_id, feature, 'gain', gain FROM i UNION ALL SELECT split_id, feature, 'cover', cover FROM i)""")
+def _(spark, d):
+    return out(fit_boosting(gappy_folds(spark, d), ["close", "tick_volume"], _ROUNDS).importance(spark), "value", keys=("split_id", "type", "feature"))
+
+
 @query("argmax_class", f"WITH {_PROBA} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, CAST(arg_max(class, score - class * 1e-12) AS INTEGER) AS best FROM pp GROUP BY symbol, timestamp")
 def _(spark, d):
     return out(with_probabilities(predictions(spark, d)).withColumn("best", argmax(F.col("proba"))), "best")
