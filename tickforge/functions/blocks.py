@@ -1,8 +1,9 @@
 """Row blocks: a symbol of any length as many window partitions.
 
-``blocks`` deals each symbol's rows, in time order, into blocks of at least ``rows`` rows and adds to each the rows around it that its
-windows reach into.  What reaches further -- the last value before a gap, however long ago -- comes from one summary row for
-each block (``carried``).  Blocks are made of time cells, so that no task ever sorts or counts a whole symbol.
+``blocks`` deals each symbol's rows, by their rank in time order, into blocks of exactly ``rows`` rows (the last one has the rest) and adds to
+each the rows around it that its windows reach into.  Ranks come from ``sorted_places``: bursts, gaps and hot symbols do not matter, and
+no task ever sorts or counts a whole symbol.  What reaches further -- the last value before a gap, however long ago --
+comes from one summary row for each block (``carried``).
 """
 
 from __future__ import annotations
@@ -10,54 +11,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block, at least (a symbol's only block may have fewer), and cells for each block of the longest symbol, about.
+from ..sources.scratch import saved
+from .columns import by_time, fill
+from .positions import sorted_places
+
+#: Rows of a block; and rows of a symbol above which plans go by blocks.
 ROWS = 200_000
-CELLS = 16
+LONG = 1_000_000
 
 BLOCK = ("symbol", "_block")
 
 
-def _seconds(t: Column) -> Column:
-    return F.unix_micros(t.cast("timestamp")) / 1_000_000
+def long_symbols(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether any symbol has more rows than a task should sort."""
+    most = df.groupBy("symbol").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > (LONG if limit is None else limit)
 
 
-def block_map(df: DataFrame, rows: int) -> DataFrame:
-    """symbol, _cell -> _block; a table of some CELLS rows for each block.  ``df`` should be a written table: it is read for that."""
-    n, low, high = df.groupBy("symbol").agg(F.count("*").alias("n"), F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).agg(F.max("n"), F.min(_seconds(F.col("a"))), F.max(_seconds(F.col("b")))).first()
-    width = max((high - low) / max(1, n // rows * CELLS), 1e-6) if n else 1.0
-    cells = df.groupBy("symbol", F.floor((_seconds(F.col("timestamp")) - F.lit(low or 0.0)) / width).alias("_cell")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("symbol").orderBy("_cell")  # cells, not rows
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cells = cells.withColumns({"_before": F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_n": F.sum("n").over(whole)})
-    # A block begins with the first cell that lies whole in a stretch of 2 * rows: each has rows or more, but for the cells' own size.
-    place = F.least(F.floor(F.col("_before") / (2 * rows)), F.greatest(F.floor(F.col("_n") / (2 * rows)) - 1, F.lit(0)))
-    return cells.select("symbol", "_cell", "n", "_n", place.alias("_block"), F.lit(low or 0.0).alias("_low"), F.lit(width).alias("_width"))
+def indexed(df: DataFrame, name: str = "row_idx") -> DataFrame:
+    """``df`` with the 0-based place of each row in its symbol's time order: a window where symbols are short, ranges of rows else."""
+    if name in df.columns:
+        return df
+    if long_symbols(df):
+        return sorted_places(df, ["symbol"], ["timestamp"], name)
+    return df.withColumn(name, (F.row_number().over(by_time()) - 1).cast("long"))
 
 
 def blocks(df: DataFrame, before: int, after: int = 0, rows: int = ROWS) -> DataFrame:
-    """``df`` with _block, _own, _rn and _n: rows of a block and, not its own, copies of the ``before`` rows before and ``after`` rows after it.
+    """``df`` with _block, _own, _rn and _rd: rows of a block and, not its own, copies of the ``before`` rows before and ``after`` rows after it.
 
-    _rn is the 1-based place in the symbol, _n the symbol's number of rows.  A block that is shorter than ``before`` or ``after`` (cells of
-    very uneven times) is an error: take more rows a block.
+    _rn is the 1-based place in the symbol, _rd that from the end of a full block (1: its last row).  A block has at least ``before`` and ``after`` rows, so
+    that a row is copied at most twice.  A symbol's last rows may also be copied to a block of which no row is its own.
     """
-    cells = block_map(df, rows)
-    one = cells.select("_low", "_width").limit(1).collect()
-    low, width = (one[0]["_low"], one[0]["_width"]) if one else (0.0, 1.0)
-    sizes = cells.groupBy("symbol", "_block", "_n").agg(F.sum("n").alias("_size"))
-    offset = F.sum("_size").over(Window.partitionBy("symbol").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))  # of blocks
-    last = F.max("_block").over(Window.partitionBy("symbol"))
-    sizes = sizes.select("symbol", "_block", "_n", "_size", F.coalesce(offset, F.lit(0)).alias("_offset"), last.alias("_last"), F.min("_size").over(Window.partitionBy("symbol")).alias("_least"))
-    cell = F.floor((_seconds(F.col("timestamp")) - F.lit(low)) / width).alias("_cell")
-    dealt = df.withColumn("_cell", cell).join(cells.select("symbol", "_cell", "_block"), ["symbol", "_cell"]).drop("_cell").join(sizes, ["symbol", "_block"])
-    dealt = dealt.repartition(*BLOCK)  # else a join on the symbol alone could keep all of it together
-    dealt = dealt.withColumn("_rn", F.col("_offset") + F.row_number().over(Window.partitionBy(*BLOCK).orderBy("timestamp")))
-    dealt = dealt.withColumn("_rd", F.col("_offset") + F.col("_size") + 1 - F.col("_rn"))
-    short = (F.col("_last") > 0) & (F.col("_least") < max(before, after))
-    checked = F.when(short, F.raise_error(F.lit("a block is shorter than its windows")).cast("bigint")).otherwise(F.col("_block"))
-    inside = F.col("_rn") - F.col("_offset")
-    copies = F.array(checked, F.when((F.col("_rd") <= before) & (F.col("_block") < F.col("_last")), F.col("_block") + 1), F.when((inside <= after) & (F.col("_block") > 0), F.col("_block") - 1))
-    out = dealt.withColumn("_to", F.explode(F.array_compact(copies)))
-    return out.withColumn("_own", F.col("_to") == F.col("_block")).drop("_block", "_offset", "_size", "_last", "_least").withColumnRenamed("_to", "_block")
+    rows = max(rows, before, after, 1)
+    ranked = sorted_places(df, ["symbol"], ["timestamp"], "_rn0")
+    block, inside = F.floor(F.col("_rn0") / rows), F.col("_rn0") % rows
+    ranked = ranked.withColumns({"_block": block, "_rn": F.col("_rn0") + 1, "_rd": rows - inside}).drop("_rn0")
+    inside = rows - F.col("_rd")
+    copies = F.array(F.col("_block"), F.when(F.col("_rd") <= before, F.col("_block") + 1), F.when((inside < after) & (F.col("_block") > 0), F.col("_block") - 1))
+    out = ranked.withColumn("_to", F.explode(F.array_compact(copies)))
+    return out.withColumn("_own", F.col("_to") == F.col("_block")).drop("_block").withColumnRenamed("_to", "_block")
 
 
 def carried(df: DataFrame, columns: list[str], excluded: int = 0) -> DataFrame:
@@ -76,3 +69,15 @@ def carried(df: DataFrame, columns: list[str], excluded: int = 0) -> DataFrame:
     last = lambda c: F.last(f"_l_{c}", ignorenulls=True).over(earlier)
     near = lambda c: F.coalesce(F.lag(f"_e_{c}").over(w), last(c)) if excluded else last(c)
     return s.select(*BLOCK, *[near(c).alias(f"before_{c}") for c in columns], *[F.first(f"_f_{c}", ignorenulls=True).over(every).alias(f"first_{c}") for c in columns])
+
+
+def completed(columns: list[str], backward: bool) -> dict[str, Column]:
+    """Values filled within their block, completed by what ``carried`` gives."""
+    return {c: F.coalesce(F.col(c), F.col(f"before_{c}"), *([F.col(f"first_{c}")] if backward else [])) for c in columns}
+
+
+def filled_in_blocks(df: DataFrame, columns: list[str], backward: bool = True, rows: int = ROWS) -> DataFrame:
+    """``columns`` filled forward, and the leading gap backward, within each symbol: the rows of ``fill`` for symbols of any length."""
+    dealt = blocks(df, 0, 0, rows)
+    local = saved(dealt.withColumns({c: fill(F.col(c), by_time(*BLOCK), backward=False) for c in columns}), "filled")
+    return local.join(carried(local, columns), list(BLOCK)).withColumns(completed(columns, backward)).select(*df.columns)

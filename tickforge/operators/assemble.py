@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AssembleConfig
+from ..functions.blocks import filled_in_blocks, long_symbols
 from ..functions.columns import fill
 from ..schemas import KEYS, LABEL, feature_columns, require
 from ..sources.scratch import saved
@@ -62,20 +63,23 @@ def handle_missing(df: DataFrame, config: AssembleConfig = AssembleConfig(), bac
     cols = feature_columns(df)
     y = F.col(LABEL).isNotNull()
     first = F.min_by(F.struct(*[F.col(c).isNotNull().alias(c) for c in cols]), F.when(y, F.col("timestamp")))
-    seen = lambda c: F.count_if(y & F.col(c).isNotNull()).alias(f"_seen_{c}")
-    stats = df.groupBy("symbol").agg(F.count("*").alias("_n"), F.count(LABEL).alias("_kept"), first.alias("_first"), *[F.count(c).alias(c) for c in cols], *[seen(c) for c in cols]).collect()
-    total = lambda c: sum(r[c] for r in stats)
-    n, kept = total("_n"), total("_kept")
+    by_symbol = df.groupBy("symbol").agg(F.count("*").alias("_n"), F.count(LABEL).alias("_kept"), first.alias("_first"), *[F.count(c).alias(c) for c in cols], *[F.count_if(y & F.col(c).isNotNull()).alias(f"_seen_{c}") for c in cols])
+    # Of all symbols: sums, and for each column the least symbol that could not be filled.
+    lacks = lambda c: (F.col("_kept") > 0) & ((F.col(f"_seen_{c}") == 0) if backward else ~F.col(f"_first.{c}"))
+    one = by_symbol.agg(F.sum("_n").alias("_n"), F.sum("_kept").alias("_kept"), *[F.sum(c).alias(c) for c in cols], *[F.sum(f"_seen_{c}").alias(f"_seen_{c}") for c in cols], *[F.min(F.when(lacks(c), F.col("symbol"))).alias(f"_bad_{c}") for c in cols]).first()
+    n, kept = one["_n"] or 0, one["_kept"] or 0
+    seen = {c: one[f"_seen_{c}"] for c in cols}
     retention_gate(n, kept, config)
     if kept < config.min_samples:
         raise ValueError(f"{kept} samples; at least {config.min_samples} are needed")
-    gone = {c for c in cols if 1 - total(c) / n > config.max_nan_ratio} | set(config.drop_features)
+    gone = {c for c in cols if 1 - one[c] / n > config.max_nan_ratio} | set(config.drop_features)
     stays = [c for c in cols if c not in gone]
-    bad = {c: r["symbol"] for r in stats if r["_kept"] for c in stays if not (r[f"_seen_{c}"] if backward else r["_first"][c])}
-    if bad:
+    if bad := {c: one[f"_bad_{c}"] for c in stays if one[f"_bad_{c}"] is not None}:
         raise ValueError(f"values are missing and cannot be filled (column and symbol): {bad}")
-    df = df.drop(*gone).where(y)
-    return df.withColumns({c: fill(F.col(c), backward=backward) for c in stays if total(f"_seen_{c}") < kept})
+    df, gaps = df.drop(*gone).where(y), [c for c in stays if seen[c] < kept]
+    if gaps and long_symbols(df):
+        return filled_in_blocks(df, gaps, backward)
+    return df.withColumns({c: fill(F.col(c), backward=backward) for c in gaps})
 
 
 def require_complete(df: DataFrame) -> DataFrame:

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..config import FeatureConfig
-from ..functions.blocks import BLOCK, ROWS, blocks, carried
+from ..functions.blocks import BLOCK, ROWS, blocks, carried, completed, long_symbols
 from ..functions.columns import W, by_time, clip, fill, ln, numeric, rolling
 from ..schemas import KEYS, bar_format, require
 from ..sources.scratch import saved
@@ -121,8 +121,6 @@ def common_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> D
 
 def drop_warmup(df: DataFrame, rows: int) -> DataFrame:
     """Without the first rows of each symbol; a symbol with no more rows than that keeps all."""
-    from pyspark.sql import Window
-
     ranked = df.withColumns({"_rn": F.row_number().over(W()), "_n": F.count("*").over(W().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
     return ranked.where((F.col("_rn") > rows) | (F.col("_n") <= rows)).drop("_rn", "_n")
 
@@ -179,12 +177,7 @@ def compute_features_in_blocks(df: DataFrame, config: FeatureConfig = FeatureCon
     own, w, kind = _bar_columns(df), by_time(*BLOCK), bar_format(df)
     warmup, backward = config.windows.warmup, not config.leak_safe
     halo = reach(config)
-    marks = ["_block", "_own", "_rn", "_rd", "_n"]
-
-    def completed(table: DataFrame, names: list[str]) -> dict[str, Column]:
-        ahead = lambda c: F.coalesce(c, F.col(f"before_{c}"), *([F.col(f"first_{c}")] if backward else []))
-        return {c: ahead(c) for c in names}
-
+    marks = ["_block", "_own", "_rn", "_rd"]
     parts = saved(_returns(blocks(df, halo, rows=rows), w), "returns")
     # The first copied row lacks the price before it, so its return is taken from its own block too.
     at_start = carried(parts, ["_lr"], excluded=halo - 1).withColumnsRenamed({"before__lr": "_start", "first__lr": "_first"})
@@ -194,13 +187,20 @@ def compute_features_in_blocks(df: DataFrame, config: FeatureConfig = FeatureCon
     rolled = rolled.withColumns({k: fill(F.when(F.col("_own"), v), w, backward=False) for k, v in raw.items()}).select(*own, *COMMON, *marks)
     names = [c for c in COMMON if c != "log_ret_1"]
     rolled = saved(rolled, "rolled")
-    rolled = rolled.join(carried(rolled, names), list(BLOCK)).withColumns(completed(rolled, names)).select(*own, *COMMON, *marks)
-    rolled = rolled.where((F.col("_rn") > warmup) | (F.col("_n") <= warmup))
+    # A symbol's first block has more rows than the warm-up, if the symbol has: its size tells.
+    size = F.max("_rn").over(Window.partitionBy(*BLOCK))
+    rolled = rolled.join(carried(rolled, names), list(BLOCK)).withColumns(completed(names, backward)).withColumn("_size", size)
+    rolled = rolled.where((F.col("_rn") > warmup) | (F.col("_size") <= warmup)).select(*own, *COMMON, *marks)
     if kind != "bidask":
         return rolled.where("_own").select(*own, *COMMON)
     micro, raw = _micro(rolled.repartition(*BLOCK), config, w)
     micro = saved(micro.withColumns({k: fill(F.when(F.col("_own"), v), w, backward=False) for k, v in raw.items()}).select(*own, *COMMON, *MICRO, *marks).where("_own"), "micro")
-    return micro.join(carried(micro, MICRO), list(BLOCK)).withColumns(completed(micro, MICRO)).select(*own, *COMMON, *MICRO)
+    return micro.join(carried(micro, MICRO), list(BLOCK)).withColumns(completed(MICRO, backward)).select(*own, *COMMON, *MICRO)
+
+
+def features_of(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """``compute_features`` by the plan that the symbols' lengths ask for.  ``df`` should be a written table."""
+    return (compute_features_in_blocks if long_symbols(df) else compute_features)(df, config)
 
 
 # ---- validation --------------------------------------------------------------------------------------------------
@@ -232,7 +232,7 @@ def cap_outliers(df: DataFrame, std: float = 5.0, by: tuple[str, ...] = (), skip
     """
     cols = [c for c in numeric(df) if c not in (*skip, *by)]
     stats = (df.where(fit) if fit else df).groupBy(*by).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    joined = df.join(stats, list(by), "left") if by else df.join(F.broadcast(stats))  # without groups it is one row
+    joined = df.join(F.broadcast(stats) if by == ("split_id",) else stats, list(by), "left") if by else df.join(F.broadcast(stats))  # without groups it is one row
     bound = lambda c, sign: F.col(f"_m_{c}") + sign * std * F.col(f"_s_{c}")
     return joined.select(*[F.when(F.col(f"_s_{c}") > 0, clip(F.col(c).cast("double"), bound(c, -1), bound(c, 1))).otherwise(F.col(c).cast("double")).alias(c) if c in cols else F.col(c) for c in df.columns])
 

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-import math
+import sys
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from ..config import BarrierConfig
-from ..functions.blocks import BLOCK, ROWS, blocks
+from ..functions.blocks import BLOCK, ROWS, blocks, long_symbols
 from ..functions.columns import W, by_time
 from ..functions.quantiles import exact_quantiles
 from ..schemas import require
 
+# What the tasks run travels by value: this package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Horizons up to which a window's array of prices is searched.
+SHORT = 64
+
 
 def barriers(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFrame:
     """``upper`` and ``lower``; rows without price or volatility go first, so that the horizon counts the rest."""
@@ -27,9 +36,47 @@ def triple_barrier(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> Da
 
 
 def triple_barrier_in_blocks(df: DataFrame, config: BarrierConfig = BarrierConfig(), rows: int = ROWS) -> DataFrame:
-    """The same for symbols of any length.  ``df`` should be a written table."""
-    dealt = blocks(barriers(df, config), 0, config.horizon, rows).repartition(*BLOCK)
-    return _touched(dealt, config, by_time(*BLOCK)).where("_own").select(*df.columns, "upper", "lower", "label")
+    """The same for symbols and horizons of any length, by one plan: blocks of rows, and a ladder of lows and highs inside each.
+
+    A row is copied to the block before at most once, whatever the horizon; the search of a row takes as many steps as the horizon has binary digits.
+    """
+    ready = barriers(df, config)
+    price, horizon, names = config.price_col, config.horizon, ready.columns
+    dealt = blocks(ready, 0, horizon, rows).select("symbol", "_block", "_own", "_rn", *[c for c in names if c != "symbol"])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema) + ", label double"
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("_rn").combine_chunks()
+        label = first_touch(*(t[c].to_numpy(zero_copy_only=False) for c in (price, "upper", "lower")), horizon)
+        own = t.append_column("label", pa.array(label)).filter(t["_own"])
+        return own.select([*names, "label"])
+
+    return dealt.groupBy(*BLOCK).applyInArrow(run, schema)
+
+
+def first_touch(price: np.ndarray, upper: np.ndarray, lower: np.ndarray, horizon: int) -> np.ndarray:
+    """1, -1 or 0 for each row: the barrier that the first of the next ``horizon`` prices touches, the upper one if it touches both.
+
+    Step k of the ladder has the least and the greatest of 2**k prices from each row on.  From the longest step down, a row goes on over every
+    stretch that lies within its horizon and touches nothing; where no step is left, the next price is the first that touches.
+    """
+    n = len(price)
+    ladder = [(price, price)]
+    while 2 ** len(ladder) <= min(horizon, n):
+        low, high = ladder[-1]
+        half = 2 ** (len(ladder) - 1)
+        ladder.append((np.minimum(low[:-half], low[half:]), np.maximum(high[:-half], high[half:])))
+    at = np.arange(1, n + 1)
+    end = np.minimum(np.arange(n) + horizon, n - 1) + 1  # the first row beyond the horizon
+    for k in reversed(range(len(ladder))):
+        low, high = ladder[k]
+        fits = np.flatnonzero(at + 2**k <= end)
+        free = fits[(high[at[fits]] < upper[fits]) & (low[at[fits]] > lower[fits])]
+        at[free] += 2**k
+    label = np.zeros(n)
+    hit = np.flatnonzero(at < end)
+    label[hit] = np.where(price[at[hit]] >= upper[hit], 1.0, -1.0)
+    return label
 
 
 def _touched(df: DataFrame, config: BarrierConfig, w: WindowSpec) -> DataFrame:
@@ -39,26 +86,6 @@ def _touched(df: DataFrame, config: BarrierConfig, w: WindowSpec) -> DataFrame:
     return df.withColumn("_touch", touch).withColumn("label", F.when(F.col("_touch") >= F.col("upper"), 1.0).when(F.col("_touch") <= F.col("lower"), -1.0).otherwise(0.0)).drop("_ahead", "_touch")
 
 
-def triple_barrier_long(df: DataFrame, config: BarrierConfig) -> DataFrame:
-    """The same for horizons too long for a frame of arrays.
-
-    Rows lie in stretches of about sqrt(horizon).  The first later stretch whose highest or lowest price touches a barrier, and the
-    rest of a row's own, are all that is looked into: some 3 * sqrt(horizon) rows for each, not up to the whole horizon.
-    """
-    ranked = barriers(df, config).withColumn("_rn", F.row_number().over(W()))
-    h, size = config.horizon, math.isqrt(config.horizon)
-    stretch = lambda rn: F.floor(rn / size)
-    rows = ranked.select("symbol", F.col("_rn").alias("_at"), F.col(config.price_col).alias("_p"), stretch(F.col("_rn")).alias("_b"))
-    ranges = rows.groupBy("symbol", "_b").agg(F.max("_p").alias("_high"), F.min("_p").alias("_low"))
-    keys = ranked.select("symbol", "_rn", "upper", "lower")
-    later = keys.select("*", F.explode(F.sequence(stretch(F.col("_rn")) + 1, stretch(F.col("_rn") + h))).alias("_b")).join(ranges, ["symbol", "_b"])
-    first = later.where((F.col("_high") >= F.col("upper")) | (F.col("_low") <= F.col("lower"))).groupBy("symbol", "_rn").agg(F.min("_b").alias("_later"))
-    looked = keys.join(first, ["symbol", "_rn"], "left").select("*", F.explode(F.array_compact(F.array(stretch(F.col("_rn")), "_later"))).alias("_b")).join(rows, ["symbol", "_b"])
-    near = (F.col("_at") > F.col("_rn")) & (F.col("_at") <= F.col("_rn") + h) & ((F.col("_p") >= F.col("upper")) | (F.col("_p") <= F.col("lower")))
-    side = looked.where(near).groupBy("symbol", "_rn").agg(F.min_by(F.when(F.col("_p") >= F.col("upper"), 1.0).otherwise(-1.0), "_at").alias("_side"))
-    return ranked.join(side, ["symbol", "_rn"], "left").withColumn("label", F.coalesce("_side", F.lit(0.0))).drop("_rn", "_side")
-
-
 def vov_thresholds(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> tuple[float | None, float | None]:
     """Exact quantiles over all symbols."""
     if not config.vov_col or config.vov_col not in df.columns:
@@ -80,7 +107,8 @@ def label_data(df: DataFrame, config: BarrierConfig = BarrierConfig()) -> DataFr
     if (n := valid.limit(config.horizon).count()) < config.horizon:
         raise ValueError(f"{n} rows with price and volatility; the horizon is {config.horizon}")
     low, high = vov_thresholds(valid, config)
-    return filter_regimes(triple_barrier(df, config), low, high, config).select("timestamp", "symbol", "label")
+    touched = triple_barrier_in_blocks if config.horizon > SHORT or long_symbols(df) else triple_barrier
+    return filter_regimes(touched(df, config), low, high, config).select("timestamp", "symbol", "label")
 
 
 def barrier_spreads(df: DataFrame, config: BarrierConfig = BarrierConfig(), by: tuple[str, ...] = ("symbol",)) -> DataFrame:
@@ -95,5 +123,5 @@ def label_stats(labels: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFra
 
 
 def row_index() -> Column:
-    """0-based position in (symbol, timestamp) order, within the symbol."""
+    """0-based position in (symbol, timestamp) order, within the symbol; ``blocks.indexed`` gives it for symbols of any length."""
     return (F.row_number().over(Window.partitionBy("symbol").orderBy("timestamp")) - 1).cast("long")

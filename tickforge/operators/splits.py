@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
-from .labels import row_index
+from ..functions.blocks import indexed
 
 # Fixed value: days in a year.
 YEAR = 365.25
 #: The windows are broadcast; there are never more than this.
 MAX_WINDOWS = 10_000
+#: Time cells of the longest window.
+CELLS = 32
+_HOUR = 3_600_000_000  # microseconds
 
 
 def windows(first: datetime, last: datetime, config: SplitConfig) -> list[tuple]:
@@ -37,20 +40,34 @@ def split_windows(df: DataFrame, config: SplitConfig) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def assign(df: DataFrame, split_windows: DataFrame) -> DataFrame:
-    """The rows with split_id, role and row_idx, once for each window they are in.  Intervals are half open."""
+def in_windows(df: DataFrame, split_windows: DataFrame) -> DataFrame:
+    """The rows of ``df`` once for each window they are in, with the window's columns and ``role``.  Intervals are half open.
+
+    Windows and rows meet by time cells, so the join is one on equal cells: a row is compared only with windows that reach
+    into its cell, however many there are.  The broadcast table has at most CELLS + 3 rows for each of MAX_WINDOWS windows.
+    """
+    micros = lambda t: F.unix_micros(t.cast("timestamp"))
+    longest = split_windows.agg(F.max(micros(F.col("val_end")) - micros(F.col("train_start")))).first()[0]
+    width = max((longest or 0) // CELLS, 4 * _HOUR)
+    # An hour more on either side: times without zone may be shifted by that much where clocks are put forward.
+    cell = lambda t: F.floor(t / width)
+    reach = F.sequence(cell(micros(F.col("train_start")) - _HOUR), cell(micros(F.col("val_end")) + _HOUR))
+    cells = split_windows.select("*", F.explode(reach).alias("_cell"))
     t = F.col("timestamp")
     train = (t >= F.col("train_start")) & (t < F.col("train_end"))
     val = (t >= F.col("val_start")) & (t < F.col("val_end"))
-    indexed = df if "row_idx" in df.columns else df.withColumn("row_idx", row_index())
-    joined = indexed.join(F.broadcast(split_windows), train | val)  # at most MAX_WINDOWS rows
-    return joined.withColumn("role", F.when(train, "train").otherwise("val")).drop("train_start", "train_end", "val_start", "val_end")
+    joined = df.withColumn("_cell", cell(micros(t))).join(F.broadcast(cells), "_cell").where(train | val)
+    return joined.withColumn("role", F.when(train, "train").otherwise("val")).drop("_cell")
+
+
+def assign(df: DataFrame, split_windows: DataFrame) -> DataFrame:
+    """The rows with split_id, role and row_idx, once for each window they are in."""
+    return in_windows(indexed(df), split_windows).drop("train_start", "train_end", "val_start", "val_end")
 
 
 def rows_at(df: DataFrame, positions: DataFrame) -> DataFrame:
     """The rows at the positions (symbol, row_idx) of a split document; row_idx is the 0-based place in the symbol's time order."""
-    indexed = df if "row_idx" in df.columns else df.withColumn("row_idx", row_index())
-    return indexed.join(positions.select("symbol", "row_idx"), ["symbol", "row_idx"], "left_semi")
+    return indexed(df).join(positions.select("symbol", "row_idx"), ["symbol", "row_idx"], "left_semi")
 
 
 def quality(df: DataFrame, split_windows: DataFrame, config: SplitConfig) -> DataFrame:
@@ -75,12 +92,11 @@ def valid_splits(quality: DataFrame) -> DataFrame:
 def coverage(df: DataFrame, split_windows: DataFrame) -> DataFrame:
     """One row: rows, rows in a window, their share, and the share of repeated memberships.
 
-    Membership is counted for each time, not each row: rows are aggregated before the join.
+    Membership is counted for each time, not each row.
     """
-    t = F.col("timestamp")
     times = df.groupBy("timestamp").agg(F.count("*").alias("n"))
-    inside = (t >= F.col("train_start")) & (t < F.col("train_end")) | (t >= F.col("val_start")) & (t < F.col("val_end"))
-    member = times.join(F.broadcast(split_windows), inside, "left").groupBy("timestamp", "n").agg(F.count("split_id").alias("m"))
+    inside = in_windows(df.select("timestamp").distinct(), split_windows).groupBy("timestamp").agg(F.count("*").alias("m"))
+    member = times.join(inside, "timestamp", "left").select("n", F.coalesce("m", F.lit(0)).alias("m"))
     one = member.agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("m") >= 1, F.col("n")).otherwise(0)).alias("covered"), F.sum(F.greatest(F.col("m") - 1, F.lit(0)) * F.col("n")).alias("overlap"))
     return one.select("n_rows", "covered", "overlap", F.try_divide("covered", "n_rows").alias("coverage"), F.try_divide("overlap", "n_rows").alias("overlap_ratio"))
 

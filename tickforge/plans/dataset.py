@@ -1,4 +1,4 @@
-"""The stages as one lazy plan."""
+"""The stages, one after the other; tables that are read more than once are written."""
 
 from __future__ import annotations
 
@@ -12,10 +12,13 @@ from ..sources.scratch import saved
 
 
 def build_dataset(bars: DataFrame, feature_config: FeatureConfig = FeatureConfig(), barrier_config: BarrierConfig = BarrierConfig(), assemble_config: AssembleConfig = AssembleConfig()) -> DataFrame:
-    """Bars -> features -> labels -> dataset.  The features are written once; gates, statistics and quantiles read that table."""
-    kind = bar_format(bars)
+    """Bars -> features -> labels -> dataset.  The features are written once; gates, statistics and quantiles read that table.
+
+    Symbols of more than ``blocks.LONG`` rows go by blocks of rows, in features, labels and fills.
+    """
+    kind, bars = bar_format(bars), saved(bars, "bars")
     features.warn_missing(features.require_rows(bars, feature_config.min_rows), feature_config.max_missing_ratio)
-    table = saved(features.compute_features(bars, feature_config), "features")
+    table = saved(features.features_of(bars, feature_config), "features")
     table = saved(features.validate_features(table, feature_config), "features")
     if kind == "bidask" and barrier_config.price_col == "close":
         barrier_config = BarrierConfig(**{**barrier_config.__dict__, "price_col": "mid_close"})

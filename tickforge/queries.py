@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from . import oracles as o
 from .config import AssembleConfig, BarrierConfig, BoostConfig, FeatureConfig, SplitConfig
+from .functions.blocks import filled_in_blocks
 from .functions.columns import W, argmax, fill
+from .functions.positions import sorted_places
 from .operators import assemble, features, labels, normalize, reports, splits, training
 from .operators.boosting import fit_boosting
 from .plans.dataset import labels_by_symbol
@@ -217,7 +219,7 @@ def _(spark, d):
 
 @query("triple_barrier_long_horizon", sql_out(f"{o.DAILY_FEATURES}, {o.labels('ATR_w', 120)}", "lab", "label"))
 def _(spark, d):
-    return out(labels.triple_barrier_long(features.compute_features(bars_daily(spark, d)), BarrierConfig(vol_basis="atr", horizon=120)), "label")
+    return out(labels.triple_barrier_in_blocks(features.compute_features(bars_daily(spark, d)), BarrierConfig(vol_basis="atr", horizon=120)), "label")
 
 
 @query("vov_thresholds", f"WITH {o.OHLC_FEATURES}, {o.labels('RV_w', 24)}, {o.VOV} SELECT round(lo, 6) AS lower, round(hi, 6) AS upper FROM vq")
@@ -365,6 +367,18 @@ def _(spark, d):
     return out(splits.rows_at(bars, positions), "row_idx", "close")
 
 
+@query("row_positions", f"WITH {o.OHLC} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS row_idx FROM ohlc")
+def _(spark, d):
+    """Row numbers of whole symbols from ranges of rows, without a window by symbol."""
+    return out(sorted_places(bars_ohlc(spark, d), ["symbol"], ["timestamp"]), "row_idx")
+
+
+@query("fill_in_blocks", f"WITH {o.OHLC}, g AS (SELECT symbol, timestamp, CASE WHEN hour(timestamp) % 5 > 2 THEN close END AS close FROM ohlc) SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, round({o.filled('close')}, 5) + 0.0 AS close FROM g")
+def _(spark, d):
+    bars = bars_ohlc(spark, d).select("symbol", "timestamp", F.when(F.hour("timestamp") % 5 > 2, F.col("close")).alias("close"))
+    return out(filled_in_blocks(bars, ["close"], rows=50), "close")
+
+
 @query("split_coverage", f"""WITH {o.SPLIT_CTES}, m AS (SELECT i.symbol, i.timestamp, count(a.split_id) AS m FROM idx i LEFT JOIN asg a ON a.symbol = i.symbol AND a.timestamp = i.timestamp GROUP BY ALL)
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE m >= 1) AS covered, CAST(sum(greatest(m - 1, 0)) AS BIGINT) AS overlap, round(count(*) FILTER (WHERE m >= 1) / count(*), 6) AS coverage, round(sum(greatest(m - 1, 0)) / count(*), 6) AS overlap_ratio FROM m""")
 def _(spark, d):
