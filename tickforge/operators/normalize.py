@@ -68,22 +68,23 @@ def normalize_ohlc(raw: DataFrame, symbol: Column, extra: tuple[str, ...] = ())
     return _keep_unless(df, (h < l) | (h < o) | (h < c) | (l > o) | (l > c)).select(*OHLC, *extra)
 
 
-def normalize_bidask(raw: DataFrame, symbol: Column) -> DataFrame:
+def normalize_bidask(raw: DataFrame, symbol: Column, extra: tuple[str, ...] = ()) -> DataFrame:
     cols = [number(F.col(r)).alias(c) for r, c in BIDASK_RAW.items() if r in raw.columns and "Ch" not in r]
     changes = [(F.coalesce(number(F.col(r)), F.lit(0.0)) if r in raw.columns else F.lit(0.0)).alias(BIDASK_RAW[r]) for r in ("BCh", "ACh")]
-    df = in_range(raw.select(timestamp_column(raw.columns).alias("timestamp"), symbol.alias("symbol"), *cols, *changes))
+    df = in_range(raw.select(timestamp_column(raw.columns).alias("timestamp"), symbol.alias("symbol"), *cols, *changes, *extra))
     df = df.withColumns({f"mid_{x}": (F.col(f"bid_{x}") + F.col(f"ask_{x}")) / 2 for x in ("open", "high", "low", "close")})
     df = df.withColumn("spread_close", F.col("ask_close") - F.col("bid_close"))
-    return _keep_unless(df, F.col("spread_close") < 0).select(*BIDASK)
+    return _keep_unless(df, F.col("spread_close") < 0).select(*BIDASK, *extra)
 
 
-def clean(df: DataFrame, tiebreak: str | None = None) -> DataFrame:
-    """Rows with a time, without exact repeats, one for each symbol and time: the first by ``tiebreak``, then by the other columns."""
-    df = df.where(F.col("timestamp").isNotNull()).dropDuplicates()
-    rest = [c for c in df.columns if c not in ("symbol", "timestamp", tiebreak)]
+def clean(df: DataFrame, tiebreak: str | None = None, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Rows with a time, without exact repeats, one for each symbol (or other keys) and time: the first by ``tiebreak``, then by the other columns."""
+    df = df.where(F.col("timestamp").isNotNull())
+    df = df if tiebreak else df.dropDuplicates()  # with a tie-break the aggregate below does it
+    rest = [c for c in df.columns if c not in (*by, "timestamp", tiebreak)]
     order = ([F.col(tiebreak)] if tiebreak else []) + [F.col(c) for c in rest]
     first = F.min(F.struct(*order)).alias("first")
-    out = df.groupBy("symbol", "timestamp").agg(first).select("timestamp", "symbol", "first.*")
+    out = df.groupBy(*by, "timestamp").agg(first).select("timestamp", *by, "first.*")
     return out.select(*df.columns)
 
 

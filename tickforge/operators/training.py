@@ -95,28 +95,37 @@ def log_loss(df: DataFrame, probabilities: str = "proba", floor: float = 1e-15,
     return df.groupBy(*by).agg((-F.avg(F.ln(F.greatest(F.least(p, F.lit(1 - floor)), F.lit(floor))))).alias("log_loss"))
 
 
-def auc(df: DataFrame, probabilities: str = "proba", classes: int = 3, ranges: int = 256) -> DataFrame:
-    """class, auc: one against the rest, by rank sums with average ranks.
+def auc(df: DataFrame, probabilities: str = "proba", classes: int = 3, ranges: int = 256, by: tuple[str, ...] = ()) -> DataFrame:
+    """class (and the columns ``by``), auc: one against the rest, by rank sums with average ranks; missing if a class has all rows or none.
 
-    Equal scores are aggregated first.  What is left is ranked within ranges of scores, whose bounds are approximate quantiles
+    Equal scores are aggregated first and written.  What is left is ranked within ranges of scores, whose bounds are approximate quantiles
     (they only balance the work), and the rows of all lower ranges are added: no task ever holds a class.
     """
-    long = df.select("y", F.posexplode(probabilities).alias("class", "score")).where(F.col("class") < classes)
-    tied = long.groupBy("class", "score").agg(F.count("*").alias("n"), F.count_if(F.col("y") == F.col("class")).alias("pos"))
+    long = df.select(*by, "y", F.posexplode(probabilities).alias("class", "score")).where(F.col("class") < classes)
+    group = [*by, "class"]
+    tied = saved(long.groupBy(*group, "score").agg(F.count("*").alias("n"), F.count_if(F.col("y") == F.col("class")).alias("pos")), "scores")
     bounds = sorted(set(tied.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.25 / ranges))) if ranges > 1 else []
     part = F.size(F.filter(F.lit(bounds) if bounds else F.array().cast("array<double>"), lambda b: b <= F.col("score")))
     tied = tied.withColumn("part", part)
-    w = Window.partitionBy("class", "part").orderBy("score")
+    w = Window.partitionBy(*group, "part").orderBy("score")
     inside = tied.withColumn("rank", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - (F.col("n") - 1) / 2)
-    parts = inside.groupBy("class", "part").agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum("pos").alias("p"), F.sum("n").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of at most ``ranges`` rows
-    s = parts.withColumn("r", F.col("r") + before * F.col("p")).groupBy("class").agg(F.sum("r").alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
-    return s.select("class", F.try_divide(F.col("r") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * (F.col("n") - F.col("p"))).alias("auc"))
+    parts = inside.groupBy(*group, "part").agg(F.sum(F.col("rank") * F.col("pos")).alias("r"), F.sum("pos").alias("p"), F.sum("n").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of at most ``ranges`` rows
+    s = parts.withColumn("r", F.col("r") + before * F.col("p")).groupBy(*group).agg(F.sum("r").alias("r"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    return s.select(*group, F.try_divide(F.col("r") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * (F.col("n") - F.col("p"))).alias("auc"))
 
 
-def macro_auc(df: DataFrame, probabilities: str = "proba", classes: int = 3) -> DataFrame:
-    """One row: the mean of the classes' auc."""
-    return auc(df, probabilities, classes).agg(F.avg("auc").alias("auc"))
+def macro_auc(df: DataFrame, probabilities: str = "proba", classes: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
+    """The mean of the classes' auc: one row, or one for each group of ``by``."""
+    return auc(df, probabilities, classes, by=by).groupBy(*by).agg(F.avg("auc").alias("auc"))
+
+
+def fold_auc(predicted: DataFrame, probabilities: str = "proba", by: tuple[str, ...] = ("split_id", "role")) -> DataFrame:
+    """log_loss and roc_auc_ovr (macro) of each fold and role.  Where a class is missing from the rows the loss is infinite and the area 0, as nothing can be said."""
+    loss = log_loss(predicted, probabilities, by=by)
+    area = auc(predicted, probabilities, by=by).groupBy(*by).agg(F.avg("auc").alias("_auc"), F.bool_and(F.col("auc").isNotNull()).alias("_all"))
+    both = loss.join(area, list(by))
+    return both.select(*by, F.when(F.col("_all"), F.col("log_loss")).otherwise(float("inf")).alias("log_loss"), F.when(F.col("_all"), F.col("_auc")).otherwise(0.0).alias("roc_auc_ovr"))
 
 
 def compile_oof(rows: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ from .functions.columns import W, argmax, fill
 from .functions.positions import sorted_places
 from .operators import assemble, features, labels, normalize, reports, splits, training
 from .operators.boosting import fit_boosting
+from .plans import raw
 from .plans.dataset import labels_by_symbol
-from .sources import sinks
+from .sources import readers, sinks
 from .sources.adapters import bars_bidask, bars_daily, bars_ohlc, raw_ohlc
 from .sources.scratch import saved
 
@@ -556,6 +557,45 @@ def _(spark, d):
     return out(fit_boosting(gappy_folds(spark, d), ["close", "tick_volume"], _ROUNDS).importance(spark), "value", keys=("split_id", "type", "feature"))
 
 
+@query("fold_auc", f"""WITH {_FOLDS}, pz AS (SELECT split_id, role, row_idx, y, p, unnest([0, 1, 2]) AS class FROM ds), pp AS (SELECT *, CASE WHEN p = class THEN 0.5 + (row_idx % 7) * 0.05 ELSE (0.5 - (row_idx % 7) * 0.05) / 2 END AS score FROM pz
+), rk AS (SELECT split_id, role, class, y, rank() OVER (PARTITION BY split_id, role, class ORDER BY score) + (count(*) OVER (PARTITION BY split_id, role, class, score) - 1) / 2 AS r FROM pp
+), s AS (SELECT split_id, role, class, sum(r) FILTER (WHERE y = class) AS r, count(*) FILTER (WHERE y = class) AS p, count(*) AS n FROM rk GROUP BY ALL
+), a AS (SELECT split_id, role, avg((r - p * (p + 1) / 2) / nullif(p * (n - p), 0)) AS auc, min(p) AS least FROM s GROUP BY ALL), l AS (SELECT split_id, role, -avg(ln(score)) FILTER (WHERE class = y) AS loss FROM pp GROUP BY ALL)
+SELECT split_id, role, round(CASE WHEN least > 0 THEN loss ELSE 'infinity'::DOUBLE END, 6) AS log_loss, round(CASE WHEN least > 0 THEN auc ELSE 0.0 END, 6) AS roc_auc_ovr FROM a JOIN l USING (split_id, role)""")
+def _(spark, d):
+    predicted = with_probabilities(training.run_folds(folds(spark, d), ["close", "tick_volume"]))
+    return out(training.fold_auc(predicted), "log_loss", "roc_auc_ovr", keys=("split_id", "role"), digits=6)
+
+
+_FILES = """names AS (SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'eurusd_h1_' WHEN 1 THEN 'GBPUSD_cleaned_' WHEN 2 THEN 'x-UsdJpy-' ELSE 'other_' END || o_orderkey || CASE WHEN o_orderkey % 11 = 0 THEN '_original_backup' ELSE '' END || '.csv' AS name,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN 'time,BO,BH,BL,BC,AO,AH,AL,AC,BCh' WHEN o_orderkey % 7 = 2 THEN 'open,high,low,close' WHEN o_orderkey % 7 = 3 THEN 'Date,Time,a,b' ELSE 'Date,Time,open,high,low,close' END AS header, o_custkey AS length FROM orders)"""
+
+
+@query("raw_plan", f"""WITH {_FILES}, f AS (SELECT *, replace(replace(regexp_replace(name, '\.[^.]*$', ''), '_cleaned', ''), '_original_backup', '') AS output, nullif(upper(regexp_extract(upper(name), '(EURUSD|GBPUSD|USDJPY)', 1)), '') AS symbol,
+  CASE WHEN header LIKE '%BO,%' THEN 'bidask' WHEN header LIKE '%open,%' THEN 'ohlc' END AS format FROM names WHERE NOT (k % 5 = 0 AND k % 3 > 0))
+SELECT name, output, symbol, format, CASE WHEN header IS NULL THEN 'the file is empty' WHEN format IS NULL THEN 'unknown format' WHEN header LIKE 'open%' THEN 'no column of times' WHEN symbol IS NULL THEN 'no known symbol (EURUSD, GBPUSD, USDJPY) in the name' END AS error FROM f""")
+def _(spark, d):
+    """What the raw stage makes of files named after orders; every fifth is in the manifest, every third of those with another size."""
+    k = F.col("o_orderkey")
+    name = F.when(k % 4 == 0, "eurusd_h1_").when(k % 4 == 1, "GBPUSD_cleaned_").when(k % 4 == 2, "x-UsdJpy-").otherwise("other_")
+    header = F.when(k % 7 == 0, None).when(k % 7 == 1, "time,BO,BH,BL,BC,AO,AH,AL,AC,BCh").when(k % 7 == 2, "open,high,low,close").when(k % 7 == 3, "Date,Time,a,b").otherwise("Date,Time,open,high,low,close")
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    files = orders.select(k.alias("k"), F.concat(name, k, F.when(k % 11 == 0, "_original_backup").otherwise(""), F.lit(".csv")).alias("name"), header.alias("header"), F.col("o_custkey").alias("length"), F.col("o_orderdate").cast("timestamp").alias("modified"))
+    done = files.where("k % 5 = 0").select("name", F.when(F.col("k") % 3 == 0, F.col("length") + 1).otherwise(F.col("length")).alias("length"), "modified", F.lit("done").alias("status"))
+    return raw.planned(raw.pending(files, done)).select("name", "output", "symbol", "format", "error")
+
+
+@query("split_document", f"""WITH {o.SPLIT_CTES} SELECT split_id, symbol, count(*) FILTER (WHERE role = 'train') AS train_samples, count(*) FILTER (WHERE role = 'val') AS val_samples, CAST(sum(row_idx) AS BIGINT) AS indices,
+  strftime(min(timestamp) FILTER (WHERE role = 'train'), '%Y-%m-%dT%H:%M:%S') AS train_first, strftime(max(timestamp) FILTER (WHERE role = 'val'), '%Y-%m-%dT%H:%M:%S') AS val_last FROM asg GROUP BY split_id, symbol""")
+def _(spark, d):
+    """The nested split document, through its JSON text and back."""
+    bars, w = _assigned(spark, d)
+    text = sinks.split_document(splits.assign(bars, w), w).select(F.to_json(F.struct("split_id", "metadata", "splits")).alias("value"))
+    document = text.select(F.from_json("value", readers.SPLIT_DOCUMENT).alias("s")).select("s.*")
+    counts = document.select("split_id", F.explode("splits").alias("symbol", "s")).select("split_id", "symbol", "s.train_samples", "s.val_samples", F.col("s.train_date_range.start").alias("train_first"), F.col("s.val_date_range.end").alias("val_last"))
+    return counts.join(readers.nested_positions(document).groupBy("split_id", "symbol").agg(F.sum("row_idx").alias("indices")), ["split_id", "symbol"])
+
+
 @query("argmax_class", f"WITH {_PROBA} SELECT symbol, CAST(timestamp AS VARCHAR) AS timestamp, CAST(arg_max(class, score - class * 1e-12) AS INTEGER) AS best FROM pp GROUP BY symbol, timestamp")
 def _(spark, d):
     return out(with_probabilities(predictions(spark, d)).withColumn("best", argmax(F.col("proba"))), "best")

@@ -63,6 +63,8 @@ def write_splits(assigned: DataFrame, path: str, form: str = "indices", force: b
         # A line holds a bounded stretch of indices, not all rows of a split and symbol.
         stretch = F.floor(F.col("row_idx") / INDICES).alias("_stretch")
         assigned.groupBy("split_id", "symbol", "role", stretch).agg(F.array_sort(F.collect_list("row_idx")).alias("indices")).drop("_stretch").write.mode(mode(force)).json(path)
+    elif form == "nested":
+        split_document(assigned).write.mode(mode(force)).json(path)
     elif form == "metadata":
         assigned.groupBy("split_id", "symbol", "role").agg(F.count("*").alias("samples"), F.min("timestamp").alias("start"), F.max("timestamp").alias("end")).write.mode(mode(force)).json(path)
     elif form == "data":
@@ -71,6 +73,29 @@ def write_splits(assigned: DataFrame, path: str, form: str = "indices", force: b
         raise ValueError(f"unknown form of splits: {form}")
 
 
+def split_document(assigned: DataFrame, windows: DataFrame | None = None, gap_days: float = 0.0) -> DataFrame:
+    """One row a split, in the nested form that ``readers.read_split_document`` reads: split_id, metadata, splits (a map by symbol).
+
+    ``assigned``: split_id, symbol, role, row_idx, timestamp.  Times are ISO texts; without ``windows`` those of a split are its rows' first and last ones.
+    A row holds all positions of its split, as the form asks; for splits of very many rows there is the form ``indices``.
+    """
+    iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    t, aggs, entry = F.col("timestamp"), [], []
+    for r in ("train", "val"):
+        own = lambda x, r=r: F.when(F.col("role") == r, x)
+        aggs += [F.array_sort(F.collect_list(own(F.col("row_idx").cast("long")))).alias(f"{r}_indices"), F.min(own(t)).alias(f"_{r}_a"), F.max(own(t)).alias(f"_{r}_b")]
+        entry += [F.col(f"{r}_indices"), F.size(f"{r}_indices").cast("long").alias(f"{r}_samples"), F.struct(iso(F.col(f"_{r}_a")).alias("start"), iso(F.col(f"_{r}_b")).alias("end")).alias(f"{r}_date_range")]
+    by_symbol = assigned.groupBy("split_id", "symbol").agg(*aggs)
+    one = by_symbol.groupBy("split_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", F.struct(*entry).alias("s"))))).alias("splits"), F.array_sort(F.collect_set("symbol")).alias("symbols"),
+        *[f(f"_{r}_{x}").alias(f"{r}_{n}") for r in ("train", "val") for x, n, f in (("a", "start", F.min), ("b", "end", F.max))],
+    )
+    if windows is not None:
+        one = one.drop("train_start", "train_end", "val_start", "val_end").join(F.broadcast(windows), "split_id")  # a row for each split
+    meta = F.struct(*[iso(F.col(c)).alias(c) for c in ("train_start", "train_end", "val_start", "val_end")], F.lit(float(gap_days)).alias("gap_days"), "symbols")
+    return one.select("split_id", meta.alias("metadata"), "splits")
+
+
 def output_name(path: str, stage: str, suffix: str = "_features") -> str:
     """The next stage's file name for this input."""
     stem = Path(path).stem
