@@ -118,6 +118,35 @@ class BoostConfig:
             raise ValueError("rounds, depth and classes must be positive")
 
 
+@dataclass(frozen=True)
+class NetworkConfig:
+    kind: str = "lstm"  # or "cnn"
+    length: int = 64
+    units: tuple[int, ...] = (128, 64)
+    filters: tuple[int, ...] = (64, 128, 64)
+    kernels: tuple[int, ...] = (5, 3, 3)
+    pools: tuple[int, ...] = (2, 2, 2)
+    dense: tuple[int, ...] = (32, 16)
+    dropout: float = 0.3
+    rate: float = 0.001
+    epochs: int = 100
+    steps: int = 8  # of an epoch
+    patience: int = 10
+    rate_patience: int = 5
+    rate_factor: float = 0.5
+    least_rate: float = 1e-5
+    l1: float = 1e-4
+    l2: float = 1e-4
+    classes: int = 3
+    seed: int = 42
+
+    def __post_init__(self):
+        if self.kind not in ("lstm", "cnn"):
+            raise ValueError(f"{self.kind!r} is no network; there are lstm and cnn")
+        if min(self.length, self.epochs, self.steps, self.rate_patience) < 1:
+            raise ValueError("length, epochs, steps and rate_patience must be positive")
+
+
 def load_yaml(path: str) -> dict:
     """A YAML file's sections; the mandatory ones must be there."""
     if not Path(path).exists():
