@@ -89,6 +89,13 @@ def valid_splits(quality: DataFrame) -> DataFrame:
     return quality.groupBy("split_id").agg(F.bool_and("valid").alias("valid")).where("valid").select("split_id")
 
 
+def accepted(quality: DataFrame) -> DataFrame:
+    """One row: splits, those that are valid for all symbols, and the samples of the valid ones."""
+    by_split = quality.groupBy("split_id").agg(F.bool_and("valid").alias("valid"), F.sum("train_samples").alias("t"), F.sum("val_samples").alias("v"))
+    n = lambda c: F.coalesce(F.sum(F.when(F.col("valid"), F.col(c))), F.lit(0))
+    return by_split.agg(F.count("*").alias("total_splits"), F.count_if("valid").alias("valid_splits"), n("t").alias("train_samples"), n("v").alias("val_samples"))
+
+
 def coverage(df: DataFrame, split_windows: DataFrame) -> DataFrame:
     """One row: rows, rows in a window, their share, and the share of repeated memberships.
 

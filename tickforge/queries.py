@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles as o
-from .config import AssembleConfig, BarrierConfig, BoostConfig, FeatureConfig, SplitConfig
+from .config import AssembleConfig, BarrierConfig, BoostConfig, FeatureConfig, NetworkConfig, SplitConfig
 from .functions.blocks import filled_in_blocks
 from .functions.columns import W, argmax, fill
 from .functions.positions import sorted_places
 from .operators import assemble, features, labels, normalize, reports, splits, training
 from .operators.boosting import fit_boosting
+from .operators.networks import fit_networks
+from .operators.sequences import packed, sequences_of
 from .plans import raw
 from .plans.dataset import labels_by_symbol
 from .sources import readers, sinks
@@ -361,6 +363,17 @@ def _(spark, d):
     return splits.quality(bars.join(held, ["symbol", "timestamp"], "left_anti"), w, SPLIT).select("split_id", "symbol", "train_samples", "val_samples", "valid")
 
 
+@query("split_accepted", f"""WITH {o.SPLIT_CTES}, held AS (SELECT asg.* FROM asg, (SELECT val_start AS a, val_end AS b FROM wins WHERE split_id = 1) h WHERE NOT (symbol = '1-URGENT' AND timestamp >= a AND timestamp < b)
+), q AS (SELECT split_id, symbol, count(*) FILTER (WHERE role = 'train') AS t, count(*) FILTER (WHERE role = 'val') AS v FROM held GROUP BY ALL), ok AS (SELECT w.split_id, bool_and(coalesce(t >= 20 AND v >= 20, false)) AS valid, sum(t) AS t, sum(v) AS v FROM wins w CROSS JOIN (SELECT DISTINCT symbol FROM daily) s LEFT JOIN q ON q.split_id = w.split_id AND q.symbol = s.symbol GROUP BY w.split_id)
+SELECT count(*) AS total_splits, count(*) FILTER (WHERE valid) AS valid_splits, CAST(sum(t) FILTER (WHERE valid) AS BIGINT) AS train_samples, CAST(sum(v) FILTER (WHERE valid) AS BIGINT) AS val_samples FROM ok""")
+def _(spark, d):
+    """One symbol lacks one split's validation rows: that split does not count."""
+    bars, w = _assigned(spark, d)
+    one = w.where("split_id = 1").select(F.col("val_start").alias("a"), F.col("val_end").alias("b"))
+    held = bars.join(F.broadcast(one), (F.col("symbol") == "1-URGENT") & (F.col("timestamp") >= F.col("a")) & (F.col("timestamp") < F.col("b")), "left_anti")
+    return splits.accepted(splits.quality(held, w, SPLIT))
+
+
 @query("split_rows", f"WITH {o.SPLIT_CTES} SELECT DISTINCT symbol, CAST(timestamp AS VARCHAR) AS timestamp, row_idx, round(close, 5) AS close FROM asg WHERE role = 'val' AND split_id % 2 = 1")
 def _(spark, d):
     bars, w = _assigned(spark, d)
@@ -452,6 +465,15 @@ def _(spark, d):
     return s.select("symbol", F.col("timestamp").cast("string").alias("timestamp"), F.size("sequence").cast("long").alias("steps"), F.round(at(0, 0), 3).alias("first_close"), F.round(at(63, 0), 3).alias("last_close"), total.alias("volume"))
 
 
+@query("sequences_packed", ORACLE_SQL["sequences"])
+def _(spark, d):
+    """The same windows from blocks that store each row once."""
+    s = sequences_of(packed(bars_ohlc(spark, d), ["close", "tick_volume"], rows=128, label=None), 2, 64)
+    at = lambda i, j: F.col("sequence")[i][j].cast("double")
+    total = F.aggregate("sequence", F.lit(0.0), lambda a, r: a + r[1].cast("double"))
+    return s.select("symbol", F.col("timestamp").cast("string").alias("timestamp"), F.size("sequence").cast("long").alias("steps"), F.round(at(0, 0), 3).alias("first_close"), F.round(at(63, 0), 3).alias("last_close"), total.alias("volume"))
+
+
 def predictions(spark: SparkSession, d: str) -> DataFrame:
     """Predictions by a fixed rule: the class of the last return is the guess for the next."""
     bars = bars_daily(spark, d).withColumns({"row_idx": labels.row_index(), "_r": F.try_divide("close", F.lag("close").over(W())) - 1})
@@ -567,11 +589,36 @@ def _(spark, d):
     return out(training.fold_auc(predicted), "log_loss", "roc_auc_ovr", keys=("split_id", "role"), digits=6)
 
 
+def _gap(x: str) -> str:
+    part = "(PARTITION BY split_id, role ORDER BY row_idx ROWS "
+    return f"coalesce(last_value({x} IGNORE NULLS) OVER {part}UNBOUNDED PRECEDING), first_value({x} IGNORE NULLS) OVER {part}BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0.0)"
+
+
+@query("fold_filled", f"WITH {_FOLDS}, gap AS (SELECT split_id, role, row_idx, CASE WHEN row_idx % 5 > 0 THEN tick_volume END AS v FROM rws) SELECT split_id, role, row_idx, {_gap('v')} AS tick_volume FROM gap")
+def _(spark, d):
+    """Missing values of a fold, filled within its training and its validation rows apart."""
+    return training.fill_missing(gappy_folds(spark, d), ["tick_volume"]).select("split_id", "role", "row_idx", "tick_volume")
+
+
+def _network(name: str, config: NetworkConfig):
+    @query(name)
+    def _(spark, d):
+        """Networks of all folds, on scaled and filled rows; no SQL can train them."""
+        cols = ["close", "tick_volume"]
+        rows = training.scale(saved(training.fill_missing(gappy_folds(spark, d), cols), "folds"), cols)
+        table = packed(rows, cols, config.length, ("split_id", "role", "symbol"))
+        return fit_networks(table, len(cols), config).predict(table)
+
+
+_network("lstm_folds", NetworkConfig("lstm", length=8, units=(8, 4), dense=(4,), rate=0.01, epochs=3, steps=2))
+_network("cnn_folds", NetworkConfig("cnn", length=8, filters=(8, 4), kernels=(3, 3), pools=(2, 1), dense=(4,), rate=0.01, epochs=3, steps=2))
+
+
 _FILES = """names AS (SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'eurusd_h1_' WHEN 1 THEN 'GBPUSD_cleaned_' WHEN 2 THEN 'x-UsdJpy-' ELSE 'other_' END || o_orderkey || CASE WHEN o_orderkey % 11 = 0 THEN '_original_backup' ELSE '' END || '.csv' AS name,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN 'time,BO,BH,BL,BC,AO,AH,AL,AC,BCh' WHEN o_orderkey % 7 = 2 THEN 'open,high,low,close' WHEN o_orderkey % 7 = 3 THEN 'Date,Time,a,b' ELSE 'Date,Time,open,high,low,close' END AS header, o_custkey AS length FROM orders)"""
 
 
-@query("raw_plan", f"""WITH {_FILES}, f AS (SELECT *, replace(replace(regexp_replace(name, '\.[^.]*$', ''), '_cleaned', ''), '_original_backup', '') AS output, nullif(upper(regexp_extract(upper(name), '(EURUSD|GBPUSD|USDJPY)', 1)), '') AS symbol,
+@query("raw_plan", f"""WITH {_FILES}, f AS (SELECT *, replace(replace(regexp_replace(name, '[.][^.]*$', ''), '_cleaned', ''), '_original_backup', '') AS output, nullif(upper(regexp_extract(upper(name), '(EURUSD|GBPUSD|USDJPY)', 1)), '') AS symbol,
   CASE WHEN header LIKE '%BO,%' THEN 'bidask' WHEN header LIKE '%open,%' THEN 'ohlc' END AS format FROM names WHERE NOT (k % 5 = 0 AND k % 3 > 0))
 SELECT name, output, symbol, format, CASE WHEN header IS NULL THEN 'the file is empty' WHEN format IS NULL THEN 'unknown format' WHEN header LIKE 'open%' THEN 'no column of times' WHEN symbol IS NULL THEN 'no known symbol (EURUSD, GBPUSD, USDJPY) in the name' END AS error FROM f""")
 def _(spark, d):
