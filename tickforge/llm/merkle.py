@@ -174,7 +174,9 @@ def manifest(leaves: DataFrame) -> DataFrame:
 
     Gives doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every row.
     """
-    order = sorted_places(leaves.select(F.col("doc_id").cast("long").alias("doc_id"), "tree", "leaf", "changed"), ["tree"], ["doc_id", "leaf"], "place")
+    # Ranges are found by a pass of its own over what is sorted: the leaves are written first, so that texts are read and hashed once.
+    written = materialize(leaves.select(F.col("doc_id").cast("long").alias("doc_id"), "tree", "leaf", "changed"), "hashed")
+    order = sorted_places(written, ["tree"], ["doc_id", "leaf"], "place")
     placed = materialize(order.withColumn("block", F.floor(F.col("place") / FAN**HEIGHT)), "leaves")
     # A block's number alone could meet in one task what belongs to many groups, and a null group is a group.
     group = ["tree", "block"]
