@@ -19,8 +19,10 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import gc
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,12 @@ class WordTokenizer:
         return ids
 
     def _word(self, word: str) -> list[int]:
+        if word.isascii():  # most words are letters, or letters and a mark: then the pieces are plain
+            if word.isalpha():
+                return self._piece(word.lower())
+            body, mark = word[:-1], word[-1]
+            if body.isalpha() and not mark.isalnum() and mark.isprintable():
+                return self._piece(body.lower()) + self._piece(mark)
         if not _PLAIN.fullmatch(word):
             return self.whole.encode(word, add_special_tokens=False).ids
         out: list[int] = []
@@ -84,12 +92,13 @@ class WordTokenizer:
         words = pc.ascii_split_whitespace(texts)
         of = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        each = [self.word(w) for w in coded.dictionary.to_pylist()]
+        have = self.words.get
+        each = [have(w) or self.word(w) for w in coded.dictionary.to_pylist()]
         for cache in (self.known, self.words):
             if len(cache) > self.keep:  # a batch has at most as many words as bytes, so this bounds the caches
                 cache.clear()
         n = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((i for x in each for i in x), np.uint32, int(n.sum()))
+        flat = np.fromiter(chain.from_iterable(each), np.uint32, int(n.sum()))
         at = np.cumsum(n) - n
         index = coded.indices.to_numpy(zero_copy_only=False)
         reps = n[index]
@@ -116,21 +125,27 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, end
     def run(batches):
         import public_tokenizers
 
-        tokenizer = WordTokenizer(vocabulary or public_tokenizers.path(VOCABULARY))
-        for b in batches:
-            for at, n in slices(b.column("text")):
-                ids, counts = tokenizer.batch(b.column("text").slice(at, n).fill_null(""))
-                rows = {k: [] for k in ("row", "start", "length", "ids_crc32", "doc_tokens")}
-                begin = 0
-                for i, k in enumerate(counts.tolist()):
-                    own = np.append(ids[begin : begin + k], end_id).astype("<u4")
-                    begin += k
-                    for s in range(0, k + 1, size):
-                        part = own[s : s + size]
-                        for name, v in zip(rows, (at + i, s, len(part), zlib.crc32(part), k + 1), strict=True):
-                            rows[name].append(v)
-                out = pa.RecordBatch.from_pydict(rows, schema=pa.schema([(k, pa.int64()) for k in rows]))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(out.column(0)), *out.columns[1:]], names=["doc_id", *out.schema.names[1:]])
+        collects = gc.isenabled()
+        gc.disable()  # the caches are lists of numbers, a million and more: nothing refers back, and looking for cycles takes a fifth of the time
+        try:
+            tokenizer = WordTokenizer(vocabulary or public_tokenizers.path(VOCABULARY))
+            for b in batches:
+                for at, n in slices(b.column("text")):
+                    ids, counts = tokenizer.batch(b.column("text").slice(at, n).fill_null(""))
+                    rows = {k: [] for k in ("row", "start", "length", "ids_crc32", "doc_tokens")}
+                    begin = 0
+                    for i, k in enumerate(counts.tolist()):
+                        own = np.append(ids[begin : begin + k], end_id).astype("<u4")
+                        begin += k
+                        for s in range(0, k + 1, size):
+                            part = own[s : s + size]
+                            for name, v in zip(rows, (at + i, s, len(part), zlib.crc32(part), k + 1), strict=True):
+                                rows[name].append(v)
+                    out = pa.RecordBatch.from_pydict(rows, schema=pa.schema([(k, pa.int64()) for k in rows]))
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id").take(out.column(0)), *out.columns[1:]], names=["doc_id", *out.schema.names[1:]])
+        finally:
+            if collects:
+                gc.enable()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(released(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
