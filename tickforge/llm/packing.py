@@ -74,7 +74,7 @@ class WordTokenizer:
         return ids
 
     def _word(self, word: str) -> list[int]:
-        if word.isascii():  # most words are letters, or letters and a mark: then the pieces are plain
+        if word and word.isascii():  # most words are letters, or letters and a mark: then the pieces are plain
             if word.isalpha():
                 return self._piece(word.lower())
             body, mark = word[:-1], word[-1]
