@@ -17,67 +17,109 @@ from tickforge.llm.common import new_path
 from .conftest import words
 
 
-def test_code_lengths_are_those_of_a_distribution():
-    rows = [("a", int.from_bytes(bytes([s, c])[::1] + b"\n\n", "little"), n) for s, c, n in ((97, 98, 5), (98, 97, 4), (97, 97, 1))]
-    trees = langid.ContextTrees.fit(rows + [("b", int.from_bytes(b"cc\n\n", "little"), 3)])
-    p = np.exp2(-trees.bits.reshape(-1, 128, 2))
-    assert np.allclose(p.sum(1), 1, atol=1e-3)
-    # The bytes that share a symbol share its probability.
-    assert np.allclose(np.exp2(-trees.rare[trees.symbol == 0]).sum(0), 1, atol=1e-3) and not trees.rare[trees.symbol > 0].any()
+def context_counts(texts, order=3):
+    """How often each byte follows each context of 0 to ``order`` bytes."""
+    counts = {}
+    for t in texts:
+        data = b"\n" * order + t
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                own = counts.setdefault(data[i - k : i], {})
+                own[data[i]] = own.get(data[i], 0) + 1
+    return counts
 
 
-def ppm_bits(train, text, alphabet, order=3):
-    """Code length by prediction by partial matching with exclusion, byte by byte; ``train``: counts of the bytes after each context."""
+def ppm(counts, order=3):
+    """The code length of a text by prediction by partial matching with exclusion, byte by byte."""
+
+    @functools.cache
+    def rest(context):
+        below = functools.partial(p, context[1:]) if context else lambda _: 1 / 256
+        return sum(below(b) for b in range(256) if b not in counts[context])
 
     @functools.cache
     def p(context, byte):
-        below = functools.partial(p, context[1:]) if context else lambda _: 1 / len(alphabet)
-        seen = train.get(context)
+        below = functools.partial(p, context[1:]) if context else lambda _: 1 / 256
+        seen = counts.get(context)
         if not seen:
             return below(byte)
-        total, distinct, rest = sum(seen.values()), len(seen), sum(below(b) for b in alphabet if b not in seen)
+        total, distinct = sum(seen.values()), len(seen)
         if byte in seen:
-            return seen[byte] / (total + (distinct if rest > 0 else 0))
-        return distinct / (total + distinct) * below(byte) / rest
+            return seen[byte] / (total + (distinct if distinct < 256 else 0))
+        return distinct / (total + distinct) * below(byte) / rest(context)
 
-    data = b"\n" * order + text
-    return sum(-math.log2(p(data[i - order : i], data[i])) for i in range(order, len(data)))
+    def bits(text):
+        data = b"\n" * order + text
+        return sum(-math.log2(p(data[i - order : i], data[i])) for i in range(order, len(data)))
 
+    return bits
 
-def test_code_lengths_against_brute_force():
-    """Every code length of a small model is that of the textbook recursion, with the 128 symbols as the alphabet."""
-    texts = [b"abracadabra banana", b"an abacus and a cab", b"bab baa cad"]
-    counts, grams = {}, {}
-    for t in texts:
-        data = b"\n" * 3 + t
-        for i in range(3, len(data)):
-            gram = int.from_bytes(data[i - 3 : i + 1][::-1], "little")
-            grams[gram] = grams.get(gram, 0) + 1
-            for k in range(4):
-                own = counts.setdefault(data[i - k : i], {})
-                own[data[i]] = own.get(data[i], 0) + 1
-    trees = langid.ContextTrees.fit([("x", g, n) for g, n in grams.items()])
-    # Contexts of full length that were seen once only are not kept.
-    counts = {c: own for c, own in counts.items() if len(c) < 3 or sum(own.values()) > 1}
-    used = sorted({b for t in texts for b in t})
-    alphabet = [*used, *range(1000, 1000 + 128 - len(used))]  # the other symbols are never seen
-    for text in (b"abra", b"banana cab", b"an", b"b" * 9):
-        assert math.isclose(trees.code_lengths([text])[0, 0], ppm_bits(counts, text, alphabet), rel_tol=1e-3)
-    # A byte that was never seen costs the shared symbol and its share of it.
-    assert np.isclose(trees.code_lengths([b"Z"])[0, 0], trees.bits.reshape(-1, 128, 1)[trees.node[trees.symbol[10] * 0], 0, 0] + math.log2((trees.symbol == 0).sum()), rtol=1e-2)
+
+def tree_of(lang, texts):
+    codes, n = np.unique(np.concatenate([langid._codes(b"\n" * 3 + t) for t in texts]), return_counts=True)
+    return langid.ContextTree.fit(lang, codes, n)
+
+
+def test_code_lengths_against_brute_force(monkeypatch):
+    """Every code length is that of the textbook recursion, each context's probabilities sum to one, and cutting a text changes nothing."""
+    texts = [b"abracadabra banana", b"an abacus and a cab", b"bab baa cad", bytes(range(256)) * 2]
+    for some in (texts[:3], texts):
+        tree, bits = tree_of("x", some), ppm(context_counts(some))
+        for text in (b"abra", b"banana cab", b"an", b"b" * 9, b"Z", b"aZ\xff\x00b"):
+            assert math.isclose(langid.code_lengths([tree], [text])[0, 0], bits(text), rel_tol=1e-5)
+        for context in (b"\n\n\n", b"aba", b"zab", b"qqq", b"\x00\x01\x02"):
+            codes = np.array([langid._codes(context + bytes([b]))[0] for b in range(256)], np.uint32)
+            assert np.isclose(np.exp2(-tree.lengths(codes).astype(float)).sum(), 1, atol=1e-4)
+    whole = langid.code_lengths([tree], [b"abracadabra" * 30, b"", b"x"])
+    monkeypatch.setattr(langid, "STRETCH", 7)
+    assert np.allclose(langid.code_lengths([tree], [b"abracadabra" * 30, b"", b"x"]), whole) and whole[1, 0] == 0
 
 
 def test_many_languages(spark):
-    """All languages are learned, in tables of several each; a small budget of cells splits tables, and results stay."""
+    """All languages are learned; their number, and blocks of tables of any size, change no result."""
     rng = random.Random(9)
     rows = [(i * 40 + j, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 * 7 % 26)}{rng.choice('xyz')}{i}" for _ in range(12)), f"l{i:02d}") for i in range(20) for j in range(12)]
+    rows += [(5000, "", "l00"), (5001, None, "l00"), (5002, "12", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
     model = langid.train(df)
-    assert sum(len(m.langs) for m in model) == 20
-    got = langid.identify(df, model).join(df, "doc_id")
-    assert got.where("lang = lang_pred").count() > 0.97 * len(rows)
-    one = langid.ContextTrees.fit_all([("a", 97 << 8 | 98, 5), ("b", 98 << 8 | 97, 5)], 1)
-    assert [m.langs for m in one] == [["a"], ["b"]]
+    assert [t.lang for t in model] == [f"l{i:02d}" for i in range(20)]
+    got = langid.identify(df, model).orderBy("doc_id").toPandas()
+    assert (got.lang_pred[:240].to_numpy() == np.array([r[2] for r in rows[:240]])).mean() > 0.97
+    assert list(got.lang_pred[240:]) == ["und"] * 3 and not got.score[240:].any()
+    several = langid.identify(df, model, block_bytes=5 * model[0].size).orderBy("doc_id").toPandas()
+    assert (several.lang_pred == got.lang_pred).all() and np.allclose(several.score, got.score) and np.allclose(several.bits_per_byte, got.bits_per_byte)
+    few = langid.train(df.where("lang in ('l03', 'l17')"))
+    probe = [r[1].encode() for r in rows[:240:7]]
+    assert np.allclose(langid.code_lengths(few, probe), langid.code_lengths(model, probe)[:, [3, 17]], rtol=1e-6, atol=0)
+
+
+def test_ties_of_languages(spark):
+    """Equal code lengths: the first name wins, in one block or several."""
+    df = spark.createDataFrame([(i, "same words here", x) for i, x in enumerate(["b", "a", "c"] * 8)], "doc_id long, text string, lang string")
+    tree = tree_of("", [b"same words here"])
+    model = [langid.ContextTree(x, tree.seen, tree.escapes) for x in "abc"]
+    for size in (1 << 20, 1):
+        got = langid.identify(df, model, block_bytes=size).collect()
+        assert {r.lang_pred for r in got} == {"a"} and all(math.isclose(r.score, 1 / 3, rel_tol=1e-6) for r in got)
+
+
+def test_langid_query_against_brute_force(spark):
+    """The registered query's every row, by the textbook recursion over all training documents of its languages."""
+    d = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    langs = sorted({lang for _, _, lang in docs if lang})
+    bits = [ppm(context_counts([t.encode() for i, t, x in docs if x == lang and t is not None and zlib.crc32(str(i).encode()) % 4 != 2])) for lang in langs]
+    got = {r.doc_id: r for r in langid.op1_langid(spark, d).collect()}
+    assert len(got) == len(docs)
+    for i, text, _ in docs:
+        if not text or not any(c.isalpha() for c in text):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0)
+            continue
+        own = [b(text.encode()) for b in bits]
+        low = min(own)
+        assert got[i].lang_pred == langs[own.index(low)]
+        assert math.isclose(got[i].score, 1 / sum(2 ** max(low - x, -1000) for x in own), rel_tol=1e-3)
+        assert math.isclose(got[i].bits_per_byte, low / len(text.encode()), rel_tol=1e-5)
 
 
 def test_langid(spark):
