@@ -4,7 +4,6 @@ import functools
 import hashlib
 import math
 import random
-import re
 import zlib
 
 import numpy as np
@@ -189,6 +188,50 @@ def test_myers():
         assert d == distance(a, b) and (d == len(a) or distance(a, b[:end]) == d)
 
 
+def least_between_bounds(item, text, errors):
+    """Least edit distance of a short item to any stretch of a text that begins and ends at word bounds, ``errors`` at most."""
+    starts = [a for a in range(len(text)) if not text[a - 1 : a].isalnum()]
+    best = errors + 1
+    for a in starts:
+        row = list(range(len(item) + 1))
+        for e in range(a, min(len(text), a + len(item) + errors)):
+            new = [row[0] + 1]
+            for j, x in enumerate(item, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != text[e])))
+            row = new
+            if not text[e + 1 : e + 2].isalnum():
+                best = min(best, row[-1])
+    return best
+
+
+def test_short_items():
+    """Items below the length keep their budget of edits, and are not found inside longer words."""
+    rng = random.Random(12)
+    items = [(i, words(rng, rng.randint(1, 5))[: rng.choice([5, 9, 10, 19, 25, 39])].strip()) for i in range(30)] + [(90, "ab"), (91, "cat sat on the mat"), (92, "new york"), (93, "???")]
+    matcher = decontaminate.Matcher(items)
+    texts = ["the cat sat on teh mat", "concat sat on the mats", "newyork", "in new york.", "xnew york", "cat sat on the mat", "catsat on the mat!", "cab ab", "cabs", "", "so ??? so", "a??? b", "cat sat on the ma"]
+    for _ in range(240):
+        parts = [words(rng, rng.randint(0, 6)) for _ in range(2)]
+        item = list(rng.choice(items)[1])
+        for _ in range(rng.randint(0, 3)):
+            if item:
+                rng.choice([lambda: item.pop(rng.randrange(len(item))), lambda: item.insert(rng.randrange(len(item)), "z"), lambda: item.__setitem__(rng.randrange(len(item)), "q")])()
+        texts.append(rng.choice(["", " ", ", "]).join([parts[0], "".join(item), parts[1]]))
+    found = edited = 0
+    for text in map(decontaminate.normalise, texts):
+        want = {}
+        for i, item in items:
+            p = decontaminate.normalise(item)
+            d = least_between_bounds(p, text, len(p) // 10) if p else 1
+            if p and d <= len(p) // 10:
+                want[i] = d
+        got = matcher.match(text)
+        assert {i: d for i, d, _ in got} == want and all(e <= len(text) for _, _, e in got)
+        found, edited = found + len(want), edited + sum(d > 0 for d in want.values())
+    assert found > 50 and edited > 10
+    assert matcher.match("cat sat on the mat, cat sat on the mat") == [(91, 0, 18)]  # of equal distances the first end
+
+
 def test_decontamination(spark):
     rng = random.Random(6)
     items = [(i, words(rng, 14).capitalize() + ".\n" + words(rng, 8)) for i in range(12)] + [(50, "short"), (51, None), (None, words(rng, 20))]
@@ -205,6 +248,7 @@ def test_decontamination(spark):
         rows.append((i, text))
     rows += [(100, None), (101, ""), (None, "short " + items[14][1]), (7, rows[0][1]), (7, rows[0][1]), (102, "a Short, one"), (103, "shortest"), (104, "x " * 20_000 + items[2][1])]
     docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    clash = docs.select("*", *(F.lit(-1).alias(x) for x in ("item_id", "distance", "end", "n")))
     want, hit = [], set()
     for doc, text in rows:
         for item, pattern in dict.fromkeys(items):
@@ -212,7 +256,7 @@ def test_decontamination(spark):
             if not p:
                 continue
             if len(p) < decontaminate.MIN_CHARS:
-                d = 0 if re.search(rf"(?<![^\W_]){re.escape(p)}(?![^\W_])", whole) else 99
+                d = least_between_bounds(p, whole, int(0.1 * len(p)))
             else:
                 d = distance(p, whole if len(whole) < 5000 else whole[-400:])
             if d <= int(0.1 * len(p)):
@@ -222,6 +266,8 @@ def test_decontamination(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 10
     # Two rows with the id 7 have different texts, of which only one holds an item: rows go, not ids.
     assert sorted(map(tuple, decontaminate.clean(docs, bench).collect()), key=repr) == sorted((r for r in rows if r not in hit), key=repr)
+    assert sorted(((r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(clash, bench.withColumn("doc_id", F.lit(-1))).collect()), key=repr) == sorted(want, key=repr)
+    assert decontaminate.clean(clash, bench).columns == clash.columns
     assert decontaminate.matches(docs.where("false"), bench).count() == 0 and decontaminate.matches(docs, bench.where("false")).count() == 0
 
 

@@ -9,9 +9,11 @@ stretch as one integer; most chance hits end at the first step.  Texts and items
 
 Items are broadcast in blocks of about ``BLOCK_BYTES``; a larger benchmark takes several passes.
 
-Defined results: null or empty texts and items match nothing; items of fewer than ``min_chars`` characters (after
-normalisation) are found without edits and between word bounds only, since edits would make them meet by chance; items with one text and different ids each get a row, repeated items one; repeated rows of a document
-are matched row by row; other columns are ignored.
+Items of fewer than ``min_chars`` characters (after normalisation) have the same budget of edits, but an occurrence must lie between word bounds, since short
+strings meet by chance inside longer words: around a piece's hit, each start at a bound is compared with all ends at bounds.
+
+Defined results: null or empty texts and items match nothing; of occurrences with equal distances the one that ends first is given; items with one text and different ids each
+get a row, repeated items one; repeated rows of a document are matched row by row; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .common import read_table, released
 
 #: Edits for each character of an item.
 RATE = 0.1
-#: Shorter items are found exactly.
+#: Shorter items are found between word bounds only.
 MIN_CHARS = 40
 BLOCK_BYTES = 16 << 20
 
@@ -74,6 +76,23 @@ class Myers:
                 best, end = score, i + 1
         return best, end
 
+    def prefixes(self, text: str):
+        """The distance of the pattern to each non-empty prefix of a text."""
+        m = self.length
+        full, top = (1 << m) - 1, 1 << (m - 1)
+        plus, minus, score = full, 0, m
+        for c in text:
+            eq = self.places.get(c, 0)
+            vertical = eq | minus
+            eq = (((eq & plus) + plus) ^ plus) | eq
+            up = minus | (full & ~(eq | plus))
+            down = plus & eq
+            score += bool(up & top) - bool(down & top)
+            up = (up << 1 | 1) & full  # a prefix is one longer
+            plus = (down << 1 & full) | (full & ~(vertical | up))
+            minus = up & vertical
+            yield score
+
 
 class Stretch:
     """Some neighbouring pieces of an item: one piece, or two halves."""
@@ -106,13 +125,14 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], rate: float = RATE, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.items, self.exact, found = [], [], {}
+        self.items, self.short, found = [], [], {}
         for item_id, text in items:
             pattern = normalise(text)
             if not pattern:
                 continue
-            self.exact.append(len(pattern) < min_chars)
-            for leaf in leaves(pattern, pieces(pattern, 0 if self.exact[-1] else int(rate * len(pattern)))):
+            errors = int(rate * len(pattern))
+            self.short.append((Myers(pattern), errors) if len(pattern) < min_chars else None)
+            for leaf in leaves(pattern, pieces(pattern, errors)):
                 found.setdefault(leaf.text, []).append((len(self.items), leaf))
             self.items.append(item_id)
         self.automaton = ahocorasick.Automaton()
@@ -121,16 +141,31 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
+    def _between_bounds(self, i: int, text: str, begin: int) -> tuple[int, int] | None:
+        """(distance, end) of the least occurrence of a short item that begins near ``begin``, if there is one within its budget."""
+        myers, errors = self.short[i]
+        found = []
+        for a in range(max(0, begin - errors), begin + errors + 1):
+            if not text[a - 1 : a].isalnum():
+                ends = enumerate(myers.prefixes(text[a : a + myers.length + errors]), a + 1)
+                found += [(d, e) for e, d in ends if d <= errors and not text[e : e + 1].isalnum()]
+        return min(found, default=None)
+
     def match(self, text: str) -> list[tuple[int | None, int, int]]:
         """(item_id, distance, end in the normalised text) of each item found, with its least distance."""
         if not self.items:
             return []
         best: dict[int, tuple[int, int]] = {}
-        seen: set[tuple[int, Stretch, int]] = set()
+        seen: set[tuple[int, Stretch | None, int]] = set()
         for end, (n, where) in self.automaton.iter(text):
             for i, leaf in where:
                 begin = end + 1 - n - leaf.at  # of the item, without edits
-                if self.exact[i] and (text[begin - 1 : begin].isalnum() or text[end + 1 : end + 2].isalnum()):
+                if self.short[i]:
+                    if (i, None, begin) not in seen:
+                        seen.add((i, None, begin))
+                        last = self._between_bounds(i, text, begin)
+                        if last:
+                            best[i] = min(best.get(i, last), last)
                     continue
                 node, last = leaf.parent, (0, end + 1)
                 while node is not None:
