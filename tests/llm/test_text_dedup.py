@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tickforge.llm import line_dedup, near_join, substring_dedup, suffix_dedup
-from tickforge.llm.anchors import cut_spans
+from tickforge.llm.anchors import LONG_WORD, cut_spans, word_codes
 from tickforge.llm.common import TEXT_KEY, with_text_key
 
 from .conftest import words
@@ -279,3 +281,22 @@ def test_tight_group_is_not_compared(spark):
     pivot = near_join._pivot(t.slice(0, 31))
     with_pivot = pa.concat_tables([t, pivot.add_column(1, "node", pa.nulls(1, pa.binary()))])
     assert near_join._measure(with_pivot, 0.8).num_rows == 120
+
+
+def test_word_codes_are_those_of_the_words():
+    rng = random.Random(5)
+    texts = [None, "", " ", "a", "ab c", "\u00e9 \u00fc x\x0by", "\t\n", "x" * 300 + " y", "12345678 123456789 1234567\x00 1234567", "a b"]
+    texts += ["".join(rng.choice("ab \n\u00e9\u00a0\u2003") for _ in range(rng.randrange(60))) for _ in range(500)]
+    texts += ["w" * n for n in range(LONG_WORD - 9, LONG_WORD + 9)]
+    array = pa.array(texts)
+    seen: dict[str, int] = {}
+    for part in (array, array.slice(3), array.slice(4, 3), array.cast(pa.large_string())):
+        codes, counts = word_codes(part)
+        words = [re.findall("[^\x20\x09-\x0D]+", t or "") for t in part.to_pylist()]
+        assert counts.tolist() == [len(w) for w in words]
+        for w, c in zip([w for each in words for w in each], codes.tolist(), strict=True):
+            assert seen.setdefault(w, c) == c
+    assert len(set(seen.values())) == len(seen)
+    for none in ([], [None], ["", None, " "]):
+        codes, counts = word_codes(pa.array(none, pa.string()))
+        assert len(codes) == 0 and counts.tolist() == [0] * len(none)

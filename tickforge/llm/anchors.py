@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,24 +145,69 @@ class Sieve:
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and where each begins and the last ends; null has none."""
+    raw = texts.fill_null("").cast(pa.large_binary())
+    if not len(raw):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    if ends[0] == ends[-1]:
+        return np.zeros(0, np.uint8), np.zeros(len(ends), np.int64)
+    return np.frombuffer(raw.buffers()[2], np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
 def byte_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
-    return _BYTE_CODES[np.frombuffer(b"".join(raw), np.uint8)], np.array([len(t) for t in raw], np.int64)
+    data, ends = text_bytes(texts)
+    return _BYTE_CODES[data], np.diff(ends)
+
+
+_SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Longer words, in bytes, are hashed one by one; there can be only few of them.
+LONG_WORD = 128
+_ODD = np.uint64(0x9FB21C651E98DF25)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of ``data``, eight bytes of all words at a time.  Words of one length up to eight bytes never collide."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))  # the eight bytes from each place on
+    out = mix(length.astype(np.uint64) * _ODD)
+    long = np.flatnonzero(length > LONG_WORD)
+    own = np.flatnonzero(length <= LONG_WORD)
+    at, left, h = start[own], length[own], out[own]
+    while len(own):
+        part = eights[at]
+        short = np.flatnonzero(left < 8)
+        part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        h = mix((h ^ part) * _ODD)
+        done = left <= 8
+        out[own[done]] = h[done]
+        more = np.flatnonzero(~done)
+        own, at, left, h = own[more], at[more] + 8, left[more] - 8, h[more]
+    raw = memoryview(padded)
+    for i, a, n in zip(long.tolist(), start[long].tolist(), length[long].tolist(), strict=True):
+        out[i] = xxhash.xxh3_64_intdigest(raw[a : a + n])
+    return out
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the words ``[^\\x20\\x09-\\x0D]+``, and how many each text has."""
-    words = pc.ascii_split_whitespace(texts.fill_null(""))
-    coded = words.flatten().dictionary_encode()
-    each = np.array([xxhash.xxh3_64_intdigest(w.encode()) if w else 0 for w in coded.dictionary.to_pylist()], np.uint64)
-    real = np.array([bool(w) for w in coded.dictionary.to_pylist()], bool)
-    index = coded.indices.to_numpy(zero_copy_only=False)
-    if not len(index):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    keep = real[index]
-    before = np.append(0, np.cumsum(keep))
-    at = words.offsets.to_numpy() - words.offsets[0].as_py()
-    return each[index[keep]], np.diff(before[at])
+    data, ends = text_bytes(texts)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.diff(ends)
+    word = ~_SPACES[data]
+    # A word begins after a space or at a text's begin, and ends before a space or at a text's end.
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    edge = ends[1:-1]
+    edge = edge[(edge > 0) & (edge < len(data))]
+    begins[edge] = word[edge]
+    last = word.copy()
+    last[:-1] &= ~word[1:]
+    last[edge - 1] = word[edge - 1]
+    start = np.flatnonzero(begins)
+    return word_hashes(data, start, np.flatnonzero(last) + 1 - start), np.diff(np.searchsorted(start, ends))
 
 
 def once(docs: DataFrame) -> DataFrame:

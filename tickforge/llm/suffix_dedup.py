@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import Anchored, Rolling, _BYTE_CODES, byte_codes, cut_spans, mix
+from .anchors import Anchored, Rolling, _BYTE_CODES, byte_codes, cut_spans, mix, text_bytes
 from .common import TEXT_KEY, lookup, materialize, partitions, read_table, released, with_text_key
 
 LENGTH = 100
@@ -274,7 +274,7 @@ def later_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, collect
     settled = settled.select("doc_id", TEXT_KEY, F.col("lo").cast("long").alias("begin"), (F.col("span") + length - 1).cast("long").alias("length"))
 
     def content(batch, x, b, ok):
-        data = np.frombuffer(b"".join(t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()), np.uint8)
+        data, _ = text_bytes(batch.column("text"))
         return {"back": pa.array(b.back[ok].astype(np.int32)), "content": pa.array([data[i : i + n].tobytes() for i, n in zip(b.begin[ok].tolist(), (b.span[ok] + length - 1).tolist(), strict=True)], pa.binary())}
 
     rest = anchored.contents(groups.where("kinds > 1"), "back int, content binary", content)
